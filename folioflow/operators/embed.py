@@ -15,7 +15,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioflow import schemas
 from folioflow.functions.text import encoder_input
@@ -70,58 +69,63 @@ def _encode_rows(encode: Callable, texts: list[str], normalize: bool) -> list[np
         return [v for t in texts for v in _encode_rows(encode, [t], normalize)]
 
 
-def embed_texts(
-    texts: DataFrame, factory: EncoderFactory = letter_counts, model_version: str = "letter-counts",
-    normalize: bool = True, text: str = "text",
-) -> DataFrame:
-    """Add embedding, model_version, dimension, processing_time_ms, error_code, error_message.
+def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
+    """Iterator pandas UDF from encoder inputs (null = not usable) to embedding results."""
 
-    Validation and truncation are built-in expressions; only the encoder input and the
-    columns to keep go to Python. A row that fails does not stop the others, and an
-    encoder that cannot be loaded marks the rows and not the job.
-    """
-    keep = texts.columns
-    prepared = texts.withColumns({
-        "_input": F.when(text_reason(F.col(text)).isNull(), encoder_input(F.col(text))),
-        "error_message": text_reason(F.col(text)),
-    })
-    schema = T.StructType([*texts.schema.fields, *schemas.EMBEDDING_RESULT.fields])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encode, load_failed = None, False
-        for pdf in batches:
+        for inputs in batches:
             if encode is None and not load_failed:
                 try:
                     encode = _encoder(factory, model_version)
                 except Exception:
                     load_failed = True
-            usable = pdf["_input"].notna().to_numpy()
-            vectors: list = [None] * len(pdf)
-            code = np.where(usable, None, VALIDATION_ERROR).astype(object)
-            message = pdf["error_message"].to_numpy(dtype=object)
+            usable = inputs.notna().to_numpy()
+            vectors: list = [None] * len(inputs)
+            code, message = np.full((2, len(inputs)), None, dtype=object)
             started = time.perf_counter()
             if load_failed:
                 code[usable], message[usable] = MODEL_LOAD_ERROR
             else:
                 places = np.flatnonzero(usable)
-                found = _encode_rows(encode, pdf["_input"].iloc[places].tolist(), normalize)
-                for place, vector in zip(places, found):
+                for place, vector in zip(places, _encode_rows(encode, inputs[usable].tolist(), normalize)):
+                    vectors[place] = vector
                     if vector is None:
                         code[place], message[place] = EMBEDDING_ERROR
-                    else:
-                        vectors[place] = vector
-            share_ms = int((time.perf_counter() - started) * 1000 / max(len(pdf), 1))
-            done = [v is not None for v in vectors]
-            yield pdf[keep].assign(
-                embedding=vectors,
-                model_version=[model_version if ok else None for ok in done],
-                dimension=pd.array([len(v) if v is not None else None for v in vectors], dtype="Int32"),
-                processing_time_ms=share_ms,
-                error_code=code,
-                error_message=message,
-            )
-
-    return prepared.select(*keep, "_input", "error_message").mapInPandas(run, schema)
+            share_ms = int((time.perf_counter() - started) * 1000 / max(len(inputs), 1))
+            yield pd.DataFrame({
+                "embedding": vectors,
+                "model_version": [None if v is None else model_version for v in vectors],
+                "dimension": pd.array([None if v is None else len(v) for v in vectors], dtype="Int32"),
+                "processing_time_ms": share_ms,
+                "error_code": code,
+                "error_message": message,
+            })
+
+    # Not deterministic in the optimizer's sense: it must be run once per row and not be
+    # copied into the expressions above it.
+    return F.pandas_udf(run, schemas.EMBEDDING_RESULT).asNondeterministic()
+
+
+def embed_texts(
+    texts: DataFrame, factory: EncoderFactory = letter_counts, model_version: str = "letter-counts",
+    normalize: bool = True, text: str = "text",
+) -> DataFrame:
+    """Add embedding, model_version, dimension, processing_time_ms, error_code, error_message.
+
+    Validation and truncation are built-in expressions; only the encoder input goes to
+    Python, all other columns stay behind. A row that fails does not stop the others, and
+    an encoder that cannot be loaded marks the rows and not the job.
+    """
+    reason = text_reason(F.col(text))
+    encoded = texts.withColumns({
+        "_reason": reason, "_input": F.when(reason.isNull(), encoder_input(F.col(text))),
+    }).withColumn("_r", _embedder(factory, model_version, normalize)("_input"))
+    return encoded.select(
+        *texts.columns, "_r.embedding", "_r.model_version", "_r.dimension", "_r.processing_time_ms",
+        F.when(F.col("_reason").isNotNull(), VALIDATION_ERROR).otherwise(F.col("_r.error_code")).alias("error_code"),
+        F.coalesce("_reason", "_r.error_message").alias("error_message"),
+    )
 
 
 def check_responses(embedded: DataFrame) -> DataFrame:

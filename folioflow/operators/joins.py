@@ -14,13 +14,17 @@ def pending_backlog(papers: DataFrame, vectors: DataFrame, key: str = "paper_id"
 
 
 def trace_coverage(papers: DataFrame, vectors: DataFrame, key: str = "paper_id") -> DataFrame:
-    """Papers, papers with a vector, and missing ones per trace."""
-    present = vectors.select(key).distinct().withColumn("_present", F.lit(1))
+    """Papers, papers with a vector, and missing ones per trace.
+
+    Copies of a key within a trace are counted before the join, so a key with very many
+    copies brings one row per trace to it.
+    """
+    present = vectors.select(key).distinct().withColumn("_present", F.lit(True))
+    per_key = papers.groupBy("trace_id", key).agg(F.count(F.lit(1)).alias("_n"))
+    found = F.coalesce(F.sum(F.when(F.col("_present"), F.col("_n"))), F.lit(0).cast("long"))
     return (
-        papers.select("trace_id", key)
-        .join(present, key, "left")
-        .groupBy("trace_id")
-        .agg(F.count(F.lit(1)).alias("papers"), F.count("_present").alias("vectors"))
+        per_key.join(present, key, "left")
+        .groupBy("trace_id").agg(F.sum("_n").alias("papers"), found.alias("vectors"))
         .withColumn("missing", F.col("papers") - F.col("vectors"))
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import last_path_segment, unicode_trim
 from folioflow.functions.timestamps import feed_timestamp
-from folioflow.functions.variants import string_elements, string_field
+from folioflow.functions.variants import text_of, texts_of, variant_fields
 
 # Fixed values of the records.
 FEED_SOURCE = "arxiv"
@@ -57,12 +57,21 @@ def entries_to_papers(entries: DataFrame, source: str = FEED_SOURCE) -> DataFram
     ).where(F.col("published_date").isNotNull())
 
 
-def record_key(record: Column) -> Column:
+KEY_FIELDS = ("paper_id", "id")
+RECORD_FIELDS = (
+    *KEY_FIELDS, "source", "title", "abstract", "authors", "published_date", "categories", "raw_xml",
+)
+
+
+def _key(fields: str) -> Column:
     """`paper_id`, else `id`; only non-empty JSON strings count. Null when neither is usable."""
-    return F.coalesce(
-        F.nullif(string_field(record, "paper_id"), F.lit("")),
-        F.nullif(string_field(record, "id"), F.lit("")),
-    )
+    return F.coalesce(*[F.nullif(text_of(F.col(f"{fields}.{name}")), F.lit("")) for name in KEY_FIELDS])
+
+
+def with_record_key(landed: DataFrame, record: str = "record", name: str = "paper_id") -> DataFrame:
+    """Add the key of JSON records, without reading their other fields."""
+    parsed = landed.withColumn("_r", variant_fields(F.col(record), KEY_FIELDS))
+    return parsed.withColumn(name, _key("_r")).drop("_r")
 
 
 def normalize_records(landed: DataFrame, record: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -72,18 +81,18 @@ def normalize_records(landed: DataFrame, record: str = "record", keep: tuple[str
     absent or no string becomes `unknown` (an empty one stays empty). `paper_id` is null
     where no usable key exists; see `quality.key_reason`.
     """
-    parsed = landed.withColumn("_v", F.parse_json(F.col(record)))
-    v = F.col("_v")
+    parsed = landed.select(*keep, variant_fields(F.col(record), RECORD_FIELDS).alias("_r"))
+    text = lambda name: text_of(F.col(f"_r.{name}"))
     return parsed.select(
         *keep,
-        record_key(v).alias("paper_id"),
-        F.coalesce(string_field(v, "source"), F.lit(UNKNOWN_SOURCE)).alias("source"),
-        _text(string_field(v, "title")).alias("title"),
-        _text(string_field(v, "abstract")).alias("abstract"),
-        string_elements(v, "authors").alias("authors"),
-        _text(string_field(v, "published_date")).alias("published_date"),
-        string_elements(v, "categories").alias("categories"),
-        string_field(v, "raw_xml").alias("raw_xml"),
+        _key("_r").alias("paper_id"),
+        F.coalesce(text("source"), F.lit(UNKNOWN_SOURCE)).alias("source"),
+        _text(text("title")).alias("title"),
+        _text(text("abstract")).alias("abstract"),
+        texts_of(F.col("_r.authors")).alias("authors"),
+        _text(text("published_date")).alias("published_date"),
+        texts_of(F.col("_r.categories")).alias("categories"),
+        text("raw_xml").alias("raw_xml"),
     )
 
 
@@ -92,18 +101,12 @@ def explode_envelopes(df: DataFrame, envelope: str = "record", keep: tuple[str,
 
     The envelope's own source is kept beside the record, it is not written into it.
     """
-    v = F.parse_json(F.col(envelope))
-    return (
-        df.withColumn("_v", v)
-        .select(
-            *keep,
-            string_field(F.col("_v"), "source").alias("envelope_source"),
-            F.posexplode(F.try_variant_get(F.col("_v"), "$.papers", "array<variant>")).alias("record_no", "_p"),
-        )
-        .select(
-            *keep, "envelope_source", F.col("record_no").cast("long").alias("record_no"),
-            F.to_json("_p").alias("record"),
-        )
+    parsed = df.select(*keep, variant_fields(F.col(envelope), ("papers", "source")).alias("_e"))
+    papers = F.try_variant_get(F.col("_e.papers"), "$", "array<variant>")
+    return parsed.select(
+        *keep, text_of(F.col("_e.source")).alias("envelope_source"), F.posexplode(papers).alias("record_no", "_p"),
+    ).select(
+        *keep, "envelope_source", F.col("record_no").cast("long").alias("record_no"), F.to_json("_p").alias("record"),
     )
 
 

@@ -26,9 +26,9 @@ def clean_batch(landed: DataFrame, trace_id: str, batch_time: datetime | None =
 def batch_counts(landed: DataFrame) -> DataFrame:
     """One row: records, unique, duplicate and invalid ones, file errors and the last of them."""
     usable = F.col("record").isNotNull() & F.col("record_error").isNull()
-    keyed = landed.select(
-        F.when(usable, records.record_key(F.parse_json("record"))).alias("_key"),
-        F.col("record_error"), F.col("file_error"), landing.arrival_order().alias("_at"),
+    keyed = records.with_record_key(landed).select(
+        F.when(usable, F.col("paper_id")).alias("_key"),
+        "record_error", "file_error", landing.arrival_order().alias("_at"),
     )
     per_key = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"), F.count("record_error").alias("_bad"), F.count("file_error").alias("_files"),
@@ -59,17 +59,21 @@ def batch_result(counts: DataFrame, trace_id: str, batch_time: datetime, failed_
 
 
 def texts_to_embed(papers: DataFrame) -> DataFrame:
-    """Valid papers of the given rows as (trace_id, paper_id, text)."""
+    """All papers as (trace_id, paper_id, text, paper_reason); no text where a reason is given."""
     reason = quality.paper_reason(F.col("paper_id"), F.col("trace_id"), F.col("title"), F.col("abstract"))
-    return papers.where(reason.isNull()).select(
-        "trace_id", "paper_id", combine_title_abstract(F.col("title"), F.col("abstract")).alias("text")
+    return papers.withColumn("paper_reason", reason).select(
+        "trace_id", "paper_id", "paper_reason",
+        F.when(F.col("paper_reason").isNull(), combine_title_abstract(F.col("title"), F.col("abstract"))).alias("text"),
     )
 
 
 def embed_papers(
     papers: DataFrame, factory: embed.EncoderFactory = embed.letter_counts, model_version: str = "letter-counts"
 ) -> DataFrame:
-    """Texts of papers with their embedding or their error, one row each."""
+    """Texts of papers with their embedding or their error, one row per paper.
+
+    Invalid papers stay in, so that one pass gives the counts of every trace.
+    """
     return embed.check_responses(embed.embed_texts(texts_to_embed(papers), factory, model_version))
 
 
@@ -81,29 +85,25 @@ def vector_row_reason() -> Column:
     )
 
 
-def vectorization_results(papers: DataFrame, embedded: DataFrame) -> DataFrame:
-    """One row per trace of `papers`: status, counters, rates and throughput.
+def vectorization_results(embedded: DataFrame) -> DataFrame:
+    """One row per trace of `embed_papers`: status, counters, rates and throughput.
 
-    A row counts as stored when it has no error and its vector record is valid. Traces
-    without any paper to embed are complete with zero papers.
+    A row counts as stored when it has no error and its vector record is valid. A trace
+    without any paper to embed is complete with zero papers.
     """
+    wanted = F.col("paper_reason").isNull()
     done = F.col("error_code").isNull()
     valid = vector_row_reason().isNull()
+    none = F.lit(None).cast("string")
     counts = embedded.groupBy("trace_id").agg(
-        F.count(F.lit(1)).alias("total_papers"),
+        F.count_if(wanted).alias("total_papers"),
         F.count_if(done).alias("embeddings_generated"),
         F.count_if(done & valid).alias("vectors_stored"),
-        F.count_if(~done).alias("failed_embeddings"),
+        F.count_if(wanted & ~done).alias("failed_embeddings"),
         F.count_if(done & ~valid).alias("failed_storage"),
         F.sum("processing_time_ms").alias("processing_time_ms"),
-    )
-    counters = [c for c in counts.columns if c != "trace_id"]
-    none = F.lit(None).cast("string")
-    per_trace = (
-        papers.select("trace_id").distinct().join(counts, "trace_id", "left").fillna(0, counters)
-        .withColumns({"retrieval_error": none, "storage_error": none})
-    )
-    return status.success_rates(status.vector_status(per_trace)).withColumn(
+    ).withColumns({"retrieval_error": none, "storage_error": none})
+    return status.success_rates(status.vector_status(counts)).withColumn(
         "throughput_per_second", status.throughput_per_second(F.col("vectors_stored"), F.col("processing_time_ms"))
     ).drop("retrieval_error", "storage_error")
 
@@ -121,8 +121,8 @@ def vectorize_batch(
     rejected = store_vectors(vectors, ready, quality.record_reason(), batch_id).select(
         F.col("processing_info.trace_id").alias("trace_id"), "paper_id", "reason"
     )
-    failed = embedded.where(F.col("error_code").isNotNull()).select(
+    failed = embedded.where(F.col("error_code").isNotNull() & F.col("paper_reason").isNull()).select(
         "trace_id", "paper_id", F.concat_ws(": ", "error_code", "error_message").alias("reason")
     )
     letters = dead_letters(failed, "embedding_generation").unionByName(dead_letters(rejected, "vector_storage"))
-    return vectorization_results(papers, embedded), letters
+    return vectorization_results(embedded), letters

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from folioflow import schemas
 from folioflow.functions.timestamps import rfc3339
 from folioflow.operators import alerts, dedup, joins, quality, records
+from folioflow.operators.embed import letter_counts
 from folioflow.plans import jobs, views
 from folioflow.plans.aggregate_queries import FIRST, LETTERS
 from folioflow.plans.registry import query, with_views
@@ -25,9 +26,22 @@ FIELDS = "record_no, element_no, paper_id, source, title, abstract, published_da
 
 
 def _landed_files(spark, sf, name):
-    """The JSON lines of the papers as gzip landing files in a new folder."""
+    """The JSON lines of the papers as gzip landing files in a new folder.
+
+    Folders per source, as the landing write has them: a plain write may leave an empty
+    first file, and a file without any paper is an error.
+    """
     path = scratch_dir(spark, name)
-    views.landing_lines(spark, sf).select("value").write.option("compression", "gzip").text(path)
+    lines = views.landing_lines(spark, sf).select("collect_source", "value")
+    lines.write.partitionBy("collect_source").option("compression", "gzip").text(path)
+    return path
+
+
+def _landed_json(papers, name):
+    """Papers as gzip JSON lines in folders per source."""
+    path = scratch_dir(papers.sparkSession, name)
+    rows = papers.withColumn("collect_source", F.col("source"))
+    rows.write.partitionBy("collect_source").option("compression", "gzip").json(path)
     return path
 
 
@@ -39,6 +53,14 @@ def _plain(papers, *more):
     )
 
 
+def _numbered(landed):
+    """Usable records with the number of their paper, and 1 for the second of an envelope."""
+    good = landed.where("record is not null and record_error is null").select(
+        "record", F.from_json("record", "record_no long, title string").alias("_m")
+    ).select("record", "_m.record_no", F.col("_m.title").isNull().cast("int").alias("element_no"))
+    return _plain(records.normalize_records(good, keep=("record_no", "element_no")), "record_no", "element_no")
+
+
 # -- sources -----------------------------------------------------------------------------
 
 @query("s1_feed_scan", with_views("""
@@ -65,14 +87,11 @@ def s1(spark, sf):
 
 @query("s2_landing_scan", "SELECT doc_id, text, source FROM documents")
 def s2(spark, sf):
-    path = scratch_dir(spark, "landing")
     docs = views.table(spark, sf, "documents")
-    docs.select(F.col("doc_id").cast("string").alias("paper_id"), "text", "source").write.option(
-        "compression", "gzip").json(path)
-    v = F.parse_json("record")
+    path = _landed_json(docs.select(F.col("doc_id").cast("string").alias("paper_id"), "text", "source"), "landing")
     return landing.read_landing(spark, path).select(
-        F.variant_get(v, "$.paper_id", "string").cast("long").alias("doc_id"),
-        F.variant_get(v, "$.text", "string").alias("text"), F.variant_get(v, "$.source", "string").alias("source"))
+        F.from_json("record", "paper_id string, text string, source string").alias("r")
+    ).select(F.col("r.paper_id").cast("long").alias("doc_id"), "r.text", "r.source")
 
 
 @query("s3_multi_shape_parse", with_views("""
@@ -128,11 +147,7 @@ def s5(spark, sf):
 @query("f6_record_normalize", with_views(f"SELECT {FIELDS} FROM landed", LANDED))
 def f6(spark, sf):
     landed = landing.read_landing(spark, _landed_files(spark, sf, "records"))
-    good = landed.where("record is not null and record_error is null").select(
-        "record", F.try_variant_get(F.parse_json("record"), "$.record_no", "long").alias("record_no"),
-        F.when(F.try_variant_get(F.parse_json("record"), "$.title", "variant").isNull(), 1).otherwise(0).alias(
-            "element_no"))
-    return _plain(records.normalize_records(good, keep=("record_no", "element_no")), "record_no", "element_no")
+    return _numbered(landed)
 
 
 @query("f7_batch_stamp", with_views("""
@@ -177,8 +192,7 @@ def u_all(spark, sf):
     p = views.papers(spark, sf).select("paper_id", "source", "title")
     parts = []
     for name, rows in (("english", F.col("lang") == "en"), ("other", F.col("lang") != "en")):
-        path = scratch_dir(spark, name)
-        views.papers(spark, sf).where(rows).select(*p.columns).write.option("compression", "gzip").json(path)
+        path = _landed_json(views.papers(spark, sf).where(rows).select(*p.columns), name)
         parts.append(landing.read_landing(spark, path))
     return records.normalize_records(dedup.union_batches(*parts)).groupBy("source").agg(
         F.count(F.lit(1)).alias("papers"))
@@ -291,23 +305,15 @@ def k7(spark, sf):
 
 @query("st1_landing_stream", with_views(f"SELECT {FIELDS} FROM landed", LANDED))
 def st1(spark, sf):
-    source, out, checkpoint = (scratch_dir(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
-    views.landing_lines(spark, sf).select("value").write.option("compression", "gzip").text(source)
+    source = _landed_files(spark, sf, "stream-in")
+    out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-state")
     alarms.run_to_table(stream.landing_stream(spark, source), out, checkpoint)
-    good = spark.read.parquet(out).where("record is not null and record_error is null").withColumns({
-        "paper_no": F.try_variant_get(F.parse_json("record"), "$.record_no", "long"),
-        "second": F.try_variant_get(F.parse_json("record"), "$.title", "variant").isNull().cast("int")})
-    return _plain(
-        records.normalize_records(good.select("record", "paper_no", "second"), keep=("paper_no", "second")),
-        F.col("paper_no").alias("record_no"), F.col("second").alias("element_no"))
+    return _numbered(spark.read.parquet(out))
 
 
 def _run_stream(spark, sf, vectorize):
-    source, out, checkpoint = (scratch_dir(spark, n) for n in ("stream-in", "store", "stream-state"))
-    views.landing_lines(spark, sf).select("value").write.option("compression", "gzip").text(source)
-    store = stream.Store(spark, out)
-    from folioflow.operators.embed import letter_counts
-
+    source, checkpoint = _landed_files(spark, sf, "stream-in"), scratch_dir(spark, "stream-state")
+    store = stream.Store(spark, scratch_dir(spark, "store"))
     stream.process_landing(
         spark, source, store, checkpoint, factory=letter_counts if vectorize else None).awaitTermination()
     return store
@@ -394,7 +400,7 @@ def vectorize_traces(spark, sf):
     """Papers, first per key, embedded with the stand-in encoder: one status row per trace."""
     papers = dedup.deduplicate(
         views.papers(spark, sf).select("record_no", "paper_id", "trace_id", "title", "abstract"), F.col("record_no"))
-    return jobs.vectorization_results(papers, jobs.embed_papers(papers)).select(
+    return jobs.vectorization_results(jobs.embed_papers(papers)).select(
         "trace_id", "status", "total_papers", "embeddings_generated", "vectors_stored", "failed_embeddings",
         "failed_storage", F.round("overall_success_rate", 6).alias("overall_success_rate"))
 

@@ -208,7 +208,7 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("record_no").cast("string"), F.lit('}],"source":"feed","count":2}')))
         .otherwise(record)
     )
-    return p.select("record_no", line.alias("value"))
+    return p.select("record_no", line.alias("value"), F.col("source").alias("collect_source"))
 
 
 # The rows of `landing_lines` that are usable, after normalization.

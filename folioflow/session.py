@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+import folioflow
+
 # Timestamps of the data are UTC, so the session has to be UTC as well.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,10 +21,31 @@ SESSION_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(folioflow.__file__)
+    archive = os.path.join(tempfile.mkdtemp(prefix="folioflow-"), "folioflow.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("folioflow", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to a session."""
+    """Apply the runtime settings the operators rely on, and ship the package."""
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -31,7 +56,7 @@ def build_session(app_name: str = "folioflow", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

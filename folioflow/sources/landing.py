@@ -68,33 +68,33 @@ def _checked(record) -> tuple[str | None, str | None]:
     return (_dump(record) if isinstance(record, dict) else None), BAD_RECORD
 
 
-def records_of_line(line: str) -> Iterator[tuple[str | None, str | None]]:
-    """Records of one line: a paper, or the papers of an envelope."""
-    try:
-        value = parse_strict(line)
-    except (ValueError, RecursionError):
-        yield None, BAD_JSON
-        return
-    if value is None:
-        yield _checked(value)
-    elif not isinstance(value, dict):
+Found = Iterator[tuple[str | None, str | None]]
+
+
+def _records_of_value(value) -> Found:
+    """Records of one line's value: a paper, or the papers of an envelope."""
+    if value is not None and not isinstance(value, dict):
         yield None, BAD_JSON
-    elif isinstance(value.get("papers"), list) and not _has_key(value):
+    elif value is not None and isinstance(value.get("papers"), list) and not _has_key(value):
         yield from map(_checked, value["papers"])
     else:
         yield _checked(value)
 
 
-def _is_empty_envelope(line: str) -> bool:
+def records_of_line(line: str) -> Found:
     try:
         value = parse_strict(line)
     except (ValueError, RecursionError):
-        return False
-    return isinstance(value, dict) and value.get("papers") == []
+        return iter([(None, BAD_JSON)])
+    return _records_of_value(value)
 
 
 def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | None]]:
-    """(record, record error, file error) of a whole file."""
+    """(record, record error, file error) of a whole file.
+
+    An array of objects (or nulls), or `null`, is taken as a whole and may be empty. Any
+    other text is read line by line and has to give a paper, or an envelope without any.
+    """
     try:
         value = parse_strict(text)
     except (ValueError, RecursionError):
@@ -105,15 +105,17 @@ def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | N
         for record, error in map(_checked, value):
             yield record, error, None
         return
-    valid, empty_envelope = 0, False
+    any_valid = False
     for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
         if not line:
             continue
-        empty_envelope = empty_envelope or ('"papers"' in line and _is_empty_envelope(line))
+        count = 0
         for record, error in records_of_line(line):
-            valid += error is None
+            count += 1
+            any_valid = any_valid or error is None
             yield record, error, None
-    if not valid and not empty_envelope:
+        any_valid = any_valid or not count
+    if not any_valid:
         yield None, None, NO_VALID_PAPERS
 
 

@@ -41,8 +41,7 @@ def duck_rows(con, sql: str):
     return sorted(columns), canonical(columns, result.fetchall())
 
 
-def kind(value) -> str:
-    return type(value).__name__
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(df, con, sql: str) -> None:
@@ -52,4 +51,5 @@ def compare(df, con, sql: str) -> None:
     assert len(left) == len(right), f"rows: spark {len(left)}, duckdb {len(right)}"
     for a, b in zip(left, right):
         assert a == b, f"spark {a!r}\nduckdb {b!r}"
-        assert [kind(x) for x in a] == [kind(x) for x in b], (a, b)
+    duck_types = {c[0]: str(c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types, (df.dtypes, duck_types)
