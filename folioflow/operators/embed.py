@@ -1,7 +1,8 @@
 """Embedding of texts by a replaceable encoder, and pooling of vectors.
 
 An encoder is given as a factory: `factory() -> encode(texts: list[str]) -> array[n, d]`.
-It is loaded on the executors, once per Python worker process.
+It is loaded on the executors, once per Python worker process and model version; two
+factories with the same name need different model versions.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -70,9 +71,9 @@ def _encode_rows(encode: Callable, texts: list[str], normalize: bool) -> list[np
 
 
 def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
-    """Iterator pandas UDF from encoder inputs (null = not usable) to embedding results."""
+    """Iterator Arrow UDF from encoder inputs (null = not usable) to embedding results."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, load_failed = None, False
         for inputs in batches:
             if encode is None and not load_failed:
@@ -80,31 +81,27 @@ def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
                     encode = _encoder(factory, model_version)
                 except Exception:
                     load_failed = True
-            usable = inputs.notna().to_numpy()
-            vectors: list = [None] * len(inputs)
-            code, message = np.full((2, len(inputs)), None, dtype=object)
             started = time.perf_counter()
-            if load_failed:
-                code[usable], message[usable] = MODEL_LOAD_ERROR
-            else:
-                places = np.flatnonzero(usable)
-                for place, vector in zip(places, _encode_rows(encode, inputs[usable].tolist(), normalize)):
-                    vectors[place] = vector
-                    if vector is None:
-                        code[place], message[place] = EMBEDDING_ERROR
-            share_ms = int((time.perf_counter() - started) * 1000 / max(len(inputs), 1))
-            yield pd.DataFrame({
-                "embedding": vectors,
-                "model_version": [None if v is None else model_version for v in vectors],
-                "dimension": pd.array([None if v is None else len(v) for v in vectors], dtype="Int32"),
-                "processing_time_ms": share_ms,
-                "error_code": code,
-                "error_message": message,
-            })
+            texts = inputs.drop_null().to_pylist()
+            found = iter([None] * len(texts) if load_failed else _encode_rows(encode, texts, normalize))
+            error = MODEL_LOAD_ERROR if load_failed else EMBEDDING_ERROR
+            usable = inputs.is_valid().to_pylist()
+            vectors = [next(found) if ok else None for ok in usable]
+            errors = [error if ok and v is None else (None, None) for ok, v in zip(usable, vectors)]
+            share_ms = int((time.perf_counter() - started) * 1000 / max(len(vectors), 1))
+            columns = [
+                pa.array(vectors, pa.list_(pa.float64()), from_pandas=False),
+                pa.array([None if v is None else model_version for v in vectors], pa.string()),
+                pa.array([None if v is None else len(v) for v in vectors], pa.int32()),
+                pa.array([share_ms] * len(vectors), pa.int64()),
+                pa.array([code for code, _ in errors], pa.string()),
+                pa.array([message for _, message in errors], pa.string()),
+            ]
+            yield pa.StructArray.from_arrays(columns, names=schemas.EMBEDDING_RESULT.fieldNames())
 
     # Not deterministic in the optimizer's sense: it must be run once per row and not be
-    # copied into the expressions above it.
-    return F.pandas_udf(run, schemas.EMBEDDING_RESULT).asNondeterministic()
+    # copied into the expressions above it. Arrow keeps NaN apart from null, pandas does not.
+    return F.arrow_udf(run, schemas.EMBEDDING_RESULT).asNondeterministic()
 
 
 def embed_texts(

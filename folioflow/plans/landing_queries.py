@@ -384,14 +384,19 @@ def st4_stream(spark, sf):
 
 
 @query("st6_stalled_traces_stream", with_views("""
-SELECT trace_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS started_at FROM (
-  SELECT trace_id, max(mark) AS mark, min(ts) FILTER (event = 'processing_start') AS started_at,
-    count(*) FILTER (event = 'processing_complete') AS completions FROM closed GROUP BY trace_id)
-WHERE completions = 0 AND started_at + INTERVAL 30 MINUTES < mark""", RUN_LOG, CLOSED))
+SELECT s.trace_id, strftime(s.started_at, '%Y-%m-%dT%H:%M:%S.%g') AS started_at FROM (
+  SELECT trace_id, date_trunc('minute', ts) AS minute, min(ts) AS started_at FROM run_log
+  WHERE event = 'processing_start' GROUP BY ALL) s, marks
+WHERE minute + INTERVAL 31 MINUTES <= mark AND NOT EXISTS (
+  SELECT 1 FROM run_log c WHERE c.event = 'processing_complete' AND c.trace_id = s.trace_id
+    AND c.ts >= s.started_at AND c.ts <= s.started_at + INTERVAL 30 MINUTES)""", RUN_LOG, """marks AS (
+  SELECT least(max(ts) FILTER (event = 'processing_start'), max(ts) FILTER (event = 'processing_complete'))
+         - INTERVAL 10 MINUTES AS mark FROM run_log)"""))
 def st6_stream(spark, sf):
     out, checkpoint = scratch_dir(spark, "stalled"), scratch_dir(spark, "stalled-state")
     alarms.run_to_table(alarms.stalled_trace_stream(_log_stream(spark, sf)), out, checkpoint)
-    return spark.read.parquet(out).select("trace_id", rfc3339(F.col("started_at")).alias("started_at"))
+    return spark.read.parquet(out).select(
+        "trace_id", F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("started_at"))
 
 
 # -- the whole run -----------------------------------------------------------------------

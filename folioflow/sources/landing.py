@@ -7,8 +7,9 @@ import json
 import math
 import re
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,41 +125,48 @@ def _inflate(path: str, content: bytes) -> str:
     return body.decode("utf-8", "replace")
 
 
-def _decode_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [f.name for f in LANDED_RECORD.fields]
-    for pdf in batches:
-        for path, changed, content in pdf[list(_FILE_COLUMNS)].itertuples(index=False):
-            rows = []
+def _batch(schema: T.StructType, constants: list, columns: list) -> pa.RecordBatch:
+    """A batch of `schema` from leading one-value columns and lists for the others."""
+    size = len(columns[0])
+    leading = [pa.repeat(value, size) for value in constants]
+    types = [pa.string() if isinstance(f.dataType, T.StringType) else pa.int64() for f in schema.fields[len(leading):]]
+    arrays = leading + [pa.array(values, kind) for values, kind in zip(columns, types)]
+    return pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+
+def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, changed, content in zip(*batch.columns):
             try:
-                found = records_of_text(_inflate(path, content))
+                found = records_of_text(_inflate(path.as_py(), content.as_py()))
             except Exception as problem:  # one unreadable file must not stop the others
                 found = iter([(None, None, f"{type(problem).__name__}: {problem}")])
-            for number, (record, record_error, file_error) in enumerate(found):
-                rows.append((path, changed, 0, number, 0, record, record_error, file_error))
-                if len(rows) == RECORDS_PER_BATCH:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+            numbered = enumerate(found)
+            while rows := [(0, number, 0, *row) for number, row in islice(numbered, RECORDS_PER_BATCH)]:
+                yield _batch(LANDED_RECORD, [path, changed], list(zip(*rows)))
 
 
 def decode_files(files: DataFrame) -> DataFrame:
     """Rows of a binary file scan (batch or stream) to landed records."""
-    return files.select(*_FILE_COLUMNS).mapInPandas(_decode_files, LANDED_RECORD)
+    return files.select(*_FILE_COLUMNS).mapInArrow(_decode_files, LANDED_RECORD)
 
 
 _LINE_RECORD = T.StructType([f for f in LANDED_RECORD.fields if f.name != "file_error"])
 
 
-def _decode_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [f.name for f in _LINE_RECORD.fields]
-    for pdf in batches:
-        rows = []
-        for path, changed, block, number, line in pdf.itertuples(index=False):
+def _decode_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places, elements, records, errors = [], [], [], []
+        for place, line in enumerate(batch.column("value").to_pylist()):
             for element, (record, error) in enumerate(records_of_line(line)):
-                rows.append((path, changed, block, number, element, record, error))
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+                places.append(place)
+                elements.append(element)
+                records.append(record)
+                errors.append(error)
+        lines = batch.select(["file_path", "file_time", "block_start", "record_no"]).take(pa.array(places, pa.int64()))
+        arrays = [*lines.columns, pa.array(elements, pa.int64()), pa.array(records, pa.string()),
+                  pa.array(errors, pa.string())]
+        yield pa.RecordBatch.from_arrays(arrays, names=_LINE_RECORD.fieldNames())
 
 
 def read_large_files(spark: SparkSession, path: str | list[str], over: int, glob: str) -> DataFrame:
@@ -177,7 +185,7 @@ def read_large_files(spark: SparkSession, path: str | list[str], over: int, glob
         F.monotonically_increasing_id().alias("record_no"),
         "value",
     )
-    records = placed.mapInPandas(_decode_lines, _LINE_RECORD)
+    records = placed.mapInArrow(_decode_lines, _LINE_RECORD)
     failed = (
         records.groupBy("file_path", "file_time")
         .agg(F.count_if(F.col("record_error").isNull()).alias("valid")).where(F.col("valid") == 0)

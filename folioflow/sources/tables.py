@@ -46,15 +46,17 @@ class KeyedTable:
             raise
         return sorted(rows, key=lambda c: c.version)
 
-    def live_versions(self) -> list[int]:
-        """Versions a read has to look at, oldest first; the others are covered by them."""
-        live, upper = [], None
+    def _live(self) -> list:
+        """Commits a read has to look at, oldest first; the others are covered by them."""
+        live = []
         for commit in reversed(self.commits()):
-            if upper is None or commit.version < upper:
-                live.append(commit.version)
-                upper = commit.covers_from
+            if not live or commit.version < live[-1].covers_from:
+                live.append(commit)
         return live[::-1]
 
+    def live_versions(self) -> list[int]:
+        return [commit.version for commit in self._live()]
+
     def _write(self, rows: DataFrame, batch_id: str | None, covers_from: int | None = None) -> int:
         commits = self.commits()
         version = commits[-1].version + 1 if commits else 0
@@ -73,9 +75,9 @@ class KeyedTable:
                 if commit.batch_id == batch_id:
                     return commit.version
         version = self._write(rows, batch_id)
-        live = self.live_versions()
+        live = self._live()
         if len(live) > FOLD_AFTER:
-            self._write(self._merged(live[1:]), None, covers_from=live[1])
+            self._write(self._merged([c.version for c in live[1:]]), None, covers_from=live[1].covers_from)
         return version
 
     def compact(self) -> int:
@@ -86,7 +88,8 @@ class KeyedTable:
         return f"{self.path}/version={version}"
 
     def _version(self, version: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self._path(version))
+        rows = self.spark.read.schema(self.schema).parquet(self._path(version))
+        return rows.select(*self.schema.fieldNames())
 
     def _merged(self, versions: list[int]) -> DataFrame:
         """The newest row per key of some versions."""

@@ -2,56 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.operators.alerts import MAX_OPEN_MINUTES
 
 
-def stalled_trace_stream(
-    log: DataFrame, minutes: int = MAX_OPEN_MINUTES, lateness: str = "10 minutes", forget_hours: int = 24
-) -> DataFrame:
-    """Traces still open `minutes` after their start, by event time.
+def stalled_trace_stream(log: DataFrame, minutes: int = MAX_OPEN_MINUTES, lateness: str = "10 minutes") -> DataFrame:
+    """Starts of traces without a completion in the `minutes` after them, by event time.
 
-    The state of a trace is its start and whether it is complete; the timer is its start
-    plus the limit. Traces that are complete, or have not started, are forgotten some
-    hours after their last event. Rows of a trace come in chunks, never held together.
+    Starts and completions are first reduced to one row per trace and minute, then starts
+    are joined to completions with an outer join over a time range. A start comes out
+    unmatched once the watermark has passed its limit, and the state of both sides goes
+    with it. A trace brings at most one row per minute to the join, whatever its events.
     """
-    limit_ms, forget_ms = minutes * 60_000, forget_hours * 3_600_000
-
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            started, complete = state.get
-            state.remove()
-            if started is not None and not complete:
-                yield pd.DataFrame({
-                    "trace_id": [key[0]], "started_at": [pd.Timestamp(started, unit="us")],
-                })
-            return
-        started, complete = state.get if state.exists else (None, False)
-        last = 0
-        for pdf in chunks:
-            last = max(last, int(pdf["us"].max()))
-            complete = complete or bool((pdf["event"] == "processing_complete").any())
-            starts = pdf.loc[pdf["event"] == "processing_start", "us"]
-            if len(starts):
-                first = int(starts.min())
-                started = first if started is None else min(started, first)
-        state.update((started, complete))
-        due = started // 1000 + limit_ms + 1 if started is not None and not complete else last // 1000 + forget_ms
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
-    return (
-        log.select("ts", "trace_id", "event", F.unix_micros("ts").alias("us"))
-        .withWatermark("ts", lateness).groupBy("trace_id")
-        .applyInPandasWithState(
-            step, "trace_id string, started_at timestamp", "started long, complete boolean",
-            "append", GroupStateTimeout.EventTimeTimeout,
-        )
+    minute = F.window("ts", "1 minute").alias("w")
+
+    def per_minute(event: str, *aggregates) -> DataFrame:
+        rows = log.where(F.col("event") == event).select("ts", "trace_id").withWatermark("ts", lateness)
+        return rows.groupBy(minute, "trace_id").agg(*aggregates)
+
+    starts = per_minute("processing_start", F.min("ts").alias("started_at")).select(
+        "trace_id", "started_at", F.window_time("w").alias("start_time")
+    )
+    ends = per_minute("processing_complete", F.min("ts").alias("first_end"), F.max("ts").alias("last_end")).select(
+        F.col("trace_id").alias("end_trace"), "first_end", "last_end", F.window_time("w").alias("end_time")
+    )
+    limit = F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    completed = (
+        (F.col("trace_id") == F.col("end_trace"))
+        & (F.col("end_time") >= F.col("start_time")) & (F.col("end_time") <= F.col("start_time") + limit)
+        & (F.col("last_end") >= F.col("started_at")) & (F.col("first_end") <= F.col("started_at") + limit)
+    )
+    return starts.join(ends, completed, "left_outer").where(F.col("end_trace").isNull()).select(
+        "trace_id", "started_at"
     )
 
 
