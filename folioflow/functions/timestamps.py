@@ -29,6 +29,13 @@ def file_stamp(ts: Column) -> Column:
     return F.date_format(ts, FILE_STAMP)
 
 
+def landing_key(prefix: str, source: Column, ts: Column) -> Column:
+    """`prefix/day/source-papers-stamp.gz`, the name of a landing file."""
+    return F.concat(
+        F.lit(f"{prefix}/"), day_folder(ts), F.lit("/"), source, F.lit("-papers-"), file_stamp(ts), F.lit(".gz")
+    )
+
+
 def lenient_day(text: Column) -> Column:
     """A `YYYY-MM-DD` day, or null for a bound that is to be ignored."""
     day = F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow import schemas
-from folioflow.functions.text import encoder_input
+from folioflow.functions.text import encoder_input, truncate_bytes
 from folioflow.functions.vectors import NORM_FLOOR
 from folioflow.operators.quality import response_reason, text_reason
 
@@ -114,7 +114,7 @@ def embed_texts(
     Python, all other columns stay behind. A row that fails does not stop the others, and
     an encoder that cannot be loaded marks the rows and not the job.
     """
-    reason = text_reason(F.col(text))
+    reason = text_reason(truncate_bytes(F.col(text)))
     encoded = texts.withColumns({
         "_reason": reason, "_input": F.when(reason.isNull(), encoder_input(F.col(text))),
     }).withColumn("_r", _embedder(factory, model_version, normalize)("_input"))

@@ -38,6 +38,6 @@ def vectors_of_model(vectors: DataFrame, model_version: Column, wanted: str) ->
     return vectors.where(model_version == wanted).orderBy("paper_id")
 
 
-def search_page(papers: DataFrame, start: int, max_results: int) -> DataFrame:
+def newest(papers: DataFrame, tie_break: list[str], start: int, max_results: int) -> DataFrame:
     """One page of the newest papers; offset and limit become a top-k, not a full sort."""
-    return papers.orderBy(F.desc("published_date"), "paper_id", "record_no").offset(start).limit(max_results)
+    return papers.orderBy(F.desc("published_date"), *tie_break).offset(start).limit(max_results)

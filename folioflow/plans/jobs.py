@@ -1,7 +1,8 @@
-"""The two jobs: take in a landing batch, and vectorize a trace."""
+"""The three jobs: collect a feed, take in a landing batch, vectorize a trace."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,27 @@ from pyspark.sql import functions as F
 from folioflow.functions.text import combine_title_abstract
 from folioflow.operators import embed, quality, records, status
 from folioflow.operators.dedup import deduplicate
+from folioflow.operators.lookup import newest
 from folioflow.session import materialize
 from folioflow.sources import landing
 from folioflow.sources.tables import KeyedTable, dead_letters, store_vectors
 
+# Fixed values of the default feed search.
+DEFAULT_CATEGORIES = ("cs.AI", "cs.LG", "cs.CL")
+DEFAULT_MAX_RESULTS = 1000
+
+
+def collect_feed(
+    entries: DataFrame, categories: Iterable[str] = DEFAULT_CATEGORIES, date_from: str | None = None,
+    date_to: str | None = None, max_results: int = DEFAULT_MAX_RESULTS, source: str = records.FEED_SOURCE,
+) -> DataFrame:
+    """The newest papers of a feed in some categories and a range of days, ready to land."""
+    papers = records.entries_to_papers(entries, source).where(
+        quality.in_categories(F.col("categories"), categories)
+        & quality.published_between(F.col("published_date"), date_from, date_to)
+    )
+    return newest(papers, ["id"], 0, max_results)
+
 
 def clean_batch(landed: DataFrame, trace_id: str, batch_time: datetime | None = None) -> DataFrame:
     """Landed records to stamped papers, the first arrival per key."""
@@ -28,7 +46,7 @@ def batch_counts(landed: DataFrame) -> DataFrame:
     usable = F.col("record").isNotNull() & F.col("record_error").isNull()
     keyed = records.with_record_key(landed).select(
         F.when(usable, F.col("paper_id")).alias("_key"),
-        "record_error", "file_error", landing.arrival_order().alias("_at"),
+        "record_error", landing.file_message().alias("file_error"), landing.arrival_order().alias("_at"),
     )
     per_key = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"), F.count("record_error").alias("_bad"), F.count("file_error").alias("_files"),

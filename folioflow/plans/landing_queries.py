@@ -13,7 +13,7 @@ from folioflow.operators.embed import letter_counts
 from folioflow.plans import jobs, views
 from folioflow.plans.aggregate_queries import FIRST, LETTERS
 from folioflow.plans.registry import query, with_views
-from folioflow.plans.scalar_queries import COMBINED, VECTOR_REASON
+from folioflow.plans.scalar_queries import COMBINED, FEED, VECTOR_REASON
 from folioflow.plans.views import LANDED, PAPERS, RUN_LOG, SQL_STRIP, VECTORS
 from folioflow.session import scratch_dir
 from folioflow.sources import feeds, landing, run_log
@@ -399,6 +399,24 @@ def st6_stream(spark, sf):
         "trace_id", F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("started_at"))
 
 
+@query("e1_collect_feed", with_views("""
+SELECT id, title, published_date, day FROM (
+  SELECT entry_id AS id, clean_title AS title, published AS published_date, '2024-01-20' AS day,
+    row_number() OVER (ORDER BY published DESC, entry_id) AS rn
+  FROM entries WHERE published IS NOT NULL AND lang IN ('en', 'fr') AND published >= '2024-02-01' AND published < '2024-10-01')
+WHERE rn <= 300""", FEED))
+def e1(spark, sf):
+    """Feed entries to the newest papers in two categories, landed and read back."""
+    papers = jobs.collect_feed(views.feed_entries(spark, sf), ["en", "fr"], "2024-02-01", "2024-09-30", 300)
+    path = scratch_dir(spark, "raw-data")
+    landing.write_landing(papers.withColumn("collected_at", F.lit(BATCH_TIME)), path)
+    landed = landing.read_landing(spark, path).withColumn(
+        "day", F.regexp_extract("file_path", "collect_date=([^/]*)/", 1))
+    return records.normalize_records(landed, keep=("day",)).select(
+        F.col("paper_id").alias("id"), "title",
+        F.substring("published_date", 1, 23).alias("published_date"), "day")
+
+
 # -- the whole run -----------------------------------------------------------------------
 
 def vectorize_traces(spark, sf):

@@ -165,11 +165,14 @@ def f14(spark, sf):
 
 
 @query("f15_partition_values", """
-SELECT event_id, strftime(ts, '%Y-%m-%d') AS day_folder, strftime(ts, '%Y%m%d-%H%M%S') AS file_stamp FROM events""")
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day_folder, strftime(ts, '%Y%m%d-%H%M%S') AS file_stamp,
+  'raw-data/' || strftime(ts, '%Y-%m-%d') || '/' || event_type || '-papers-' || strftime(ts, '%Y%m%d-%H%M%S') || '.gz' AS landing_key
+FROM events""")
 def f15(spark, sf):
     ts = F.col("ts").cast("timestamp")
     return views.table(spark, sf, "events").select(
-        "event_id", TS.day_folder(ts).alias("day_folder"), TS.file_stamp(ts).alias("file_stamp"))
+        "event_id", TS.day_folder(ts).alias("day_folder"), TS.file_stamp(ts).alias("file_stamp"),
+        TS.landing_key("raw-data", F.col("event_type"), ts).alias("landing_key"))
 
 
 @query("f16_rfc3339", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS rendered FROM events")
@@ -355,5 +358,5 @@ def s10(spark, sf):
 SELECT record_no, paper_id, CAST(published_date AS VARCHAR) AS day FROM papers
 ORDER BY published_date DESC, paper_id, record_no LIMIT 50 OFFSET 20""", PAPERS))
 def t1(spark, sf):
-    return lookup.search_page(views.papers(spark, sf), 20, 50).select(
+    return lookup.newest(views.papers(spark, sf), ["paper_id", "record_no"], 20, 50).select(
         "record_no", "paper_id", F.col("published_date").cast("string").alias("day"))

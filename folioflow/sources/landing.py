@@ -64,9 +64,11 @@ def _has_key(record: dict) -> bool:
 
 def _checked(record) -> tuple[str | None, str | None]:
     """(record text, error) of one decoded element; null elements have no key either."""
-    if isinstance(record, dict) and _has_key(record):
-        return _dump(record), None
-    return (_dump(record) if isinstance(record, dict) else None), BAD_RECORD
+    try:
+        text = _dump(record) if isinstance(record, dict) else None
+    except RecursionError:
+        return None, BAD_JSON
+    return text, None if text is not None and _has_key(record) else BAD_RECORD
 
 
 Found = Iterator[tuple[str | None, str | None]]
@@ -219,6 +221,13 @@ def arrival_order():
     return F.struct(*ARRIVAL)
 
 
+def file_message():
+    """Error of a file as the batch result reports it."""
+    problem = F.when(F.col("file_error") == NO_VALID_PAPERS, "failed to parse batch data from ").otherwise(
+        "failed to download/decompress ")
+    return F.concat(problem, F.col("file_path"), F.lit(": "), F.col("file_error"))
+
+
 def write_landing(papers: DataFrame, path: str, collected_at: str = "collected_at", source: str = "source") -> None:
     """Gzip JSON lines in one folder per collection day and source."""
     (

@@ -22,7 +22,7 @@ def connect(sf_dir: str = SF_DIR):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else value + 0.0
     return value
 
 

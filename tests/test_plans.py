@@ -71,7 +71,7 @@ def test_backlog_reads_only_keys(spark, stored):
 
 
 def test_search_page_is_top_k(stored):
-    text = plan(lookup.search_page(stored.withColumn("record_no", F.col("paper_id").cast("long")), 20, 50))
+    text = plan(lookup.newest(stored, ["paper_id"], 20, 50))
     assert "TakeOrderedAndProject" in text
 
 
