@@ -41,8 +41,16 @@ def windowed_alarm(
     )
 
 
+def _count(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0).cast("long")
+
+
+def _errors() -> Column:
+    return _count(F.col("level") == "ERROR")
+
+
 def error_alarm(log: DataFrame, threshold: int = MAX_ERRORS, **kw) -> DataFrame:
-    return windowed_alarm(log, F.when(F.col("level") == "ERROR", 1).otherwise(0).cast("long"), threshold, **kw)
+    return windowed_alarm(log, _errors(), threshold, **kw)
 
 
 def write_volume_alarm(log: DataFrame, units: Column, threshold: float = MAX_WRITE_UNITS, **kw) -> DataFrame:
@@ -50,7 +58,27 @@ def write_volume_alarm(log: DataFrame, units: Column, threshold: float = MAX_WRI
 
 
 def throttling_alarm(log: DataFrame, throttled: Column, threshold: int = MAX_THROTTLES, **kw) -> DataFrame:
-    return windowed_alarm(log, F.when(throttled, 1).otherwise(0).cast("long"), threshold, **kw)
+    return windowed_alarm(log, _count(throttled), threshold, **kw)
+
+
+def window_alarms(log: DataFrame, units: Column, throttled: Column, period: str = PERIOD) -> DataFrame:
+    """The three window alarms in the summary's shape, from one pass over the log."""
+    alarms = {
+        "errors": (_errors(), MAX_ERRORS),
+        "write_volume": (units, MAX_WRITE_UNITS),
+        "throttling": (_count(throttled), MAX_THROTTLES),
+    }
+    totals = log.groupBy(F.window("ts", period).alias("w"), "service").agg(
+        *[F.sum(value).alias(name) for name, (value, _) in alarms.items()])
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("alert"), F.col(name).cast("double").alias("value"),
+                 F.lit(float(threshold)).alias("threshold"))
+        for name, (_, threshold) in alarms.items()
+    ])
+    raised = F.filter(entries, lambda e: e["value"] > e["threshold"])
+    return totals.select("service", "w", F.explode(raised).alias("e")).select(
+        "e.alert", F.lit(CRITICAL).alias("severity"), "service", F.col("w.start").alias("window_start"),
+        "e.value", "e.threshold")
 
 
 def stalled_traces(log: DataFrame, now: str, minutes: int = MAX_OPEN_MINUTES) -> DataFrame:

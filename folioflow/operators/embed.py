@@ -42,11 +42,12 @@ def _encoder(factory: EncoderFactory, model_version: str) -> Callable:
     return _loaded[key]
 
 
-def letter_counts() -> Callable[[list[str]], np.ndarray]:
-    """Stand-in encoder for tests: counts of the letters a-z. It is not a language model."""
+def letter_counts(letters: str = "abcdefghijklmnopqrstuvwxyz") -> Callable[[list[str]], np.ndarray]:
+    """Stand-in encoder for tests: counts of some ASCII letters. It is not a language model."""
+    codes = np.frombuffer(letters.encode("ascii"), np.uint8)
 
     def encode(texts: list[str]) -> np.ndarray:
-        rows = [np.bincount(np.frombuffer(t.encode("utf-8"), np.uint8), minlength=256)[97:123] for t in texts]
+        rows = [np.bincount(np.frombuffer(t.encode("utf-8"), np.uint8), minlength=256)[codes] for t in texts]
         return np.array(rows, dtype=np.float64)
 
     return encode

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from folioflow.functions.timestamps import rfc3339
@@ -467,6 +469,10 @@ def _units():
     return F.when(F.col("event") == "data_parsing", F.col("data_count")).otherwise(0)
 
 
+def _throttled():
+    return F.col("error_code") == "INTERNAL_ERROR"
+
+
 @query("st4_error_alarm", with_views(_window_sql(ERRORS, 5), RUN_LOG))
 def st4(spark, sf):
     return _window_rows(alerts.error_alarm(views.run_log(spark, sf)))
@@ -484,13 +490,12 @@ def st5(spark, sf):
 
 @query("st8_throttling_alarm", with_views(_window_sql(THROTTLES, 10), RUN_LOG))
 def st8(spark, sf):
-    return _window_rows(alerts.throttling_alarm(views.run_log(spark, sf), F.col("error_code") == "INTERNAL_ERROR"))
+    return _window_rows(alerts.throttling_alarm(views.run_log(spark, sf), _throttled()))
 
 
 @query("st8_throttled_windows_above_zero", with_views(_window_sql(THROTTLES, 0), RUN_LOG))
 def st8_low(spark, sf):
-    throttled = F.col("error_code") == "INTERNAL_ERROR"
-    return _window_rows(alerts.throttling_alarm(views.run_log(spark, sf), throttled, threshold=0))
+    return _window_rows(alerts.throttling_alarm(views.run_log(spark, sf), _throttled(), threshold=0))
 
 
 STALLED = f"""SELECT trace_id, started_at FROM spans
@@ -563,17 +568,9 @@ SUMMARY = f"""SELECT severity, alert, count(*) AS active_alerts FROM (
     SUMMARY, PAPERS, RUN_LOG, SPANS, MEMORY, BOUNDS, COUNTERS, VECTOR_COUNTERS))
 def st12(spark, sf):
     log, none = views.run_log(spark, sf), F.lit(None)
-    start, service = F.col("window_start"), F.col("service")
-
-    def windows(df, name, threshold):
-        return alerts.alert_rows(df, name, alerts.CRITICAL, service, start, F.col("total"), threshold)
-
-    day = F.col("day")
-    throttled = F.col("error_code") == "INTERNAL_ERROR"
+    service, day = F.col("service"), F.col("day")
     return alerts.alert_summary([
-        windows(alerts.error_alarm(log), "errors", alerts.MAX_ERRORS),
-        windows(alerts.write_volume_alarm(log, _units()), "write_volume", alerts.MAX_WRITE_UNITS),
-        windows(alerts.throttling_alarm(log, throttled), "throttling", alerts.MAX_THROTTLES),
+        alerts.window_alarms(log, _units(), _throttled()),
         alerts.alert_rows(
             alerts.stalled_traces(log, NOW), "stalled_trace", alerts.CRITICAL, none, F.col("started_at"), none,
             alerts.MAX_OPEN_MINUTES),
@@ -636,3 +633,24 @@ def u1(spark, sf):
     e = embed.embed_texts(texts)
     return e.select(
         "doc_id", "dimension", *[F.round(F.get("embedding", F.lit(i)), 6).alias(c) for i, c in enumerate(LETTERS)])
+
+
+def u2_sql() -> str:
+    from folioflow.plans.scalar_queries import F10_SQL
+
+    head, tail = F10_SQL.rsplit("SELECT doc_id, left(", 1)
+    counts = ", ".join(f"CAST(length(t) - length(replace(t, '{c}', '')) AS DOUBLE) AS {c}" for c in "aeiou")
+    return f"""{head.rstrip()},
+inputs AS (SELECT doc_id, left({tail})
+SELECT doc_id, 'vowels-1' AS model_version, CAST(5 AS INTEGER) AS dimension, {counts}
+FROM (SELECT doc_id, encoder_input AS t FROM inputs)"""
+
+
+@query("u2_encoder_plug_in", u2_sql())
+def u2(spark, sf):
+    """Another encoder with its own dimension and version, and without normalization."""
+    texts = views.table(spark, sf, "documents").select("doc_id", "text")
+    e = embed.embed_texts(texts, partial(embed.letter_counts, "aeiou"), "vowels-1", normalize=False)
+    return e.select(
+        "doc_id", "model_version", "dimension",
+        *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate("aeiou")])

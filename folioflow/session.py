@@ -21,6 +21,8 @@ SESSION_CONF = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _shipped: set[str] = set()
 
 
@@ -42,9 +44,18 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on, and ship the package."""
+    """Apply the runtime settings the operators rely on, and ship the package.
+
+    On a cluster the first number of shuffle partitions follows the cores, unless it is
+    set: adaptive execution joins small partitions, but it never cuts large ones that
+    are not skewed.
+    """
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * context.defaultParallelism)
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     ship_package(spark)
     return spark
 
