@@ -68,12 +68,6 @@ def _key(fields: str) -> Column:
     return F.coalesce(*[F.nullif(text_of(F.col(f"{fields}.{name}")), F.lit("")) for name in KEY_FIELDS])
 
 
-def with_record_key(landed: DataFrame, record: str = "record", name: str = "paper_id") -> DataFrame:
-    """Add the key of JSON records, without reading their other fields."""
-    parsed = landed.withColumn("_r", variant_fields(F.col(record), KEY_FIELDS))
-    return parsed.withColumn(name, _key("_r")).drop("_r")
-
-
 def normalize_records(landed: DataFrame, record: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
     """Loosely typed JSON objects (text) to the fixed paper columns.
 

@@ -35,17 +35,19 @@ def collect_feed(
 
 def clean_batch(landed: DataFrame, trace_id: str, batch_time: datetime | None = None) -> DataFrame:
     """Landed records to stamped papers, the first arrival per key."""
-    usable = landed.where(F.col("record").isNotNull() & F.col("record_error").isNull())
+    usable = landed.where(F.col("record_key").isNotNull() & F.col("record_error").isNull())
     papers = records.normalize_records(usable, keep=landing.ARRIVAL)
     first = deduplicate(papers.where(F.col("paper_id").isNotNull()), landing.arrival_order())
     return records.stamp_batch(first.drop(*landing.ARRIVAL), trace_id, batch_time)
 
 
 def batch_counts(landed: DataFrame) -> DataFrame:
-    """One row: records, unique, duplicate and invalid ones, file errors and the last of them."""
-    usable = F.col("record").isNotNull() & F.col("record_error").isNull()
-    keyed = records.with_record_key(landed).select(
-        F.when(usable, F.col("paper_id")).alias("_key"),
+    """One row: records, unique, duplicate and invalid ones, file errors and the last of them.
+
+    Reads keys and errors only, not the records.
+    """
+    keyed = landed.select(
+        F.when(F.col("record_error").isNull(), F.col("record_key")).alias("_key"),
         "record_error", landing.file_message().alias("file_error"), landing.arrival_order().alias("_at"),
     )
     per_key = keyed.groupBy("_key").agg(

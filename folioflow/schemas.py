@@ -43,6 +43,7 @@ LANDED_RECORD = T.StructType([
     T.StructField("block_start", T.LongType()),
     T.StructField("record_no", T.LongType()),
     T.StructField("element_no", T.LongType()),
+    T.StructField("record_key", T.StringType()),
     T.StructField("record", T.StringType()),
     T.StructField("record_error", T.StringType()),
     T.StructField("file_error", T.StringType()),

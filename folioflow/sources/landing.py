@@ -58,27 +58,30 @@ def _dump(record: dict) -> str:
     return text
 
 
-def _has_key(record: dict) -> bool:
-    return any(isinstance(record.get(k), str) and record[k] for k in ("paper_id", "id"))
+def _key(record: dict) -> str | None:
+    """`paper_id`, else `id`; only a non-empty string is a key."""
+    return next((v for v in (record.get("paper_id"), record.get("id")) if isinstance(v, str) and v), None)
 
 
-def _checked(record) -> tuple[str | None, str | None]:
-    """(record text, error) of one decoded element; null elements have no key either."""
+def _checked(record) -> tuple[str | None, str | None, str | None]:
+    """(key, record text, error) of one decoded element; null elements have no key either."""
+    if not isinstance(record, dict):
+        return None, None, BAD_RECORD
     try:
-        text = _dump(record) if isinstance(record, dict) else None
+        key, text = _key(record), _dump(record)
     except RecursionError:
-        return None, BAD_JSON
-    return text, None if text is not None and _has_key(record) else BAD_RECORD
+        return None, None, BAD_JSON
+    return key, text, None if key is not None else BAD_RECORD
 
 
-Found = Iterator[tuple[str | None, str | None]]
+Found = Iterator[tuple[str | None, str | None, str | None]]
 
 
 def _records_of_value(value) -> Found:
     """Records of one line's value: a paper, or the papers of an envelope."""
     if value is not None and not isinstance(value, dict):
-        yield None, BAD_JSON
-    elif value is not None and isinstance(value.get("papers"), list) and not _has_key(value):
+        yield None, None, BAD_JSON
+    elif value is not None and isinstance(value.get("papers"), list) and _key(value) is None:
         yield from map(_checked, value["papers"])
     else:
         yield _checked(value)
@@ -88,12 +91,12 @@ def records_of_line(line: str) -> Found:
     try:
         value = parse_strict(line)
     except (ValueError, RecursionError):
-        return iter([(None, BAD_JSON)])
+        return iter([(None, None, BAD_JSON)])
     return _records_of_value(value)
 
 
-def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | None]]:
-    """(record, record error, file error) of a whole file.
+def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | None, str | None]]:
+    """(key, record, record error, file error) of a whole file.
 
     An array of objects (or nulls), or `null`, is taken as a whole and may be empty. Any
     other text is read line by line and has to give a paper, or an envelope without any.
@@ -105,21 +108,21 @@ def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | N
     if value is None:
         return
     if isinstance(value, list) and all(v is None or isinstance(v, dict) for v in value):
-        for record, error in map(_checked, value):
-            yield record, error, None
+        for found in map(_checked, value):
+            yield *found, None
         return
     any_valid = False
     for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
         if not line:
             continue
         count = 0
-        for record, error in records_of_line(line):
+        for key, record, error in records_of_line(line):
             count += 1
             any_valid = any_valid or error is None
-            yield record, error, None
+            yield key, record, error, None
         any_valid = any_valid or not count
     if not any_valid:
-        yield None, None, NO_VALID_PAPERS
+        yield None, None, None, NO_VALID_PAPERS
 
 
 def _inflate(path: str, content: bytes) -> str:
@@ -142,7 +145,7 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             try:
                 found = records_of_text(_inflate(path.as_py(), content.as_py()))
             except Exception as problem:  # one unreadable file must not stop the others
-                found = iter([(None, None, f"{type(problem).__name__}: {problem}")])
+                found = iter([(None, None, None, f"{type(problem).__name__}: {problem}")])
             numbered = enumerate(found)
             while rows := [(0, number, 0, *row) for number, row in islice(numbered, RECORDS_PER_BATCH)]:
                 yield _batch(LANDED_RECORD, [path, changed], list(zip(*rows)))
@@ -158,16 +161,15 @@ _LINE_RECORD = T.StructType([f for f in LANDED_RECORD.fields if f.name != "file_
 
 def _decode_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        places, elements, records, errors = [], [], [], []
+        places, elements, found = [], [], []
         for place, line in enumerate(batch.column("value").to_pylist()):
-            for element, (record, error) in enumerate(records_of_line(line)):
+            for element, row in enumerate(records_of_line(line)):
                 places.append(place)
                 elements.append(element)
-                records.append(record)
-                errors.append(error)
+                found.append(row)
         lines = batch.select(["file_path", "file_time", "block_start", "record_no"]).take(pa.array(places, pa.int64()))
-        arrays = [*lines.columns, pa.array(elements, pa.int64()), pa.array(records, pa.string()),
-                  pa.array(errors, pa.string())]
+        texts = [pa.array(values, pa.string()) for values in zip(*found)] or [pa.array([], pa.string())] * 3
+        arrays = [*lines.columns, pa.array(elements, pa.int64()), *texts]
         yield pa.RecordBatch.from_arrays(arrays, names=_LINE_RECORD.fieldNames())
 
 

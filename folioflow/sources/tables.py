@@ -1,16 +1,18 @@
 """Keyed Parquet tables with whole-row upsert.
 
 An upsert appends its rows as a new version and costs what the batch costs, whatever the
-size of the table. A read lets the newest version of each key win: the versions since the
-oldest one are small beside it, so the join against them is broadcast when their size
-allows and shuffled when not (adaptive execution decides on the measured size).
-Many small versions are folded into one; `compact` folds the whole table. A version counts only once its line in
-the commit log is written, so a run that fails half-way leaves no trace in reads.
+size of the table. A read lets the newest version of each key win: the newer versions are
+merged and joined with the oldest, largest one (broadcast when their measured size allows,
+else shuffled). When many versions are live, the newest ones are folded together with
+those that are not larger than they are, so that a row is rewritten only as often as the
+table doubles. A version counts once its line in the commit log is written; a run that
+fails half-way leaves no trace in reads.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +25,37 @@ from folioflow.operators.joins import upsert_frame
 _COMMIT = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("covers_from", T.LongType()),
+    T.StructField("row_count", T.LongType()),
     T.StructField("batch_id", T.StringType()),
 ])
 FOLD_AFTER = 16
 
 
+class Commit(NamedTuple):
+    version: int
+    covers_from: int
+    row_count: int
+    batch_id: str | None
+
+
+def _live(commits: list[Commit]) -> list[Commit]:
+    """Commits a read has to look at, oldest first; the others are covered by them."""
+    live: list[Commit] = []
+    for commit in reversed(commits):
+        if not live or commit.version < live[-1].covers_from:
+            live.append(commit)
+    return live[::-1]
+
+
+def _to_fold(live: list[Commit]) -> list[Commit]:
+    """The newest commits, at least two, back to one that is larger than all after it."""
+    start, rows = len(live) - 2, live[-1].row_count + live[-2].row_count
+    while start > 0 and live[start - 1].row_count <= rows:
+        start -= 1
+        rows += live[start].row_count
+    return live[start:]
+
+
 @dataclass
 class KeyedTable:
     spark: SparkSession
@@ -36,7 +64,7 @@ class KeyedTable:
     keys: list[str]
     partition_by: tuple[str, ...] = ()
 
-    def commits(self) -> list:
+    def commits(self) -> list[Commit]:
         """The commit log, one small row per version; this is driver metadata."""
         try:
             rows = self.spark.read.schema(_COMMIT).json(f"{self.path}/_commits").collect()
@@ -44,45 +72,39 @@ class KeyedTable:
             if problem.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
-        return sorted(rows, key=lambda c: c.version)
-
-    def _live(self) -> list:
-        """Commits a read has to look at, oldest first; the others are covered by them."""
-        live = []
-        for commit in reversed(self.commits()):
-            if not live or commit.version < live[-1].covers_from:
-                live.append(commit)
-        return live[::-1]
+        return sorted(Commit(*row) for row in rows)
 
     def live_versions(self) -> list[int]:
-        return [commit.version for commit in self._live()]
+        return [commit.version for commit in _live(self.commits())]
 
-    def _write(self, rows: DataFrame, batch_id: str | None, covers_from: int | None = None) -> int:
-        commits = self.commits()
+    def _write(self, rows: DataFrame, commits: list[Commit], batch_id: str | None, covers_from: int | None) -> Commit:
         version = commits[-1].version + 1 if commits else 0
         out = rows.select(*self.schema.fieldNames()).write.mode("overwrite")
         if self.partition_by:
             out = out.partitionBy(*self.partition_by)
         out.parquet(self._path(version))
-        line = [(version, version if covers_from is None else covers_from, batch_id)]
-        self.spark.createDataFrame(line, _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
-        return version
+        row_count = self._version(version).count()  # from the Parquet footers
+        commit = Commit(version, version if covers_from is None else covers_from, row_count, batch_id)
+        self.spark.createDataFrame([commit], _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+        return commit
 
     def upsert(self, rows: DataFrame, batch_id: str | None = None) -> int:
         """Put `rows` (unique in the keys). A batch id that is committed already is skipped."""
-        if batch_id is not None:
-            for commit in self.commits():
-                if commit.batch_id == batch_id:
-                    return commit.version
-        version = self._write(rows, batch_id)
-        live = self._live()
+        commits = self.commits()
+        for commit in commits:
+            if batch_id is not None and commit.batch_id == batch_id:
+                return commit.version
+        new = self._write(rows, commits, batch_id, None)
+        commits = [*commits, new]
+        live = _live(commits)
         if len(live) > FOLD_AFTER:
-            self._write(self._merged([c.version for c in live[1:]]), None, covers_from=live[1].covers_from)
-        return version
+            fold = _to_fold(live)
+            self._write(self._merged([c.version for c in fold]), commits, None, fold[0].covers_from)
+        return new.version
 
     def compact(self) -> int:
         """Fold everything into one version; a maintenance run, it rewrites the table."""
-        return self._write(self.read(), None, covers_from=0)
+        return self._write(self.read(), self.commits(), None, 0).version
 
     def _path(self, version: int) -> str:
         return f"{self.path}/version={version}"

@@ -39,9 +39,13 @@ def stalled_trace_stream(log: DataFrame, minutes: int = MAX_OPEN_MINUTES, latene
     )
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream over what is there and write its rows as Parquet."""
-    (
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> int:
+    """Run a stream over what is there, write its rows as Parquet; returns the late rows dropped."""
+    query = (
         stream.writeStream.format("parquet").outputMode(mode).option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return sum(
+        state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators
     )

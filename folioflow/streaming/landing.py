@@ -66,7 +66,7 @@ def landing_stream(
     refused = files.where(large).select(
         F.col("path").alias("file_path"), F.col("modificationTime").alias("file_time"),
         *[F.lit(0).cast("long").alias(c) for c in ("block_start", "record_no", "element_no")],
-        *[empty.cast("string").alias(c) for c in ("record", "record_error")],
+        *[empty.cast("string").alias(c) for c in ("record_key", "record", "record_error")],
         F.lit("file is too large to be decoded whole").alias("file_error"),
     )
     return landing.decode_files(files.where(~large)).unionByName(refused)

@@ -14,7 +14,12 @@ OK = (None, None)
 
 
 def outcomes(text):
-    return [(json.loads(r) if r else None, e, f) for r, e, f in landing.records_of_text(text)]
+    return [(json.loads(r) if r else None, e, f) for _, r, e, f in landing.records_of_text(text)]
+
+
+def test_keys():
+    text = f'{A}\n{{"paper_id":1,"id":"z"}}\n{{"paper_id":"","id":7}}'
+    assert [k for k, *_ in landing.records_of_text(text)] == ["a", "z", None]
 
 
 @pytest.mark.parametrize("text, expected", [
@@ -95,6 +100,14 @@ def test_large_files_give_the_same_records(spark, tmp_path):
     assert keyed(small) == keyed(large)
 
 
+def test_small_files_are_not_opened_twice(spark, folder):
+    large = landing.read_large_files(spark, str(folder), landing.WHOLE_FILE_BYTES, "*")
+    lines = spark.read.option("recursiveFileLookup", "true").text(str(folder)).where(
+        F.col("_metadata.file_size") > landing.WHOLE_FILE_BYTES)
+    assert lines.rdd.getNumPartitions() == 0
+    assert large.count() == 0
+
+
 def normalized(spark, *texts):
     df = spark.createDataFrame([(t,) for t in texts], "record string")
     return [r.asDict() for r in records.normalize_records(df).collect()]

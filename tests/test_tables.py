@@ -62,6 +62,13 @@ def test_folding_and_compaction(spark, table, monkeypatch):
     assert ("k0", "x", 77) in content(table)
 
 
+def test_large_versions_are_left_alone():
+    live = [tables.Commit(i, i, n, None) for i, n in enumerate([1000, 100, 10, 5, 5, 5])]
+    assert [c.version for c in tables._to_fold(live)] == [2, 3, 4, 5]
+    assert [c.version for c in tables._to_fold(live[:3])] == [1, 2]
+    assert [c.version for c in tables._to_fold([live[5]] * 4)] == [5] * 4
+
+
 def test_uncommitted_version_is_not_read(spark, table):
     table.upsert(frame(spark, [("a", "x", 1)]))
     frame(spark, [("a", "x", 2)]).write.parquet(f"{table.path}/version=1")
