@@ -22,6 +22,8 @@ from folioflow.functions.text import encoder_input, truncate_bytes
 from folioflow.functions.vectors import NORM_FLOOR
 from folioflow.operators.quality import response_reason, text_reason
 
+TEXTS_PER_CALL = 256
+
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
 # The default model and the error classes with their messages.
@@ -58,17 +60,20 @@ def _normalized(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(norms, NORM_FLOOR)
 
 
-def _encode_rows(encode: Callable, texts: list[str], normalize: bool) -> list[np.ndarray | None]:
-    """Vectors of a batch; when the batch fails its texts are tried one by one."""
-    if not texts:
-        return []
+def _encode_chunk(encode: Callable, texts: list[str], normalize: bool) -> list[np.ndarray | None]:
+    """Vectors of some texts; when the call fails the texts are tried one by one."""
     try:
         vectors = np.asarray(encode(texts), dtype=np.float64)
         return list(_normalized(vectors) if normalize else vectors)
     except Exception:
         if len(texts) == 1:
             return [None]
-        return [v for t in texts for v in _encode_rows(encode, [t], normalize)]
+        return [v for t in texts for v in _encode_chunk(encode, [t], normalize)]
+
+
+def _encode_rows(encode: Callable, texts: list[str], normalize: bool) -> list[np.ndarray | None]:
+    starts = range(0, len(texts), TEXTS_PER_CALL)
+    return [v for i in starts for v in _encode_chunk(encode, texts[i:i + TEXTS_PER_CALL], normalize)]
 
 
 def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
@@ -107,14 +112,16 @@ def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
 
 def embed_texts(
     texts: DataFrame, factory: EncoderFactory = letter_counts, model_version: str = "letter-counts",
-    normalize: bool = True, text: str = "text",
+    normalize: bool = True, text: str = "text", tasks: int | None = None,
 ) -> DataFrame:
     """Add embedding, model_version, dimension, processing_time_ms, error_code, error_message.
 
     Validation and truncation are built-in expressions; only the encoder input goes to
     Python, all other columns stay behind. A row that fails does not stop the others, and
-    an encoder that cannot be loaded marks the rows and not the job.
+    an encoder that cannot be loaded marks the rows and not the job. Partitions are sized
+    by bytes, which are few where an encoder is slow: `tasks` spreads the texts wider.
     """
+    texts = texts if tasks is None else texts.repartition(tasks)
     reason = text_reason(truncate_bytes(F.col(text)))
     encoded = texts.withColumns({
         "_reason": reason, "_input": F.when(reason.isNull(), encoder_input(F.col(text))),

@@ -88,13 +88,14 @@ def texts_to_embed(papers: DataFrame) -> DataFrame:
 
 
 def embed_papers(
-    papers: DataFrame, factory: embed.EncoderFactory = embed.letter_counts, model_version: str = "letter-counts"
+    papers: DataFrame, factory: embed.EncoderFactory = embed.letter_counts, model_version: str = "letter-counts",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Texts of papers with their embedding or their error, one row per paper.
 
     Invalid papers stay in, so that one pass gives the counts of every trace.
     """
-    return embed.check_responses(embed.embed_texts(texts_to_embed(papers), factory, model_version))
+    return embed.check_responses(embed.embed_texts(texts_to_embed(papers), factory, model_version, tasks=tasks))
 
 
 def vector_row_reason() -> Column:
@@ -131,12 +132,13 @@ def vectorization_results(embedded: DataFrame) -> DataFrame:
 def vectorize_batch(
     papers: DataFrame, vectors: KeyedTable, batch_id: str,
     factory: embed.EncoderFactory = embed.letter_counts, model_version: str = "letter-counts",
+    tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Embed papers and store their vectors; returns (results per trace, dead letters).
 
     The embedded rows are written once, since the encoder must not run per branch.
     """
-    embedded = materialize(embed_papers(papers, factory, model_version), "embedded")
+    embedded = materialize(embed_papers(papers, factory, model_version, tasks), "embedded")
     ready = records.vector_records(embedded.where(F.col("error_code").isNull()))
     rejected = store_vectors(vectors, ready, quality.record_reason(), batch_id).select(
         F.col("processing_info.trace_id").alias("trace_id"), "paper_id", "reason"

@@ -116,10 +116,12 @@ def take_in(store: Store, paths: list[str], trace_id: str) -> None:
     store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(landed), trace_id, now), trace_id)
 
 
-def vectorize(store: Store, trace_id: str, factory: EncoderFactory, model_version: str) -> None:
+def vectorize(
+    store: Store, trace_id: str, factory: EncoderFactory, model_version: str, tasks: int | None = None
+) -> None:
     """The step a finished batch starts: embed the papers of the trace, store the vectors."""
     papers = store.papers.of_batch(trace_id)
-    results, letters = jobs.vectorize_batch(papers, store.vectors, trace_id, factory, model_version)
+    results, letters = jobs.vectorize_batch(papers, store.vectors, trace_id, factory, model_version, tasks)
     store.dead_letters.upsert(letters, trace_id)
     store.vector_results.upsert(results, trace_id)
 
@@ -127,7 +129,7 @@ def vectorize(store: Store, trace_id: str, factory: EncoderFactory, model_versio
 def process_landing(
     spark: SparkSession, path: str, store: Store, checkpoint: str, name: str = "landing",
     factory: EncoderFactory | None = letter_counts, model_version: str = "letter-counts",
-    glob: str = landing.LANDING_GLOB, max_files: int = FILES_PER_BATCH,
+    glob: str = landing.LANDING_GLOB, max_files: int = FILES_PER_BATCH, encoder_tasks: int | None = None,
 ) -> StreamingQuery:
     """Run every new landing file through `take_in`, and `vectorize` when a factory is given.
 
@@ -142,7 +144,7 @@ def process_landing(
         trace_id = trace_of_batch(name, batch_id)
         take_in(store, paths, trace_id)
         if factory is not None:
-            vectorize(store, trace_id, factory, model_version)
+            vectorize(store, trace_id, factory, model_version, encoder_tasks)
 
     files = _files(spark, path, glob, max_files).select("path")
     return (

@@ -51,6 +51,16 @@ def test_one_failure_does_not_stop_others(texts):
     assert rows[5].error_message == "embedding contains NaN at index 0"
 
 
+def test_many_texts_keep_their_order(spark, monkeypatch):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 == 0, "").otherwise(
+        F.repeat(F.lit("a"), (F.col("id") % 50).cast("int") + 1)).alias("text"))
+    out = embed.embed_texts(df, normalize=False, tasks=3)
+    wrong = out.where(
+        F.when(F.col("id") % 7 == 0, F.col("embedding").isNotNull())
+        .otherwise(F.get("embedding", F.lit(0)) != F.col("id") % 50 + 1))
+    assert out.count() == 3000 and wrong.count() == 0
+
+
 def test_model_that_does_not_load(texts):
     rows = by_i(embed.embed_texts(texts, broken_model, "m2"))
     assert rows[0].error_code == "MODEL_LOAD_ERROR" and rows[0].embedding is None
