@@ -1,4 +1,9 @@
-"""Joins behind the backlog, coverage, retry and latency figures."""
+"""Joins behind the backlog, coverage and retry figures, and the upsert.
+
+Adaptive execution splits a skewed side only where it stands directly above its shuffle.
+So the sides are joined as they are stored; an aggregation on the join key right before
+the join would keep a hot key in one task.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,7 @@ from folioflow.operators.dedup import last_per_key
 
 
 def pending_backlog(papers: DataFrame, vectors: DataFrame, key: str = "paper_id") -> DataFrame:
-    """Papers that have no vector yet."""
+    """Papers that have no vector yet; several vectors of a paper need no `distinct`."""
     return papers.join(vectors.select(key), key, "left_anti")
 
 

@@ -87,3 +87,29 @@ def test_log_bounds_reach_the_scan(spark):
     assert "GreaterThan(ts," in plan(monitor.recent_incidents(log, "2024-01-20 12:00:00"))
     today = plan(monitor.today_counts(log, "2024-01-20"))
     assert "GreaterThanOrEqual(ts," in today and "LessThan(ts," in today
+
+
+def test_hot_key_of_the_backlog_is_split(spark):
+    path = scratch_dir(spark, "hot")
+    spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("paper_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("title"),
+    ).write.parquet(path)
+    papers = spark.read.parquet(path)
+    vectors = papers.where("paper_id <> 'hot' and paper_id like '%1'")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB", "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        backlog = joins.pending_backlog(papers, vectors).groupBy().agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.hash("title")))
+        assert backlog.collect()[0].n == 300_000 - vectors.count()
+        assert "SortMergeJoin(skew=true)" in plan(backlog)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
