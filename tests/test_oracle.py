@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from folioflow.plans.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +21,9 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
