@@ -40,7 +40,7 @@ def item_shingles(items: DataFrame, id_col: str = "item_id", text_col: str = "te
 
 def signatures(shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """item_id, size, hash: the smallest hashes of each item, as many as its size partition asks for."""
-    largest = F.shiftleft(F.lit(1), F.floor(F.log2("n_item")).cast("int") + 1) - 1
+    largest = F.expr("shiftleft(1, int(floor(log2(n_item))) + 1) - 1")
     length = F.floor(F.lit(1 - threshold) * largest + 1e-9).cast("int") + 1
     smallest = shingles.groupBy("item_id", "size", "n_item").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))  # one item's
     return smallest.select("item_id", "size", F.explode(F.slice("hashes", 1, length)).alias("hash"))
