@@ -14,7 +14,9 @@ that share both give one result. Empty tables give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.word_arrays import gram_hash, gram_text, lower_words, starts
@@ -56,6 +58,10 @@ def _sizes(shingles: DataFrame) -> list[int]:
     return sorted(r["size"] for r in shingles.select("size").distinct().collect()) or [SHINGLE]
 
 
+def _runs(of: Callable[..., Column], size: int) -> Column:
+    return F.transform(starts(F.col("words"), size), lambda i: of(F.col("words"), i, size))
+
+
 def candidates(docs: DataFrame, signature: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, item_id: pairs that share a hash of the item's signature."""
     signature = materialize(signature, "signatures")
@@ -64,7 +70,7 @@ def candidates(docs: DataFrame, signature: DataFrame, id_col: str = "doc_id", te
     found = None
     for size in _sizes(signature):
         own = signature.filter(F.col("size") == size).select("item_id", "hash")
-        hashes = F.transform(starts(F.col("words"), size), lambda i, n=size: gram_hash(F.col("words"), i, n))
+        hashes = _runs(gram_hash, size)
         hits = rows.select("doc_id", "text_hash", F.explode(hashes).alias("hash")).join(F.broadcast(own) if small else own, "hash")
         found = hits if found is None else found.unionByName(hits)
     return found.select("doc_id", "text_hash", "item_id").distinct()
@@ -80,7 +86,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     words = rows.select("doc_id", "text_hash", lower_words(F.col("text")).alias("words"))
     held = None
     for size in _sizes(shingles):
-        runs = F.transform(starts(F.col("words"), size), lambda i, n=size: gram_text(F.col("words"), i, n))
+        runs = _runs(gram_text, size)
         own = words.select("doc_id", "text_hash", F.lit(size).alias("words_in"), F.explode(F.array_distinct(runs)).alias("run"))
         held = own if held is None else held.unionByName(own)
     wanted = pairs.join(shingles, F.col("pair_item").eqNullSafe(F.col("item_id"))).drop("item_id", "hash")
