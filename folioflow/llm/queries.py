@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import containment, cuckoo, licenses, mixing, secret_scan, warc
+from folioflow.llm import containment, cuckoo, language, licenses, mixing, secret_scan, suffix_tree, warc
 from folioflow.session import configure, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 @query("op10_cuckoo_dedup", DEDUP_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op7_suffix_tree_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.lm_scores(table(spark, sf_dir, "documents"))
