@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import chosen_path, containment, cuckoo, language, licenses, mixing, secret_scan, suffix_tree, warc
+from folioflow.llm import chosen_path, containment, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, suffix_tree, warc
 from folioflow.session import configure, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_chosen_path_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_runs")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_runs.repeated_passages(table(spark, sf_dir, "documents"))
