@@ -57,7 +57,7 @@ class Alphabet:
 
     def stream(self, body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of `DEPTH` symbols and the next one, for each symbol of each row and its end; where each row begins in it."""
-        symbols = self.of[body]
+        symbols = self.of[texts.LOWER[body]]
         row = np.repeat(np.arange(len(at) - 1), np.diff(at))
         word = symbols != SPACE
         before = np.append(False, word[:-1])
