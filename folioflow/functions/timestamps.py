@@ -40,3 +40,10 @@ def lenient_day(text: Column) -> Column:
     """A `YYYY-MM-DD` day, or null for a bound that is to be ignored."""
     day = F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)
+
+
+def rfc3339_exact(ts: Column) -> Column:
+    """UTC with the digits of the fraction that are there, none for a whole second."""
+    return F.concat(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.regexp_replace(F.date_format(ts, ".SSSSSS"), r"\.?0+$", ""), F.lit("Z"))

@@ -1,8 +1,8 @@
 """Embedding of texts by a replaceable encoder, and pooling of vectors.
 
 An encoder is given as a factory: `factory() -> encode(texts: list[str]) -> array[n, d]`.
-It is loaded on the executors, once per Python worker process and model version; two
-factories with the same name need different model versions.
+It is loaded on the executors, once per task. A call has to give one row per text; any
+other result counts as a failed call.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow import schemas
-from folioflow.functions.text import encoder_input, truncate_bytes
+from folioflow.functions.text import (
+    MAX_TEXT_BYTES, MAX_TEXT_CHARS, encoder_input, strip_for_encoder, truncate_bytes,
+)
 from folioflow.functions.vectors import NORM_FLOOR
 from folioflow.operators.quality import response_reason, text_reason
 
@@ -26,24 +28,12 @@ TEXTS_PER_CALL = 256
 
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
-# The default model and the error classes with their messages.
-DEFAULT_MODEL = "sentence-transformers/all-MiniLM-L6-v2"
-DEFAULT_DIMENSION = 384
+# The error classes with their messages.
 VALIDATION_ERROR = "VALIDATION_ERROR"
 MODEL_LOAD_ERROR = ("MODEL_LOAD_ERROR", "Model temporarily unavailable")
 EMBEDDING_ERROR = ("EMBEDDING_ERROR", "Failed to generate embedding")
 RESPONSE_ERROR = "INVALID_RESPONSE"
 
-_loaded: dict[tuple, Callable] = {}
-
-
-def _encoder(factory: EncoderFactory, model_version: str) -> Callable:
-    key = (model_version, getattr(factory, "__module__", ""), getattr(factory, "__qualname__", ""))
-    if key not in _loaded:
-        _loaded[key] = factory()
-    return _loaded[key]
-
-
 def letter_counts(letters: str = "abcdefghijklmnopqrstuvwxyz") -> Callable[[list[str]], np.ndarray]:
     """Stand-in encoder for tests: counts of some ASCII letters. It is not a language model."""
     codes = np.frombuffer(letters.encode("ascii"), np.uint8)
@@ -60,23 +50,47 @@ def _normalized(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(norms, NORM_FLOOR)
 
 
-def _encode_chunk(encode: Callable, texts: list[str], normalize: bool) -> list[np.ndarray | None]:
+def _encode_chunk(encode: Callable, texts: list[str]) -> list[np.ndarray | None]:
     """Vectors of some texts; when the call fails the texts are tried one by one."""
     try:
         vectors = np.asarray(encode(texts), dtype=np.float64)
-        return list(_normalized(vectors) if normalize else vectors)
+        if vectors.ndim != 2 or len(vectors) != len(texts):
+            raise ValueError(f"{vectors.shape} for {len(texts)} texts")
+        return list(vectors)
     except Exception:
         if len(texts) == 1:
             return [None]
-        return [v for t in texts for v in _encode_chunk(encode, [t], normalize)]
-
-
-def _encode_rows(encode: Callable, texts: list[str], normalize: bool) -> list[np.ndarray | None]:
-    starts = range(0, len(texts), TEXTS_PER_CALL)
-    return [v for i in starts for v in _encode_chunk(encode, texts[i:i + TEXTS_PER_CALL], normalize)]
-
-
-def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
+        return [v for t in texts for v in _encode_chunk(encode, [t])]
+
+
+def _pieces(text: str, max_bytes: int, max_chars: int) -> list[str]:
+    """The text itself where it fits, else pieces that fit whatever their characters."""
+    if len(text) <= max_chars and len(text.encode("utf-8")) <= max_bytes:
+        return [text]
+    size = min(max_chars, max_bytes // 4)
+    return [text[i:i + size] for i in range(0, len(text), size)]
+
+
+def _encode_rows(
+    encode: Callable, texts: list[str], normalize: bool, max_bytes: int, max_chars: int
+) -> list[np.ndarray | None]:
+    """One vector per text: the mean over its pieces, weighted by their length. A failed piece fails its text."""
+    cut = [_pieces(t, max_bytes, max_chars) for t in texts]
+    flat = [piece for pieces in cut for piece in pieces]
+    starts = range(0, len(flat), TEXTS_PER_CALL)
+    found = iter([v for i in starts for v in _encode_chunk(encode, flat[i:i + TEXTS_PER_CALL])])
+    rows: list[np.ndarray | None] = []
+    for pieces in cut:
+        vectors = [next(found) for _ in pieces]
+        if any(v is None or len(v) != len(vectors[0]) for v in vectors):
+            rows.append(None)
+            continue
+        pooled = vectors[0] if len(pieces) == 1 else np.average(vectors, axis=0, weights=[len(p) for p in pieces])
+        rows.append(_normalized(pooled[None, :])[0] if normalize else pooled)
+    return rows
+
+
+def _embedder(factory: EncoderFactory, model_version: str, normalize: bool, max_bytes: int, max_chars: int):
     """Iterator Arrow UDF from encoder inputs (null = not usable) to embedding results."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -84,12 +98,12 @@ def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
         for inputs in batches:
             if encode is None and not load_failed:
                 try:
-                    encode = _encoder(factory, model_version)
+                    encode = factory()
                 except Exception:
                     load_failed = True
             started = time.perf_counter()
             texts = inputs.drop_null().to_pylist()
-            found = iter([None] * len(texts) if load_failed else _encode_rows(encode, texts, normalize))
+            found = iter([None] * len(texts) if load_failed else _encode_rows(encode, texts, normalize, max_bytes, max_chars))
             error = MODEL_LOAD_ERROR if load_failed else EMBEDDING_ERROR
             usable = inputs.is_valid().to_pylist()
             vectors = [next(found) if ok else None for ok in usable]
@@ -113,19 +127,22 @@ def _embedder(factory: EncoderFactory, model_version: str, normalize: bool):
 def embed_texts(
     texts: DataFrame, factory: EncoderFactory = letter_counts, model_version: str = "letter-counts",
     normalize: bool = True, text: str = "text", tasks: int | None = None,
+    max_bytes: int = MAX_TEXT_BYTES, max_chars: int = MAX_TEXT_CHARS, truncate: bool = False,
 ) -> DataFrame:
     """Add embedding, model_version, dimension, processing_time_ms, error_code, error_message.
 
-    Validation and truncation are built-in expressions; only the encoder input goes to
-    Python, all other columns stay behind. A row that fails does not stop the others, and
+    A text above the limits is cut into pieces, and their vectors are averaged by length and
+    then normalized. With `truncate` only what the limits leave of a text is embedded.
+    Validation and stripping are built-in expressions; only the encoder input goes to Python, all other columns stay behind. A row that fails does not stop the others, and
     an encoder that cannot be loaded marks the rows and not the job. Partitions are sized
     by bytes, which are few where an encoder is slow: `tasks` spreads the texts wider.
     """
     texts = texts if tasks is None else texts.repartition(tasks)
-    reason = text_reason(truncate_bytes(F.col(text)))
+    reason = text_reason(truncate_bytes(F.col(text), max_bytes) if truncate else F.col(text))
+    usable = encoder_input(F.col(text), max_bytes, max_chars) if truncate else strip_for_encoder(F.col(text))
     encoded = texts.withColumns({
-        "_reason": reason, "_input": F.when(reason.isNull(), encoder_input(F.col(text))),
-    }).withColumn("_r", _embedder(factory, model_version, normalize)("_input"))
+        "_reason": reason, "_input": F.when(reason.isNull(), usable),
+    }).withColumn("_r", _embedder(factory, model_version, normalize, max_bytes, max_chars)("_input"))
     return encoded.select(
         *texts.columns, "_r.embedding", "_r.model_version", "_r.dimension", "_r.processing_time_ms",
         F.when(F.col("_reason").isNotNull(), VALIDATION_ERROR).otherwise(F.col("_r.error_code")).alias("error_code"),

@@ -7,7 +7,7 @@ the join would keep a hot key in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.operators.dedup import last_per_key
@@ -36,12 +36,20 @@ def trace_coverage(papers: DataFrame, vectors: DataFrame, key: str = "paper_id")
 
 def retry_set(
     papers: DataFrame, vectors: DataFrame, dead_letters: DataFrame | None = None,
-    trace_id: str | None = None, key: str = "paper_id",
+    trace_id: str | None = None, key: str = "paper_id", stored_at: Column | None = None,
 ) -> DataFrame:
-    """Keys a re-run has to handle: without a vector, or in the dead letters."""
+    """Keys a re-run has to handle: without a vector, or in the dead letters.
+
+    With `stored_at`, the time of a vector, a dead letter (`failed_at`) is settled by a
+    later vector of its key.
+    """
     scope = papers if trace_id is None else papers.where(F.col("trace_id") == trace_id)
     todo = pending_backlog(scope.select("trace_id", key), vectors, key)
     if dead_letters is not None:
+        if stored_at is not None:
+            later = vectors.select(F.col(key).alias("_key"), stored_at.alias("_stored_at"))
+            settled = (F.col(key) == F.col("_key")) & (F.col("_stored_at") > F.col("failed_at"))
+            dead_letters = dead_letters.join(later, settled, "left_anti")
         failed = scope.select("trace_id", key).join(dead_letters.select(key), key, "left_semi")
         todo = todo.unionByName(failed)
     return todo.distinct()

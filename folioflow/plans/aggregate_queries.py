@@ -10,7 +10,7 @@ from folioflow.functions.timestamps import rfc3339
 from folioflow.operators import alerts, batches, dedup, embed, joins, monitor, quality, retention, status
 from folioflow.plans import views
 from folioflow.plans.registry import query, with_views
-from folioflow.plans.views import PAPERS, RUN_LOG, VECTORS
+from folioflow.plans.views import PAPERS, RUN_LOG, SQL_STRIP, VECTORS
 
 NOW = "2024-01-20 12:00:00"
 TODAY = "2024-01-20"
@@ -240,6 +240,18 @@ def j4(spark, sf):
     return joins.retry_set(views.papers(spark, sf), _labelled(spark, sf), failed, key="record_no")
 
 
+@query("j4_retry_after_success", with_views("""
+SELECT DISTINCT trace_id, record_no FROM papers WHERE record_no NOT IN (SELECT doc_id FROM labels)
+  OR record_no IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id % 5 <= doc_id % 3)""", PAPERS))
+def j4_success(spark, sf):
+    """Dead letters with a later vector are settled; hour of failure and of the vector are made from the id."""
+    hour = lambda n: F.timestamp_seconds(F.col("doc_id") % n * 3600)
+    labels = views.table(spark, sf, "labels")
+    vectors = labels.select(F.col("doc_id").alias("record_no"), hour(5).alias("at"))
+    failed = labels.where("toxic = 1").select(F.col("doc_id").alias("record_no"), hour(3).alias("failed_at"))
+    return joins.retry_set(views.papers(spark, sf), vectors, failed, key="record_no", stored_at=F.col("at"))
+
+
 @query("w4_latest_per_trace", with_views("""
 SELECT trace_id, event_id, event FROM (
   SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY ts DESC, event_id DESC) AS rn FROM run_log) WHERE rn = 1""", RUN_LOG))
@@ -610,21 +622,23 @@ def r2(spark, sf):
 # -- embedding ---------------------------------------------------------------------------
 
 LETTERS = [chr(97 + i) for i in range(26)]
-_COUNTS = ", ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in LETTERS)
-# The letters of the whole encoder input, unit length; texts without letters stay zero.
-LETTER_VECTORS = f"""letter_vectors AS (
-  SELECT doc_id, [v / greatest(norm, 1e-12) FOR v IN counts] AS e FROM (
-    SELECT doc_id, counts, sqrt(list_sum([v * v FOR v IN counts])) AS norm FROM (
-      SELECT doc_id, CAST([{_COUNTS}] AS DOUBLE[]) AS counts FROM (SELECT doc_id, encoder_input AS t FROM inputs))))"""
+# Whole texts; one above the limits of a call in pieces, averaged by length.
+STRIPPED = f"SELECT doc_id, trim(text, {SQL_STRIP}) AS t FROM documents"
 
 
-def u1_sql() -> str:
-    from folioflow.plans.scalar_queries import F10_SQL
+def pooled_counts(letters, source: str) -> str:
+    """The columns of `source` but its text `t`, and counts: for each letter the mean over the pieces, weighted by length."""
+    counted = ", ".join(f"list_sum([length(p) * (length(p) - length(replace(p, '{c}', ''))) FOR p IN pieces]) / length(t)::DOUBLE" for c in letters)
+    return f"""SELECT * EXCLUDE (t, pieces), CAST([{counted}] AS DOUBLE[]) AS counts FROM (
+      SELECT *, CASE WHEN strlen(t) <= 10000 AND length(t) <= 8192 THEN [t]
+                ELSE [substr(t, 1 + 2500 * k, 2500) FOR k IN range(0, (length(t) + 2499) // 2500)] END AS pieces
+      FROM ({source}))"""
 
-    head, tail = F10_SQL.rsplit("SELECT doc_id, left(", 1)
-    inputs = f"inputs AS (SELECT doc_id, left({tail})"
-    shown = ", ".join(f"round(e[{i + 1}], 6) AS {c}" for i, c in enumerate(LETTERS))
-    return f"{head.rstrip()},\n{inputs},\n{LETTER_VECTORS}\nSELECT doc_id, CAST(26 AS INTEGER) AS dimension, {shown} FROM letter_vectors"
+
+def u1_sql() -> str:
+    shown = ", ".join(f"round(counts[{i + 1}] / greatest(norm, 1e-12), 6) AS {c}" for i, c in enumerate(LETTERS))
+    return f"""SELECT doc_id, CAST(26 AS INTEGER) AS dimension, {shown} FROM (
+  SELECT *, sqrt(list_sum([v * v FOR v IN counts])) AS norm FROM ({pooled_counts(LETTERS, STRIPPED)}))"""
 
 
 @query("u1_embed_texts", u1_sql())
@@ -636,14 +650,8 @@ def u1(spark, sf):
 
 
 def u2_sql() -> str:
-    from folioflow.plans.scalar_queries import F10_SQL
-
-    head, tail = F10_SQL.rsplit("SELECT doc_id, left(", 1)
-    counts = ", ".join(f"CAST(length(t) - length(replace(t, '{c}', '')) AS DOUBLE) AS {c}" for c in "aeiou")
-    return f"""{head.rstrip()},
-inputs AS (SELECT doc_id, left({tail})
-SELECT doc_id, 'vowels-1' AS model_version, CAST(5 AS INTEGER) AS dimension, {counts}
-FROM (SELECT doc_id, encoder_input AS t FROM inputs)"""
+    shown = ", ".join(f"round(counts[{i + 1}], 6) AS {c}" for i, c in enumerate("aeiou"))
+    return f"SELECT doc_id, 'vowels-1' AS model_version, CAST(5 AS INTEGER) AS dimension, {shown} FROM ({pooled_counts('aeiou', STRIPPED)})"
 
 
 @query("u2_encoder_plug_in", u2_sql())
@@ -653,4 +661,4 @@ def u2(spark, sf):
     e = embed.embed_texts(texts, partial(embed.letter_counts, "aeiou"), "vowels-1", normalize=False)
     return e.select(
         "doc_id", "model_version", "dimension",
-        *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate("aeiou")])
+        *[F.round(F.get("embedding", F.lit(i)), 6).alias(c) for i, c in enumerate("aeiou")])

@@ -10,27 +10,29 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import combine_title_abstract
 from folioflow.operators import embed, quality, records, status
+from folioflow.operators.batches import WRITE_BATCH
 from folioflow.operators.dedup import deduplicate
 from folioflow.operators.lookup import newest
-from folioflow.session import materialize
 from folioflow.sources import landing
 from folioflow.sources.tables import KeyedTable, dead_letters, store_vectors
 
 # Fixed values of the default feed search.
 DEFAULT_CATEGORIES = ("cs.AI", "cs.LG", "cs.CL")
-DEFAULT_MAX_RESULTS = 1000
 
 
 def collect_feed(
     entries: DataFrame, categories: Iterable[str] = DEFAULT_CATEGORIES, date_from: str | None = None,
-    date_to: str | None = None, max_results: int = DEFAULT_MAX_RESULTS, source: str = records.FEED_SOURCE,
+    date_to: str | None = None, max_results: int | None = None, source: str = records.FEED_SOURCE,
 ) -> DataFrame:
-    """The newest papers of a feed in some categories and a range of days, ready to land."""
+    """The papers of a feed in some categories and a range of days, ready to land.
+
+    All of them; `max_results` asks for a page of the newest.
+    """
     papers = records.entries_to_papers(entries, source).where(
         quality.in_categories(F.col("categories"), categories)
         & quality.published_between(F.col("published_date"), date_from, date_to)
     )
-    return newest(papers, ["id"], 0, max_results)
+    return papers if max_results is None else newest(papers, ["id"], 0, max_results)
 
 
 def clean_batch(landed: DataFrame, trace_id: str, batch_time: datetime | None = None) -> DataFrame:
@@ -68,13 +70,18 @@ def batch_counts(landed: DataFrame) -> DataFrame:
     )
 
 
-def batch_result(counts: DataFrame, trace_id: str, batch_time: datetime, failed_items: int = 0) -> DataFrame:
-    """Result row of a landing batch; the write itself is all or nothing here."""
+def batch_result(counts: DataFrame, trace_id: str, batch_time: datetime) -> DataFrame:
+    """Result row of a landing batch whose papers are stored.
+
+    The write is all or nothing: it raises, and the batch is run again, or every item and
+    every write batch of it has succeeded.
+    """
+    none = F.lit(0).cast("long")
+    batches = F.ceil(F.col("unique_count") / F.lit(WRITE_BATCH))
     return status.batch_status(counts.withColumns({
-        "trace_id": F.lit(trace_id),
-        "timestamp": F.lit(batch_time),
-        "failed_items": F.lit(failed_items).cast("long"),
-        "success_items": F.col("unique_count") - F.lit(failed_items),
+        "trace_id": F.lit(trace_id), "timestamp": F.lit(batch_time), "total_items": F.col("unique_count"),
+        "success_items": F.col("unique_count"), "failed_items": none,
+        "batch_count": batches, "success_batches": batches, "failed_batches": none,
     }))
 
 
@@ -106,9 +113,11 @@ def vector_row_reason() -> Column:
     )
 
 
-def vectorization_results(embedded: DataFrame) -> DataFrame:
+def vectorization_results(embedded: DataFrame, run_ms: Column | None = None) -> DataFrame:
     """One row per trace of `embed_papers`: status, counters, rates and throughput.
 
+    `run_ms` is the wall time of the run; without it the times of the rows are summed.
+
     A row counts as stored when it has no error and its vector record is valid. A trace
     without any paper to embed is complete with zero papers.
     """
@@ -122,29 +131,25 @@ def vectorization_results(embedded: DataFrame) -> DataFrame:
         F.count_if(done & valid).alias("vectors_stored"),
         F.count_if(wanted & ~done).alias("failed_embeddings"),
         F.count_if(done & ~valid).alias("failed_storage"),
-        F.sum("processing_time_ms").alias("processing_time_ms"),
+        (F.sum("processing_time_ms") if run_ms is None else run_ms).alias("processing_time_ms"),
     ).withColumns({"retrieval_error": none, "storage_error": none})
     return status.success_rates(status.vector_status(counts)).withColumn(
         "throughput_per_second", status.throughput_per_second(F.col("vectors_stored"), F.col("processing_time_ms"))
     ).drop("retrieval_error", "storage_error")
 
 
-def vectorize_batch(
-    papers: DataFrame, vectors: KeyedTable, batch_id: str,
-    factory: embed.EncoderFactory = embed.letter_counts, model_version: str = "letter-counts",
-    tasks: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Embed papers and store their vectors; returns (results per trace, dead letters).
+def store_embedded(vectors: KeyedTable, embedded: DataFrame, run_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Store the vectors of embedded papers; returns (results per trace, dead letters).
 
-    The embedded rows are written once, since the encoder must not run per branch.
+    `embedded` is read for each of them, so it has to be a written table: the encoder must
+    not run per branch. Vectors are put by key, so a repeated run gives the same ones.
     """
-    embedded = materialize(embed_papers(papers, factory, model_version, tasks), "embedded")
     ready = records.vector_records(embedded.where(F.col("error_code").isNull()))
-    rejected = store_vectors(vectors, ready, quality.record_reason(), batch_id).select(
+    rejected = store_vectors(vectors, ready, quality.record_reason()).select(
         F.col("processing_info.trace_id").alias("trace_id"), "paper_id", "reason"
     )
     failed = embedded.where(F.col("error_code").isNotNull() & F.col("paper_reason").isNull()).select(
         "trace_id", "paper_id", F.concat_ws(": ", "error_code", "error_message").alias("reason")
     )
     letters = dead_letters(failed, "embedding_generation").unionByName(dead_letters(rejected, "vector_storage"))
-    return vectorization_results(embedded), letters
+    return vectorization_results(embedded, F.lit(max(1, run_ms)).cast("long")), letters

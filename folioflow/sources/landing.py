@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
+from typing import BinaryIO, TextIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.functions.timestamps import day_folder
+from folioflow.functions.timestamps import day_folder, rfc3339_exact
 from folioflow.schemas import LANDED_RECORD
 
 # Kinds of failures and the landing filter.
@@ -24,9 +26,8 @@ NO_VALID_PAPERS = "no valid papers found in data"
 GZIP_SUFFIXES = (".gz", ".gzip")
 LANDING_GLOB = "*.gz"
 
-# A file up to this size is decoded whole in one row; larger ones are read line by line.
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
 RECORDS_PER_BATCH = 2_000
+RECORDS_PER_FILE = 100_000
 _SURROGATE = re.compile("[\ud800-\udfff]")
 _FILE_COLUMNS = ("path", "modificationTime", "content")
 
@@ -95,24 +96,96 @@ def records_of_line(line: str) -> Found:
     return _records_of_value(value)
 
 
-def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | None, str | None]]:
-    """(key, record, record error, file error) of a whole file.
-
-    An array of objects (or nulls), or `null`, is taken as a whole and may be empty. Any
-    other text is read line by line and has to give a paper, or an envelope without any.
-    """
+Opener = Callable[[], TextIO]
+_SPACE = " \t\r\n"
+_AFTER = tuple(_SPACE + ",]")
+
+
+def _array_elements(text: TextIO, piece: int = 1 << 16) -> Iterator:
+    """The elements of a JSON array that is all of `text`, one by one; anything else is a ValueError."""
+    decoder = json.JSONDecoder(parse_constant=_reject, parse_float=_number, parse_int=_integer)
+    buffer, at, ended = "", 0, False
+
+    def more() -> None:
+        nonlocal buffer, at, ended
+        new = text.read(max(piece, len(buffer) - at))  # twice as much for an element that does not fit
+        ended, buffer, at = not new, buffer[at:] + new, 0
+
+    def blank() -> str:
+        """The next character that is no space, or '' at the end."""
+        nonlocal at
+        while True:
+            while at < len(buffer) and buffer[at] in _SPACE:
+                at += 1
+            if at < len(buffer) or ended:
+                return buffer[at:at + 1]
+            more()
+
+    def expect(allowed: str) -> str:
+        nonlocal at
+        mark = blank()
+        if not mark or mark not in allowed:
+            raise ValueError(f"{mark!r} in an array")
+        at += 1
+        return mark
+
+    expect("[")
+    if blank() == "]":
+        at += 1
+    else:
+        mark = ","
+        while mark == ",":
+            blank()
+            while True:
+                try:
+                    value, end = decoder.raw_decode(buffer, at)
+                    if ended or buffer[end:end + 1] in _AFTER:  # a number may go on in the next piece
+                        break
+                except ValueError:
+                    if ended:
+                        raise
+                more()
+            at = end
+            yield value
+            mark = expect(",]")
+    if blank():
+        raise ValueError("text after an array")
+
+
+def _array_of_objects(open_text: Opener) -> bool:
+    """True if the text is an array of objects (or nulls)."""
     try:
-        value = parse_strict(text)
+        return all(v is None or isinstance(v, dict) for v in _array_elements(open_text()))
     except (ValueError, RecursionError):
-        value = False
-    if value is None:
+        return False
+
+
+def _first_mark(open_text: Opener) -> str:
+    """The first five characters that matter, enough to tell an array and `null`."""
+    text, mark = open_text(), ""
+    while len(mark) < 5 and (new := text.read(4096)):
+        mark = (mark + new).lstrip(_SPACE)
+    return mark[:5]
+
+
+def records_of_file(open_text: Opener) -> Iterator[tuple[str | None, str | None, str | None, str | None]]:
+    """(key, record, record error, file error) of a whole file, read as a stream.
+
+    The shape decides, not the size. An array of objects (or nulls), or `null`, is taken as
+    a whole and may be empty; it is read once to see that it is one, and again for its
+    elements. Any other text is read line by line and has to give a paper, or an envelope
+    without any.
+    """
+    mark = _first_mark(open_text)
+    if mark.strip(_SPACE) == "null" and not open_text().read().strip(_SPACE)[4:]:
         return
-    if isinstance(value, list) and all(v is None or isinstance(v, dict) for v in value):
-        for found in map(_checked, value):
-            yield *found, None
+    if mark.startswith("[") and _array_of_objects(open_text):
+        for element in _array_elements(open_text()):
+            yield *_checked(element), None
         return
     any_valid = False
-    for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+    for line in open_text():
+        line = line.rstrip("\n")
         if not line:
             continue
         count = 0
@@ -125,9 +198,22 @@ def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | N
         yield None, None, None, NO_VALID_PAPERS
 
 
-def _inflate(path: str, content: bytes) -> str:
-    body = gzip.decompress(content) if path.endswith(GZIP_SUFFIXES) else content
-    return body.decode("utf-8", "replace")
+def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | None, str | None]]:
+    return records_of_file(lambda: io.StringIO(text, newline=None))
+
+
+def _opener(path: str, content: bytes) -> Opener:
+    """A reader of the inflated text, made anew for each pass. A file that does not inflate raises here."""
+    zipped = path.endswith(GZIP_SUFFIXES)
+
+    def binary() -> BinaryIO:
+        return gzip.GzipFile(fileobj=io.BytesIO(content)) if zipped else io.BytesIO(content)
+
+    if zipped:
+        body = binary()
+        while body.read(1 << 20):
+            pass
+    return lambda: io.TextIOWrapper(binary(), "utf-8", "replace", newline=None)
 
 
 def _batch(schema: T.StructType, constants: list, columns: list) -> pa.RecordBatch:
@@ -143,7 +229,7 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for path, changed, content in zip(*batch.columns):
             try:
-                found = records_of_text(_inflate(path.as_py(), content.as_py()))
+                found = records_of_file(_opener(path.as_py(), content.as_py()))
             except Exception as problem:  # one unreadable file must not stop the others
                 found = iter([(None, None, None, f"{type(problem).__name__}: {problem}")])
             numbered = enumerate(found)
@@ -156,63 +242,16 @@ def decode_files(files: DataFrame) -> DataFrame:
     return files.select(*_FILE_COLUMNS).mapInArrow(_decode_files, LANDED_RECORD)
 
 
-_LINE_RECORD = T.StructType([f for f in LANDED_RECORD.fields if f.name != "file_error"])
-
-
-def _decode_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        places, elements, found = [], [], []
-        for place, line in enumerate(batch.column("value").to_pylist()):
-            for element, row in enumerate(records_of_line(line)):
-                places.append(place)
-                elements.append(element)
-                found.append(row)
-        lines = batch.select(["file_path", "file_time", "block_start", "record_no"]).take(pa.array(places, pa.int64()))
-        texts = [pa.array(values, pa.string()) for values in zip(*found)] or [pa.array([], pa.string())] * 3
-        arrays = [*lines.columns, pa.array(elements, pa.int64()), *texts]
-        yield pa.RecordBatch.from_arrays(arrays, names=_LINE_RECORD.fieldNames())
-
-
-def read_large_files(spark: SparkSession, path: str | list[str], over: int, glob: str) -> DataFrame:
-    """Line by line scan of files above the whole-file size, which never sit in one row.
-
-    Their shape is lines or envelopes; each line is one row and its place in the file is
-    the start of the split and the running number within the task. The size filter is on
-    file metadata, so smaller files are not opened.
-    """
-    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
-    meta = F.col("_metadata")
-    placed = lines.where((meta["file_size"] > over) & (F.col("value") != "")).select(
-        meta["file_path"].alias("file_path"),
-        meta["file_modification_time"].alias("file_time"),
-        meta["file_block_start"].alias("block_start"),
-        F.monotonically_increasing_id().alias("record_no"),
-        "value",
-    )
-    records = placed.mapInArrow(_decode_lines, _LINE_RECORD)
-    failed = (
-        records.groupBy("file_path", "file_time")
-        .agg(F.count_if(F.col("record_error").isNull()).alias("valid")).where(F.col("valid") == 0)
-        .select("file_path", "file_time", F.lit(NO_VALID_PAPERS).alias("file_error"))
-    )
-    return records.unionByName(failed, allowMissingColumns=True)
-
-
-def read_landing(
-    spark: SparkSession, path: str | list[str], glob: str = LANDING_GLOB, whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | list[str], glob: str = LANDING_GLOB) -> DataFrame:
     """Records of all landing files under `path`.
 
-    Every element gives one row; a file that fails gives one row with its error. Files up
-    to `whole_file_bytes` are decoded whole, larger ones line by line, so that no task has
-    to hold a large file.
+    Every element gives one row; a file that fails gives one row with its error. A task
+    holds the file as it is stored, and of what is in it a line or an element at a time.
     """
-    small = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true").load(path)
-        .where(F.col("length") <= whole_file_bytes)
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     )
-    return decode_files(small).unionByName(read_large_files(spark, path, whole_file_bytes, glob))
+    return decode_files(files)
 
 
 # Order of arrival: files by time and name, then the place within the file.
@@ -230,12 +269,17 @@ def file_message():
     return F.concat(problem, F.col("file_path"), F.lit(": "), F.col("file_error"))
 
 
-def write_landing(papers: DataFrame, path: str, collected_at: str = "collected_at", source: str = "source") -> None:
-    """Gzip JSON lines in one folder per collection day and source."""
+def write_landing(
+    papers: DataFrame, path: str, collected_at: str = "collected_at", source: str = "source",
+    max_records: int = RECORDS_PER_FILE,
+) -> None:
+    """Gzip JSON lines in one folder per collection day and source, in files of bounded size."""
+    times = {f.name: rfc3339_exact(F.col(f.name)) for f in papers.schema if isinstance(f.dataType, T.TimestampType) and f.name != collected_at}
     (
-        papers.withColumns({"collect_date": day_folder(F.col(collected_at)), "collect_source": F.col(source)})
+        papers.withColumns({**times, "collect_date": day_folder(F.col(collected_at)), "collect_source": F.col(source)})
         .drop(collected_at)
-        .write.partitionBy("collect_date", "collect_source").option("compression", "gzip").json(path)
+        .write.partitionBy("collect_date", "collect_source").option("compression", "gzip")
+        .option("maxRecordsPerFile", max_records).json(path)
     )
 
 

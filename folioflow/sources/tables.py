@@ -1,146 +1,81 @@
 """Keyed Parquet tables with whole-row upsert.
 
-An upsert appends its rows as a new version and costs what the batch costs, whatever the
-size of the table. A read lets the newest version of each key win: the newer versions are
-merged and joined with the oldest, largest one (broadcast when their measured size allows,
-else shuffled). When many versions are live, the newest ones are folded together with
-those that are not larger than they are, so that a row is rewritten only as often as the
-table doubles. A version counts once its line in the commit log is written; a run that
-fails half-way leaves no trace in reads.
+Rows lie in folders by a bucket of their key. An upsert reads the buckets that its rows
+touch, replaces rows of equal keys, writes the result beside the table and then puts it in
+place of those buckets (Spark's dynamic partition overwrite). The path that is read is
+never the one being written, and repeating an upsert gives the same rows, so a retry is
+safe. Choose the number of buckets so that one of them is a task's work.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.operators.dedup import last_per_key, union_batches
+from folioflow.operators.dedup import last_per_key
 from folioflow.operators.joins import upsert_frame
+from folioflow.session import staged
 
-_COMMIT = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("covers_from", T.LongType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("batch_id", T.StringType()),
-])
-FOLD_AFTER = 16
-
-
-class Commit(NamedTuple):
-    version: int
-    covers_from: int
-    row_count: int
-    batch_id: str | None
-
-
-def _live(commits: list[Commit]) -> list[Commit]:
-    """Commits a read has to look at, oldest first; the others are covered by them."""
-    live: list[Commit] = []
-    for commit in reversed(commits):
-        if not live or commit.version < live[-1].covers_from:
-            live.append(commit)
-    return live[::-1]
-
-
-def _to_fold(live: list[Commit]) -> list[Commit]:
-    """The newest commits, at least two, back to one that is larger than all after it."""
-    start, rows = len(live) - 2, live[-1].row_count + live[-2].row_count
-    while start > 0 and live[start - 1].row_count <= rows:
-        start -= 1
-        rows += live[start].row_count
-    return live[start:]
+BUCKETS = 16
+_BUCKET = "_bucket"
 
 
 @dataclass
 class KeyedTable:
+    """`sort_by`: columns by which the files are sorted, so that filters on them skip row groups."""
+
     spark: SparkSession
     path: str
     schema: T.StructType
     keys: list[str]
-    partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
+    buckets: int = BUCKETS
 
-    def commits(self) -> list[Commit]:
-        """The commit log, one small row per version; this is driver metadata."""
+    def _stored(self) -> DataFrame | None:
+        layout = T.StructType([*self.schema.fields, T.StructField(_BUCKET, T.IntegerType())])
         try:
-            rows = self.spark.read.schema(_COMMIT).json(f"{self.path}/_commits").collect()
+            return self.spark.read.schema(layout).parquet(self.path)
         except AnalysisException as problem:
             if problem.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return None
             raise
-        return sorted(Commit(*row) for row in rows)
-
-    def live_versions(self) -> list[int]:
-        return [commit.version for commit in _live(self.commits())]
-
-    def _write(self, rows: DataFrame, commits: list[Commit], batch_id: str | None, covers_from: int | None) -> Commit:
-        version = commits[-1].version + 1 if commits else 0
-        out = rows.select(*self.schema.fieldNames()).write.mode("overwrite")
-        if self.partition_by:
-            out = out.partitionBy(*self.partition_by)
-        out.parquet(self._path(version))
-        row_count = self._version(version).count()  # from the Parquet footers
-        commit = Commit(version, version if covers_from is None else covers_from, row_count, batch_id)
-        self.spark.createDataFrame([commit], _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
-        return commit
-
-    def upsert(self, rows: DataFrame, batch_id: str | None = None) -> int:
-        """Put `rows` (unique in the keys). A batch id that is committed already is skipped."""
-        commits = self.commits()
-        for commit in commits:
-            if batch_id is not None and commit.batch_id == batch_id:
-                return commit.version
-        new = self._write(rows, commits, batch_id, None)
-        commits = [*commits, new]
-        live = _live(commits)
-        if len(live) > FOLD_AFTER:
-            fold = _to_fold(live)
-            self._write(self._merged([c.version for c in fold]), commits, None, fold[0].covers_from)
-        return new.version
-
-    def compact(self) -> int:
-        """Fold everything into one version; a maintenance run, it rewrites the table."""
-        return self._write(self.read(), self.commits(), None, 0).version
-
-    def _path(self, version: int) -> str:
-        return f"{self.path}/version={version}"
-
-    def _version(self, version: int) -> DataFrame:
-        rows = self.spark.read.schema(self.schema).parquet(self._path(version))
-        return rows.select(*self.schema.fieldNames())
-
-    def _merged(self, versions: list[int]) -> DataFrame:
-        """The newest row per key of some versions."""
-        if len(versions) == 1:
-            return self._version(versions[0])
-        parts = [self._version(v).withColumn("_version", F.lit(v)) for v in versions]
-        return last_per_key(union_batches(*parts), self.keys, F.col("_version")).drop("_version")
 
     def read(self) -> DataFrame:
-        live = self.live_versions()
-        if not live:
-            return self.spark.createDataFrame([], self.schema)
-        base = self._version(live[0])
-        return upsert_frame(base, self._merged(live[1:]), self.keys) if len(live) > 1 else base
-
-    def of_batch(self, batch_id: str) -> DataFrame:
-        """The rows one batch has written."""
-        return self._version(next(c.version for c in self.commits() if c.batch_id == batch_id))
-
-
-def store_vectors(table: KeyedTable, records: DataFrame, reason, batch_id: str | None = None) -> DataFrame:
-    """Upsert the valid vector records; returns the rejected ones with their reason.
-
-    Of several records with one key the last written would win; the batch has one per key.
-    """
+        stored = self._stored()
+        return self.spark.createDataFrame([], self.schema) if stored is None else stored.drop(_BUCKET)
+
+    def upsert(self, rows: DataFrame) -> None:
+        """Put `rows`; of several with one key the last wins."""
+        arrived = rows.select(*self.schema.fieldNames()).withColumn("_arrival", F.monotonically_increasing_id())
+        last = last_per_key(arrived, self.keys, F.col("_arrival")).drop("_arrival")
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        with staged(last.withColumn(_BUCKET, bucket), "upsert") as fresh:
+            touched = [row[0] for row in fresh.select(_BUCKET).distinct().collect()]  # at most the number of buckets
+            stored = self._stored()
+            if stored is None:
+                self._replace(fresh)
+            elif touched:
+                with staged(upsert_frame(stored.where(F.col(_BUCKET).isin(touched)), fresh, self.keys), "merged") as merged:
+                    self._replace(merged)
+
+    def _replace(self, rows: DataFrame) -> None:
+        (
+            rows.repartition(_BUCKET).sortWithinPartitions(_BUCKET, *self.sort_by).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(self.path)
+        )
+
+
+def store_vectors(table: KeyedTable, records: DataFrame, reason: Column) -> DataFrame:
+    """Upsert the valid vector records; returns the rejected ones with their reason."""
     marked = records.withColumn("reason", reason)
-    table.upsert(marked.where(F.col("reason").isNull()).drop("reason"), batch_id)
+    table.upsert(marked.where(F.col("reason").isNull()).drop("reason"))
     return marked.where(F.col("reason").isNotNull())
 
 
-def dead_letters(rejected: DataFrame, stage: str) -> DataFrame:
-    return rejected.select(F.lit(stage).alias("stage"), "trace_id", "paper_id", "reason")
+def dead_letters(rejected: DataFrame, stage: str, failed_at: Column | None = None) -> DataFrame:
+    when = F.current_timestamp() if failed_at is None else failed_at
+    return rejected.select(F.lit(stage).alias("stage"), "trace_id", "paper_id", "reason", when.alias("failed_at"))

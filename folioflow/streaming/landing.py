@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,9 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow import schemas
+from folioflow.operators import joins
 from folioflow.operators.embed import EncoderFactory, letter_counts
 from folioflow.plans import jobs
-from folioflow.session import materialize
+from folioflow.session import staged
 from folioflow.sources import landing
 from folioflow.sources.tables import KeyedTable
 
@@ -27,11 +29,14 @@ BATCH_RESULT = T.StructType([
     T.StructField("error_message", T.StringType()),
     *[T.StructField(n, T.LongType()) for n in (
         "processed_count", "original_count", "unique_count", "duplicate_count", "invalid_count",
-        "success_items", "failed_items", "record_errors", "file_errors",
+        "total_items", "success_items", "failed_items", "batch_count", "success_batches", "failed_batches",
+        "record_errors", "file_errors",
     )],
 ])
 VECTOR_RESULT = T.StructType([
     T.StructField("trace_id", T.StringType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("finished_at", T.TimestampType()),
     T.StructField("status", T.StringType()),
     T.StructField("error_message", T.StringType()),
     *[T.StructField(n, T.LongType()) for n in (
@@ -42,7 +47,10 @@ VECTOR_RESULT = T.StructType([
         "embedding_success_rate", "storage_success_rate", "overall_success_rate", "throughput_per_second",
     )],
 ])
-DEAD_LETTER = T.StructType([T.StructField(n, T.StringType()) for n in ("stage", "trace_id", "paper_id", "reason")])
+DEAD_LETTER = T.StructType([
+    *[T.StructField(n, T.StringType()) for n in ("stage", "trace_id", "paper_id", "reason")],
+    T.StructField("failed_at", T.TimestampType()),
+])
 
 
 def _files(spark: SparkSession, path: str, glob: str, max_files: int) -> DataFrame:
@@ -55,21 +63,8 @@ def _files(spark: SparkSession, path: str, glob: str, max_files: int) -> DataFra
 def landing_stream(
     spark: SparkSession, path: str, glob: str = landing.LANDING_GLOB, max_files: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Records of new landing files as a stream, with the same rows as the batch scan.
-
-    A file too large to be decoded whole comes as an error row; `process_landing` reads
-    such files line by line.
-    """
-    files = _files(spark, path, glob, max_files)
-    large = F.col("length") > landing.WHOLE_FILE_BYTES
-    empty = F.lit(None)
-    refused = files.where(large).select(
-        F.col("path").alias("file_path"), F.col("modificationTime").alias("file_time"),
-        *[F.lit(0).cast("long").alias(c) for c in ("block_start", "record_no", "element_no")],
-        *[empty.cast("string").alias(c) for c in ("record_key", "record", "record_error")],
-        F.lit("file is too large to be decoded whole").alias("file_error"),
-    )
-    return landing.decode_files(files.where(~large)).unionByName(refused)
+    """Records of new landing files as a stream, with the same rows as the batch scan."""
+    return landing.decode_files(_files(spark, path, glob, max_files))
 
 
 @dataclass
@@ -79,16 +74,16 @@ class Store:
     spark: SparkSession
     path: str
 
-    def _table(self, name: str, schema: T.StructType, *keys: str) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.path}/{name}", schema, list(keys))
+    def _table(self, name: str, schema: T.StructType, *keys: str, sort_by: tuple[str, ...] = ()) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.path}/{name}", schema, list(keys), sort_by)
 
     @property
     def papers(self) -> KeyedTable:
-        return self._table("papers", schemas.PAPER, "paper_id")
+        return self._table("papers", schemas.PAPER, "paper_id", sort_by=("source", "published_date"))
 
     @property
     def vectors(self) -> KeyedTable:
-        return self._table("vectors", schemas.VECTOR_RECORD, "paper_id", "vector_type")
+        return self._table("vectors", schemas.VECTOR_RECORD, "paper_id", "vector_type", sort_by=("paper_id",))
 
     @property
     def batch_results(self) -> KeyedTable:
@@ -96,10 +91,12 @@ class Store:
 
     @property
     def vector_results(self) -> KeyedTable:
-        return self._table("vector_results", VECTOR_RESULT, "trace_id")
+        """One row per trace and attempt; `operators.joins.latest_per_trace` by finished_at has the state of a trace."""
+        return self._table("vector_results", VECTOR_RESULT, "trace_id", "attempt")
 
     @property
     def dead_letters(self) -> KeyedTable:
+        """The last failure of a paper; it is settled by a later vector (`operators.joins.retry_set`)."""
         return self._table("dead_letters", DEAD_LETTER, "stage", "trace_id", "paper_id")
 
 
@@ -108,46 +105,74 @@ def trace_of_batch(name: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{name}/{batch_id}"))
 
 
-def take_in(store: Store, paths: list[str], trace_id: str) -> None:
-    """One batch: parse, stamp, deduplicate within the batch, upsert, write the result."""
+def take_in(store: Store, landed: DataFrame, trace_id: str) -> None:
+    """One batch of landed records: stamp, deduplicate within the batch, upsert, write the result."""
     now = datetime.now(timezone.utc)
-    landed = materialize(landing.read_landing(store.spark, paths, glob="*"), "landed")
-    store.papers.upsert(jobs.clean_batch(landed, trace_id, now), trace_id)
-    store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(landed), trace_id, now), trace_id)
+    with staged(landed, "landed") as rows:
+        store.papers.upsert(jobs.clean_batch(rows, trace_id, now))
+        store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(rows), trace_id, now))
+
+
+def _vectorize(
+    store: Store, papers: DataFrame, trace_id: str, factory: EncoderFactory, model_version: str,
+    tasks: int | None, attempt: str | None,
+) -> None:
+    started = time.monotonic()
+    with staged(jobs.embed_papers(papers, factory, model_version, tasks), "embedded") as embedded:
+        run_ms = int((time.monotonic() - started) * 1000)
+        results, letters = jobs.store_embedded(store.vectors, embedded, run_ms)
+        store.dead_letters.upsert(letters)
+        store.vector_results.upsert(results.withColumns({
+            "attempt": F.lit(attempt or datetime.now(timezone.utc).isoformat()), "finished_at": F.current_timestamp(),
+        }))
 
 
 def vectorize(
-    store: Store, trace_id: str, factory: EncoderFactory, model_version: str, tasks: int | None = None
+    store: Store, trace_id: str, factory: EncoderFactory, model_version: str, tasks: int | None = None,
+    attempt: str | None = None,
+) -> None:
+    """The step a finished batch starts: embed all papers of the trace, store the vectors by key.
+
+    A run gives what its papers give now: after a failure, or with another model, it may be
+    run again, and its result is one more attempt.
+    """
+    papers = store.papers.read().where(F.col("trace_id") == trace_id)
+    _vectorize(store, papers, trace_id, factory, model_version, tasks, attempt)
+
+
+def revectorize(
+    store: Store, trace_id: str, factory: EncoderFactory, model_version: str, tasks: int | None = None,
+    attempt: str | None = None,
 ) -> None:
-    """The step a finished batch starts: embed the papers of the trace, store the vectors."""
-    papers = store.papers.of_batch(trace_id)
-    results, letters = jobs.vectorize_batch(papers, store.vectors, trace_id, factory, model_version, tasks)
-    store.dead_letters.upsert(letters, trace_id)
-    store.vector_results.upsert(results, trace_id)
+    """The same for the papers of a trace that have no vector, or have failed since they got one."""
+    papers = store.papers.read().where(F.col("trace_id") == trace_id)
+    todo = joins.retry_set(
+        papers, store.vectors.read(), store.dead_letters.read(), stored_at=F.col("processing_info.created_at"))
+    _vectorize(store, papers.join(todo.select("paper_id"), "paper_id", "left_semi"), trace_id, factory, model_version, tasks, attempt)
 
 
 def process_landing(
     spark: SparkSession, path: str, store: Store, checkpoint: str, name: str = "landing",
     factory: EncoderFactory | None = letter_counts, model_version: str = "letter-counts",
     glob: str = landing.LANDING_GLOB, max_files: int = FILES_PER_BATCH, encoder_tasks: int | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run every new landing file through `take_in`, and `vectorize` when a factory is given.
 
-    The stream carries file names only; their number per batch is bound by `max_files`.
-    All writes are keyed by the trace of the micro-batch, so a repeated batch changes nothing.
+    A micro-batch is decoded from the files the stream has read, whatever their names. All
+    writes are by key, so a repeated batch gives the same rows. `trigger` has the
+    arguments of `DataStreamWriter.trigger`; by default the stream ends with what is there.
     """
 
     def run(files: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in files.select("path").collect()]
-        if not paths:
+        if files.select("path").isEmpty():
             return
         trace_id = trace_of_batch(name, batch_id)
-        take_in(store, paths, trace_id)
+        take_in(store, landing.decode_files(files), trace_id)
         if factory is not None:
-            vectorize(store, trace_id, factory, model_version, encoder_tasks)
+            vectorize(store, trace_id, factory, model_version, encoder_tasks, attempt=f"batch {batch_id}")
 
-    files = _files(spark, path, glob, max_files).select("path")
     return (
-        files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).queryName(name).start()
+        _files(spark, path, glob, max_files).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).queryName(name).start()
     )

@@ -2,6 +2,7 @@
 
 import math
 import sys
+from functools import partial
 
 import numpy as np
 import pytest
@@ -51,6 +52,38 @@ def test_one_failure_does_not_stop_others(texts):
     assert rows[5].error_message == "embedding contains NaN at index 0"
 
 
+def wrong_rows(extra):
+    return lambda texts: np.zeros((max(0, len(texts) + extra), 2))
+
+
+@pytest.mark.parametrize("extra", [1, -1])
+def test_wrong_number_of_vectors_is_a_failed_call(texts, extra):
+    rows = by_i(embed.embed_texts(texts, partial(wrong_rows, extra), "m"))
+    assert [rows[i].error_code for i in (0, 1, 5, 6)] == ["EMBEDDING_ERROR"] * 4
+
+
+def constant(value):
+    return lambda texts: np.full((len(texts), 1), float(value))
+
+
+def test_two_factories_of_one_name(texts):
+    for value in (2, 3):
+        rows = by_i(embed.embed_texts(texts, partial(constant, value), "same", normalize=False))
+        assert rows[0].embedding == [float(value)]
+
+
+def test_whole_long_texts_are_embedded(spark):
+    long = "a" * 9_000 + "b" * 3_000
+    df = spark.createDataFrame([(0, long), (1, "é" * 6_000 + "b" * 100)], "i int, text string")
+    rows = by_i(embed.embed_texts(df, partial(embed.letter_counts, "ab"), "m", normalize=False))
+    sizes = [2500, 2500, 2500, 2500, 2000]
+    a = [2500, 2500, 2500, 1500, 0]
+    assert rows[0].embedding == pytest.approx([sum(s * x for s, x in zip(sizes, a)) / 12_000, sum(s * (s - x) for s, x in zip(sizes, a)) / 12_000])
+    assert rows[1].embedding[1] > 0
+    cut = by_i(embed.embed_texts(df, partial(embed.letter_counts, "ab"), "m", normalize=False, truncate=True))
+    assert cut[0].embedding == [8192.0, 0.0]
+
+
 def test_many_texts_keep_their_order(spark, monkeypatch):
     df = spark.range(3000).select("id", F.when(F.col("id") % 7 == 0, "").otherwise(
         F.repeat(F.lit("a"), (F.col("id") % 50).cast("int") + 1)).alias("text"))

@@ -1,6 +1,7 @@
 """Exact rows of the landing scan and of normalization."""
 
 import gzip
+import io
 import json
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from folioflow.operators import records
 from folioflow.sources import landing
+from folioflow.streaming import alarms
+from folioflow.streaming import landing as stream
 
 A, B = '{"paper_id":"a"}', '{"id":"b"}'
 OK = (None, None)
@@ -82,30 +85,42 @@ def test_landing_glob_takes_gz_only(spark, folder):
     assert sorted(r[0] for r in names.collect()) == ["corrupt.gz", "cut.gz", "good.gz"]
 
 
-def test_large_files_give_the_same_records(spark, tmp_path):
-    lines = [json.dumps({"paper_id": str(i), "title": "x" * 50}) for i in range(500)]
-    lines[7] = "broken"
-    lines[9] = '{"papers":[{"id":"p1"},{"id":"p2"}]}'
-    write(tmp_path / "big.gz", gzip.compress("\n".join(lines).encode()))
-    write(tmp_path / "bad.json", b"x\n" * 3000)
-    wanted = ("record", "record_error", "file_error")
-    small = landing.read_landing(spark, str(tmp_path), glob="*")
-    large = landing.read_landing(spark, str(tmp_path), glob="*", whole_file_bytes=100)
-    in_order = lambda df: [
-        tuple(r)[-3:] for r in df.orderBy(*landing.ARRIVAL, F.col("file_error").isNotNull()).select(
-            *landing.ARRIVAL, *wanted).collect()
-    ]
-    assert sorted(in_order(small), key=repr) == sorted(in_order(large), key=repr)
-    keyed = lambda df: [r.record for r in df.where("record is not null").orderBy(*landing.ARRIVAL).collect()]
-    assert keyed(small) == keyed(large)
+def test_large_array_in_batch_and_stream(spark, tmp_path):
+    """One array of more than 32 MB gives all its papers, as a scan and as a stream."""
+    source = tmp_path / "in"
+    source.mkdir()
+    papers = [{"paper_id": str(i), "title": "long title " * 120} for i in range(26_000)]
+    body = json.dumps(papers, indent=1).encode()
+    assert len(body) > 32 * 1024 * 1024
+    write(source / "array.gz", gzip.compress(body, 1))
+    count = lambda df: (df.where("record_key is not null").select("record_key").distinct().count(), df.where("record_error is not null or file_error is not null").count())
+    assert count(landing.read_landing(spark, str(source))) == (26_000, 0)
+    alarms.run_to_table(stream.landing_stream(spark, str(source)), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert count(spark.read.parquet(str(tmp_path / "out"))) == (26_000, 0)
 
 
-def test_small_files_are_not_opened_twice(spark, folder):
-    large = landing.read_large_files(spark, str(folder), landing.WHOLE_FILE_BYTES, "*")
-    lines = spark.read.option("recursiveFileLookup", "true").text(str(folder)).where(
-        F.col("_metadata.file_size") > landing.WHOLE_FILE_BYTES)
-    assert lines.rdd.getNumPartitions() == 0
-    assert large.count() == 0
+@pytest.mark.parametrize("text, elements", [
+    ("[]", []), (" [ ] ", []), ("[1]", [1]), ('[{"a": [1, "]"]}, null ,2.5]', [{"a": [1, "]"]}, None, 2.5]), ("[12,34]", [12, 34]),
+    ("[1,]", None), ("[1 2]", None), ("[1", None), ("[", None), ("[1] x", None), ("", None), ('{"a":1}', None), ("[NaN]", None),
+])
+@pytest.mark.parametrize("piece", [1, 3, 1000])
+def test_array_elements(text, elements, piece):
+    scan = lambda: list(landing._array_elements(io.StringIO(text), piece))
+    if elements is None:
+        with pytest.raises(ValueError):
+            scan()
+    else:
+        assert scan() == elements
+
+
+def test_landing_write_keeps_digits_and_bounds_files(spark, tmp_path):
+    df = spark.sql("""SELECT 's' AS source, timestamp'2024-01-20 00:00:00' AS collected_at, CAST(id AS string) AS id,
+      CASE WHEN id = 0 THEN timestamp'2024-01-02 12:34:56.123456' ELSE timestamp'2024-01-02 12:34:50' END AS at FROM range(0, 10, 1, 1)""")
+    landing.write_landing(df, str(tmp_path / "out"), max_records=4)
+    rows = landing.read_landing(spark, str(tmp_path / "out"))
+    times = {json.loads(r.record)["at"] for r in rows.collect()}
+    assert times == {"2024-01-02T12:34:56.123456Z", "2024-01-02T12:34:50Z"}
+    assert rows.select("file_path").distinct().count() == 3
 
 
 def normalized(spark, *texts):

@@ -3,12 +3,20 @@
 import gzip
 import json
 
+import sys
+
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
+from folioflow.operators import joins
 from folioflow.operators.embed import letter_counts
 from folioflow.session import scratch_dir
+from folioflow.sources import landing
 from folioflow.streaming import landing as stream
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the workers do not see this file
+
 
 def put(folder, name, papers):
     (folder / name).write_bytes(gzip.compress("\n".join(json.dumps(p) for p in papers).encode()))
@@ -43,6 +51,7 @@ def test_two_batches_and_their_tables(spark, world):
     assert (one.status, one.original_count, one.unique_count, one.duplicate_count) == ("partial_success", 3, 2, 1)
     assert one.record_errors == 1 and one.file_errors == 1 and one.error_message.startswith("failed to download/decompress")
     assert (two.status, two.unique_count, two.error_message) == ("success", 2, None)
+    assert (two.total_items, two.batch_count, two.success_batches, two.failed_batches) == (2, 1, 1, 0)
 
     runs = {r.trace_id: r for r in store.vector_results.read().collect()}
     assert (runs[first].status, runs[first].total_papers, runs[first].failed_embeddings) == ("partial_success", 2, 1)
@@ -54,17 +63,69 @@ def test_two_batches_and_their_tables(spark, world):
     assert vectors["1"].embedding_metadata.dimension == 26
 
 
-def test_repeated_batch_changes_nothing(spark, world):
-    source, store, state = world
+def test_repeated_batch_gives_the_same_rows(spark, world):
+    source, store, _ = world
     put(source, "a.gz", [{"id": "1", "title": "abc"}])
     trace = stream.trace_of_batch("landing", 0)
     for _ in range(2):
-        stream.take_in(store, [str(source / "a.gz")], trace)
-        stream.vectorize(store, trace, letter_counts, "letter-counts")
-    assert store.papers.live_versions() == [0]
+        stream.take_in(store, landing.read_landing(spark, str(source)), trace)
+        stream.vectorize(store, trace, letter_counts, "letter-counts", attempt="first")
     assert store.papers.read().count() == store.vectors.read().count() == store.vector_results.read().count() == 1
 
 
+def some_fail():
+    encode = letter_counts()
+
+    def run(texts):
+        if any("bad" in t for t in texts):
+            raise ValueError("cannot encode")
+        return encode(texts)
+
+    return run
+
+
+def test_run_again_after_failures(spark, world):
+    source, store, state = world
+    put(source, "a.gz", [{"id": str(i), "title": "bad" if i % 2 else "good"} for i in range(4)])
+    run(spark, source, store, state, factory=some_fail)
+    trace = stream.trace_of_batch("landing", 0)
+    assert store.vectors.read().count() == 2 and store.dead_letters.read().count() == 2
+    stream.revectorize(store, trace, letter_counts, "letter-counts", attempt="again")
+    assert store.vectors.read().count() == 4
+    rows = {r.attempt: r for r in store.vector_results.read().collect()}
+    assert (rows["batch 0"].status, rows["batch 0"].vectors_stored) == ("partial_success", 2)
+    assert (rows["again"].status, rows["again"].total_papers, rows["again"].vectors_stored) == ("completed", 2, 2)
+    assert rows["again"].throughput_per_second > 0
+    todo = joins.retry_set(store.papers.read(), store.vectors.read(), store.dead_letters.read(), stored_at=F.col("processing_info.created_at"))
+    assert todo.count() == 0
+    stream.vectorize(store, trace, letter_counts, "letter-counts-2")
+    assert {r[0] for r in store.vectors.read().select("embedding_metadata.model_version").collect()} == {"letter-counts-2"}
+
+
+def test_stop_before_the_result_is_written(spark, world, monkeypatch):
+    """A first attempt stores some vectors and stops; the retry stores all and says so."""
+    source, store, _ = world
+    put(source, "a.gz", [{"id": "1", "title": "good"}, {"id": "2", "title": "bad"}])
+    stream.take_in(store, landing.read_landing(spark, str(source)), "t")
+    with monkeypatch.context() as m:
+        m.setattr(stream.jobs, "dead_letters", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stream.vectorize(store, "t", some_fail, "m", attempt="a")
+    assert store.vectors.read().count() == 1 and store.vector_results.read().count() == 0
+    stream.vectorize(store, "t", letter_counts, "m", attempt="a")
+    assert store.vectors.read().count() == 2 and store.vector_results.read().first().vectors_stored == 2
+
+
+@pytest.mark.parametrize("name", ["x[1].gz", "y{z}.gz", "s*r.gz", "p%20.gz", "a b.gz"])
+def test_file_names_are_only_names(spark, world, name):
+    source, store, state = world
+    put(source, name, [{"id": "odd"}])
+    put(source, "x1.gz", [{"id": "plain"}])
+    run(spark, source, store, state, factory=None)
+    keys = lambda df, c: sorted(r[0] for r in df.select(c).collect())
+    assert keys(store.papers.read(), "paper_id") == keys(landing.read_landing(spark, str(source)), "record_key") == ["odd", "plain"]
+
+
 def test_all_files_bad(spark, world):
     source, store, state = world
     (source / "broken.gz").write_bytes(b"nothing")

@@ -1,12 +1,13 @@
-"""Keyed tables: upsert, repeat, folding, compaction, and a write that never commits."""
+"""Keyed tables: upsert, repeats, copies within a batch, and filters that reach the scan."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import types as T
 
+from folioflow import session
 from folioflow.session import scratch_dir
-from folioflow.sources import tables
 from folioflow.sources.tables import KeyedTable
 
 SCHEMA = T.StructType([
@@ -16,7 +17,7 @@ SCHEMA = T.StructType([
 
 @pytest.fixture()
 def table(spark):
-    return KeyedTable(spark, scratch_dir(spark, "table"), SCHEMA, ["k", "t"])
+    return KeyedTable(spark, scratch_dir(spark, "table"), SCHEMA, ["k", "t"], sort_by=("t",), buckets=4)
 
 
 def frame(spark, rows):
@@ -27,8 +28,13 @@ def content(table):
     return sorted(tuple(r) for r in table.read().collect())
 
 
-def test_empty(table):
+def test_empty(spark, table):
     assert content(table) == []
+    table.upsert(frame(spark, []))
+    assert content(table) == []
+    table.upsert(frame(spark, [("a", "x", 1)]))
+    table.upsert(frame(spark, []))
+    assert content(table) == [("a", "x", 1)]
 
 
 def test_last_write_wins(spark, table):
@@ -38,48 +44,33 @@ def test_last_write_wins(spark, table):
     assert content(table) == [("a", "x", 3), ("a", "y", 2), ("b", "x", 1)]
 
 
-def test_repeated_batch_changes_nothing(spark, table):
-    table.upsert(frame(spark, [("a", "x", 1)]), "one")
-    table.upsert(frame(spark, [("a", "x", 2)]), "two")
-    assert table.upsert(frame(spark, [("a", "x", 99)]), "one") == 0
-    assert content(table) == [("a", "x", 2)]
-    assert [tuple(r) for r in table.of_batch("one").collect()] == [("a", "x", 1)]
+def test_last_of_a_batch_wins(spark, table):
+    table.upsert(frame(spark, [("a", "x", 1), ("a", "x", 2), ("b", "x", 5), ("a", "x", 3)]).coalesce(1))
+    assert content(table) == [("a", "x", 3), ("b", "x", 5)]
 
 
-def test_folding_and_compaction(spark, table, monkeypatch):
-    monkeypatch.setattr(tables, "FOLD_AFTER", 3)
+def test_repeats_change_nothing(spark, table):
     rng, expected = random.Random(1), {}
-    for i in range(9):
+    for i in range(6):
         rows = {(f"k{rng.randrange(12)}", "x"): i for _ in range(5)}
         expected.update(rows)
-        table.upsert(frame(spark, [(*k, v) for k, v in rows.items()]), f"b{i}")
-        assert len(table.live_versions()) <= 4
+        for _ in range(1 + i % 2):
+            table.upsert(frame(spark, [(*k, v) for k, v in rows.items()]))
         assert content(table) == sorted((*k, v) for k, v in expected.items())
-    table.compact()
-    assert len(table.live_versions()) == 1
-    assert content(table) == sorted((*k, v) for k, v in expected.items())
-    table.upsert(frame(spark, [("k0", "x", 77)]))
-    assert ("k0", "x", 77) in content(table)
-
-
-def test_large_versions_are_left_alone():
-    live = [tables.Commit(i, i, n, None) for i, n in enumerate([1000, 100, 10, 5, 5, 5])]
-    assert [c.version for c in tables._to_fold(live)] == [2, 3, 4, 5]
-    assert [c.version for c in tables._to_fold(live[:3])] == [1, 2]
-    assert [c.version for c in tables._to_fold([live[5]] * 4)] == [5] * 4
-
-
-def test_uncommitted_version_is_not_read(spark, table):
-    table.upsert(frame(spark, [("a", "x", 1)]))
-    frame(spark, [("a", "x", 2)]).write.parquet(f"{table.path}/version=1")
-    assert content(table) == [("a", "x", 1)]
-    table.upsert(frame(spark, [("a", "x", 3)]))
-    assert content(table) == [("a", "x", 3)]
 
 
-def test_partitioned_table_prunes(spark):
-    table = KeyedTable(spark, scratch_dir(spark, "table"), SCHEMA, ["k", "t"], partition_by=("t",))
+def test_filters_reach_the_scan(spark, table):
     table.upsert(frame(spark, [("a", "x", 1), ("a", "y", 2)]))
-    plan = table.read().where("t = 'x'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(t" in plan
-    assert content(table) == [("a", "x", 1), ("a", "y", 2)]
+    plan = table.read().where("k = 'a' and t = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,a)" in plan and "EqualTo(t,x)" in plan and "Exchange" not in plan
+
+
+def test_scratch_is_deleted(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    numbers = iter(range(100))
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, name: f"{shared}/{name}-{next(numbers)}")
+    table = KeyedTable(spark, str(tmp_path / "table"), SCHEMA, ["k", "t"])
+    for v in (1, 2):
+        table.upsert(frame(spark, [("a", "x", v)]))
+    assert content(table) == [("a", "x", 2)] and next(numbers) == 3 and os.listdir(shared) == []
