@@ -108,10 +108,12 @@ def shingles(hashes: np.ndarray, upto: np.ndarray, size: int = SHINGLE_WORDS) ->
             yield np.zeros(0, np.uint64)
 
 
-def gram_hashes(body: np.ndarray, size: int) -> np.ndarray:
-    """The hash of the `size` bytes from each position at which so many are left."""
+def gram_hashes(body: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The hash of the `size` bytes from each position at which so many are left, or from the positions `at`."""
     power, inverse = powers(len(body) + 1)
     sums = np.zeros(len(body) + 1, np.uint64)
     np.cumsum((body.astype(np.uint64) + np.uint64(1)) * power[: len(body)], out=sums[1:])
+    if at is not None:
+        return mix((sums[at + size] - sums[at]) * inverse[at])
     n = max(0, len(body) - size + 1)
     return mix((sums[size : size + n] - sums[:n]) * inverse[:n])
