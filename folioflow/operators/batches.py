@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.session import materialize
+
 WRITE_BATCH = 25
 ROWS_PER_BLOCK = 100_000
 
@@ -16,8 +18,10 @@ def number_rows(df: DataFrame, group: str, order: str, rows_per_block: int = ROW
     blocks of `order` values; a block has at most `rows_per_block` rows however hot its
     group is. Rows are numbered within the block, and the rows before a block come from
     running sums over the small table of block counts. Window and join share one exchange.
-    A null group counts as the empty one.
+    A null group counts as the empty one. The rows are written down first, since they are
+    needed twice: the counts read group and order only.
     """
+    df = materialize(df, "numbered")
     blocked = df.withColumns({
         "_group": F.coalesce(F.col(group).cast("string"), F.lit("")),
         "_block": F.expr(f"`{order}` div {int(rows_per_block)}"),

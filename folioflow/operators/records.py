@@ -57,6 +57,12 @@ def entries_to_papers(entries: DataFrame, source: str = FEED_SOURCE) -> DataFram
     ).where(F.col("published_date").isNotNull())
 
 
+def rejected_entries(entries: DataFrame) -> DataFrame:
+    """published, entries: how many entries are left out for each date that can't be read."""
+    unread = entries.where(feed_timestamp(F.col("published")).isNull())
+    return unread.groupBy("published").agg(F.count(F.lit(1)).alias("entries"))
+
+
 KEY_FIELDS = ("paper_id", "id")
 RECORD_FIELDS = (
     *KEY_FIELDS, "source", "title", "abstract", "authors", "published_date", "categories", "raw_xml",

@@ -54,6 +54,14 @@ def a21(spark, sf):
     return rounded(dedup.dedup_analysis(views.papers(spark, sf, blank_keys=True), ["trace_id"]), "duplicate_rate")
 
 
+@query("a21_dedup_analysis_by_day", with_views("""
+SELECT CAST(published_date AS VARCHAR) AS day, count(*) AS before_count, count(DISTINCT paper_id) AS after_count,
+  count(*) - count(DISTINCT paper_id) AS duplicate_count FROM papers GROUP BY published_date""", PAPERS))
+def a21_day(spark, sf):
+    return dedup.dedup_analysis(views.papers(spark, sf), ["published_date"]).select(
+        F.col("published_date").cast("string").alias("day"), "before_count", "after_count", "duplicate_count")
+
+
 BATCHED = """batched AS (
   SELECT *, (row_number() OVER (PARTITION BY source ORDER BY record_no) - 1) // 25 AS batch_no FROM first_rows)"""
 

@@ -85,6 +85,24 @@ def s1(spark, sf):
     )
 
 
+@query("s1_feed_errors", """SELECT 'good' AS feed, count(*) AS entries, CAST(0 AS BIGINT) AS errors FROM documents
+UNION ALL SELECT 'malformed', 0, 1""")
+def s1_errors(spark, sf):
+    """Two feeds of all documents, one of them with an entry that does not close."""
+    path = scratch_dir(spark, "feeds")
+    docs = views.table(spark, sf, "documents")
+    entry = F.concat(F.lit("<entry><id>"), "doc_id", F.lit("</id></entry>"))
+    broken = F.when(F.col("doc_id") == 7, F.lit("<entry><id>7</entry>")).otherwise(entry)
+    for name, column in (("good", entry), ("malformed", broken)):
+        lines = docs.select(column.alias("e")).agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), "\n"), F.lit("</feed>")).alias("value"))
+        lines.write.text(f"{path}/feed={name}")
+    files = f"{path}/*/*.txt"
+    read = feeds.read_feed(spark, files).agg(F.count("id").alias("entries"))
+    bad = feeds.feed_errors(spark, files).select(F.regexp_extract("file_path", "feed=([^/]*)/", 1).alias("feed"))
+    good = read.select(F.lit("good").alias("feed"), "entries", F.lit(0).cast("long").alias("errors"))
+    return good.unionByName(bad.groupBy("feed").agg(F.lit(0).cast("long").alias("entries"), F.count(F.lit(1)).alias("errors")))
+
+
 @query("s2_landing_scan", "SELECT doc_id, text, source FROM documents")
 def s2(spark, sf):
     docs = views.table(spark, sf, "documents")

@@ -67,6 +67,11 @@ def f5(spark, sf):
     )
 
 
+@query("f5_rejected_dates", with_views("SELECT count(*) AS entries FROM entries WHERE published IS NULL", FEED))
+def f5_rejected(spark, sf):
+    return records.rejected_entries(views.feed_entries(spark, sf)).agg(F.sum("entries").alias("entries"))
+
+
 @query("f8_field_mapping", "SELECT doc_id AS id, source AS feed, text AS abstract, lang AS categories FROM documents")
 def f8(spark, sf):
     mapping = {"id": "doc_id", "feed": "source", "abstract": "text", "categories": "lang"}

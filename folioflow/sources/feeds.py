@@ -2,14 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from xml.parsers import expat
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioflow.schemas import FEED_ENTRY
 
 
+def _check_files(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, errors = [], []
+        for path, content in zip(*batch.columns, strict=True):
+            try:
+                expat.ParserCreate().Parse(content.as_py(), True)
+            except expat.ExpatError as problem:
+                paths.append(path.as_py())
+                errors.append(f"failed to parse XML response: {problem}")
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(errors, pa.string())], ["file_path", "file_error"])
+
+
+def feed_errors(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file_path, file_error: the files that are not well-formed. Such a feed is refused as a whole."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file_path"), "content")
+    return files.mapInArrow(_check_files, "file_path string, file_error string")
+
+
 def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Entries of landed feed files; large files are split at entries by the XML source."""
-    return (
-        spark.read.schema(FEED_ENTRY).option("rowTag", "entry")
-        .option("ignoreSurroundingSpaces", "false").xml(path)
+    """Entries of landed feed files; large files are split at entries by the XML source.
+
+    Files that are not well-formed give no entries here; `feed_errors` names them.
+    """
+    entries = (
+        spark.read.schema(FEED_ENTRY).option("rowTag", "entry").option("ignoreSurroundingSpaces", "false").xml(path)
+        .withColumn("_file", F.col("_metadata.file_path"))
     )
+    refused = feed_errors(spark, path).select(F.col("file_path").alias("_file"))
+    return entries.join(refused, "_file", "left_anti").select(*FEED_ENTRY.fieldNames())

@@ -104,3 +104,12 @@ def test_files_not_loaded_yet(spark):
     files = spark.createDataFrame([("a",), ("b",), ("c",)], "file_path string")
     left = not_loaded(files, files.where(F.col("file_path") != "b"))
     assert [r.file_path for r in left.collect()] == ["b"]
+
+
+def test_malformed_feed_is_an_error_of_its_file(spark, tmp_path):
+    good = "<feed><entry><id>1</id></entry><entry><id>2</id></entry></feed>"
+    (tmp_path / "good.xml").write_text(good)
+    (tmp_path / "bad.xml").write_text("<feed><entry><id>3</id></entry><entry><id>4</entry><entry><id>5</id></entry></feed>")
+    assert sorted(r.id for r in feeds.read_feed(spark, str(tmp_path)).collect()) == ["1", "2"]
+    row, = feeds.feed_errors(spark, str(tmp_path)).collect()
+    assert row.file_path.endswith("/bad.xml") and row.file_error.startswith("failed to parse XML response: ")
