@@ -15,7 +15,7 @@ from folioflow.llm import chosen_path, containment, cuckoo, language, mixing
 from folioflow.session import configure, materialize
 
 #: Calibrated probability of the best language below which a document is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 
 
 def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
