@@ -61,19 +61,20 @@ def throttling_alarm(log: DataFrame, throttled: Column, threshold: int = MAX_THR
     return windowed_alarm(log, _count(throttled), threshold, **kw)
 
 
-def window_alarms(log: DataFrame, units: Column, throttled: Column, period: str = PERIOD) -> DataFrame:
-    """The three window alarms in the summary's shape, from one pass over the log."""
-    alarms = {
-        "errors": (_errors(), MAX_ERRORS),
-        "write_volume": (units, MAX_WRITE_UNITS),
-        "throttling": (_count(throttled), MAX_THROTTLES),
-    }
-    totals = log.groupBy(F.window("ts", period).alias("w"), "service").agg(
-        *[F.sum(value).alias(name) for name, (value, _) in alarms.items()])
+def window_totals(log: DataFrame, units: Column, throttled: Column, used: Column, period: str = PERIOD) -> DataFrame:
+    """What the window, success-rate and memory alarms need, per window and service, from one pass over the log."""
+    return log.groupBy(F.window("ts", period).alias("w"), "service").agg(
+        F.sum(_errors()).alias("errors"), F.sum(units).alias("write_volume"), F.sum(_count(throttled)).alias("throttling"),
+        F.count(F.lit(1)).alias("events"), F.sum(used.cast("double")).alias("used"), F.count(used).alias("used_events"))
+
+
+def window_alarms(totals: DataFrame) -> DataFrame:
+    """The three window alarms in the summary's shape."""
+    alarms = {"errors": MAX_ERRORS, "write_volume": MAX_WRITE_UNITS, "throttling": MAX_THROTTLES}
     entries = F.array(*[
         F.struct(F.lit(name).alias("alert"), F.col(name).cast("double").alias("value"),
                  F.lit(float(threshold)).alias("threshold"))
-        for name, (_, threshold) in alarms.items()
+        for name, threshold in alarms.items()
     ])
     raised = F.filter(entries, lambda e: e["value"] > e["threshold"])
     return totals.select("service", "w", F.explode(raised).alias("e")).select(
@@ -81,6 +82,13 @@ def window_alarms(log: DataFrame, units: Column, throttled: Column, period: str
         "e.value", "e.threshold")
 
 
+def day_totals(totals: DataFrame) -> DataFrame:
+    """Success rate and mean memory use per day and service. A window has to lie within a day."""
+    return totals.groupBy(F.to_date("w.start").alias("day"), "service").agg(
+        percent(F.sum("events") - F.sum("errors"), F.sum("events")).alias("success_rate"),
+        F.try_divide(F.sum("used"), F.sum("used_events")).alias("avg_memory_percent"))
+
+
 def stalled_traces(log: DataFrame, now: str, minutes: int = MAX_OPEN_MINUTES) -> DataFrame:
     """Traces that started more than `minutes` before `now` and have not completed."""
     limit = F.to_timestamp(F.lit(now)) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
@@ -93,11 +101,14 @@ def stopped_flows(results: DataFrame) -> DataFrame:
 
 def success_rate_alarm(log: DataFrame) -> DataFrame:
     """Days on which a service (not the total) fell below the success thresholds."""
+    return low_success(daily_rates(log).where(F.col("service") != "all"))
+
+
+def low_success(rates: DataFrame) -> DataFrame:
     rate = F.col("success_rate")
     severity = F.when(rate < CRITICAL_SUCCESS_RATE, CRITICAL).when(rate < WARNING_SUCCESS_RATE, WARNING)
     return (
-        daily_rates(log).where(F.col("service") != "all")
-        .withColumn("severity", severity).where(F.col("severity").isNotNull())
+        rates.withColumn("severity", severity).where(F.col("severity").isNotNull())
         .select("day", "service", "success_rate", "severity")
     )
 

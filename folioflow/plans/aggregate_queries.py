@@ -11,6 +11,7 @@ from folioflow.operators import alerts, batches, dedup, embed, joins, monitor, q
 from folioflow.plans import views
 from folioflow.plans.registry import query, with_views
 from folioflow.plans.views import PAPERS, RUN_LOG, SQL_STRIP, VECTORS
+from folioflow.session import materialize
 
 NOW = "2024-01-20 12:00:00"
 TODAY = "2024-01-20"
@@ -589,19 +590,21 @@ SUMMARY = f"""SELECT severity, alert, count(*) AS active_alerts FROM (
 def st12(spark, sf):
     log, none = views.run_log(spark, sf), F.lit(None)
     service, day = F.col("service"), F.col("day")
+    totals = materialize(alerts.window_totals(log, _units(), _throttled(), F.col("data_count")), "window-totals")
+    days = alerts.day_totals(totals)
     return alerts.alert_summary([
-        alerts.window_alarms(log, _units(), _throttled()),
+        alerts.window_alarms(totals),
         alerts.alert_rows(
             alerts.stalled_traces(log, NOW), "stalled_trace", alerts.CRITICAL, none, F.col("started_at"), none,
             alerts.MAX_OPEN_MINUTES),
         alerts.alert_rows(
-            alerts.success_rate_alarm(log), "success_rate", F.col("severity"), service, day, F.col("success_rate"),
+            alerts.low_success(days), "success_rate", F.col("severity"), service, day, F.col("success_rate"),
             F.when(F.col("severity") == alerts.CRITICAL, 80).otherwise(95)),
         alerts.alert_rows(
             alerts.stopped_flows(status.vector_status(_vector_counters(spark, sf))), "stopped_flow", alerts.CRITICAL,
             none, none, none, none),
         alerts.alert_rows(
-            alerts.memory_alarm(log, F.col("data_count")), "memory", alerts.WARNING, service, day,
+            days.where(F.col("avg_memory_percent") > alerts.MAX_MEMORY_PERCENT), "memory", alerts.WARNING, service, day,
             F.col("avg_memory_percent"), alerts.MAX_MEMORY_PERCENT),
         alerts.alert_rows(
             alerts.dedup_rate_bounds(views.papers(spark, sf, blank_keys=True), "record_no").where("outside"),
