@@ -36,10 +36,11 @@ from folioflow.session import materialize
 THRESHOLD = 0.8
 RECALL = 0.999
 COORDINATES = 128
-#: Classes in a node that are compared without a further split, and in a block of those that can't be split.
-NODE = 256
+#: Classes in a node that are compared without a further split: some million comparisons of sketches, about a second.
+NODE = 4096
 LEVELS = 4
-BLOCK = 512
+#: Rows of a node, and of a component with its whole sets, that are compared in one go.
+NODE_BLOCK, BLOCK = 2048, 512
 #: Standard deviations of a sketch's estimate that a candidate may lie below the threshold.
 SLACK = 4
 
@@ -126,7 +127,7 @@ def candidate_nodes(classes: DataFrame, threshold: float = THRESHOLD, recall: fl
         rows = found.filter(F.col("members") > node).select("node", "doc_id").join(classes.select("doc_id", "sketch"), "doc_id")
 
 
-def block_pairs(rows: DataFrame, group: str, size: str, block: int = BLOCK) -> DataFrame:
+def block_pairs(rows: DataFrame, group: str, size: str, block: int) -> DataFrame:
     """Rows once for each pair of blocks of their group: adds blk, lo and hi. Groups of up to `block` rows are one block."""
     blocks = F.ceil(F.col(size) / block).cast("int")
     cut = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(7)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -157,15 +158,17 @@ def _groups(batches: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[pa.Ta
 
 
 def _trees(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each row of the symmetric relation, the smallest id of its part."""
+    """For each row of the symmetric relation, the smallest id of its part. `ids` are sorted."""
     root = ids.copy()
-    while True:
-        least = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        new = np.minimum(root, least)
-        new = new[np.searchsorted(ids, new)] if len(ids) else new  # the root of the root
-        if (new == root).all():
-            return root
-        root = new
+    left = near.any(axis=1)
+    for i in np.flatnonzero(left).tolist():
+        part, front = np.zeros(len(ids), bool), np.array([i])
+        while left[i] and len(front):
+            part[front] = True
+            front = np.flatnonzero(near[front].any(axis=0) & ~part)
+        root[part] = ids[i]
+        left &= ~part
+    return root
 
 
 def _near_sketches(threshold: float):
@@ -175,8 +178,7 @@ def _near_sketches(threshold: float):
         for table in _groups(batches, ["node", "lo", "hi"]):
             ids = table.column("doc_id").to_numpy()
             x = np.array([np.frombuffer(b, np.uint8) for b in table.column("small").to_pylist()])
-            same = np.array([(x == row).sum(axis=1) for row in x])
-            close = same >= least * COORDINATES
+            close = np.array([(x == row).sum(axis=1) >= least * COORDINATES for row in x])
             root = _trees(close, ids)
             own = root != ids
             yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(root[own])], ["a", "b"])
@@ -245,7 +247,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 
     nodes = candidate_nodes(classes, threshold, recall)
     small = classes.select("doc_id", "sketch").mapInArrow(_low_bytes, "doc_id bigint, small binary")
-    compared = block_pairs(nodes.join(materialize(small, "small-sketches"), "doc_id"), "node", "members")
+    compared = block_pairs(nodes.join(materialize(small, "small-sketches"), "doc_id"), "node", "members", NODE_BLOCK)
     parts = connected(compared.select("node", "lo", "hi", "doc_id", "small").mapInArrow(_near_sketches(threshold), "a bigint, b bigint"))
     parts = materialize(parts, "candidate-parts")
 
@@ -253,7 +255,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     own = parts.join(sizes, "root").join(classes.select(F.col("doc_id").alias("node"), "copies"), "node").withColumnRenamed("node", "doc_id")
     texts_of = known.join(parts.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     sets = texts_of.select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, shingles binary")
-    verified = block_pairs(own.join(sets, "doc_id"), "root", "members").select("root", "lo", "hi", "blk", "doc_id", "copies", "shingles")
+    verified = block_pairs(own.join(sets, "doc_id"), "root", "members", BLOCK).select("root", "lo", "hi", "blk", "doc_id", "copies", "shingles")
     links = materialize(verified.mapInArrow(_links(threshold), "doc_id bigint, links bigint, root bigint"), "links")
 
     roots = connected(links.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))

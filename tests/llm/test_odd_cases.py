@@ -82,7 +82,8 @@ def test_jaccard_dense_group_in_blocks(spark, monkeypatch):
     links = tq.links_of({d: fx.shingle_set(t) for d, t in fx.pairs(docs) if d is not None})
     root = tq.components(links)
     monkeypatch.setattr(chosen_path.candidate_nodes, "__defaults__", (0.8, 0.999, 16, 4))
-    monkeypatch.setattr(chosen_path.block_pairs, "__defaults__", (32,))
+    monkeypatch.setattr(chosen_path, "NODE_BLOCK", 24)
+    monkeypatch.setattr(chosen_path, "BLOCK", 32)
     found = {r["doc_id"]: r for r in chosen_path.jaccard_join(docs).collect() if (r["doc_id"] or 0) >= 100}
     assert all((r["class_id"], r["n_links"]) == (root[d], len(links[d])) for d, r in found.items())
 
