@@ -15,8 +15,8 @@ pairs is made: a block gives the links of each class and a tree of each of its p
 
 Cases: null texts count as empty. Texts without a word are similar to nothing, each is a
 class of its own. A text of fewer than five words has one shingle of all of them. Rows
-that share an id share the class of its smallest set; ids that are null have no links and
-no class. Repeated rows are copies. Empty tables give no rows.
+that share an id but not a text are one document: candidates come from each of its texts,
+the smallest text is compared. Ids that are null have no links and no class. Repeated rows are copies. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ COORDINATES = 128
 NODE = 4096
 LEVELS = 4
 #: Rows of a node, and of a component with its whole sets, that are compared in one go.
-NODE_BLOCK, BLOCK = 2048, 512
+NODE_BLOCK, BLOCK = 2048, 1024
 #: Standard deviations of a sketch's estimate that a candidate may lie below the threshold.
 SLACK = 4
 
@@ -61,12 +61,12 @@ def runs_for(recall: float, levels: int = LEVELS) -> int:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each of the hash functions over the set."""
+    """The smallest value of each of the hash functions over the set, as 32 well-mixed bits."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 2048):
         x = shingles[i : i + 2048, None] * _TURN + _ADD
         least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=0))
-    return texts.mix(least)
+    return (texts.mix(least) >> np.uint64(32)).astype(np.uint32)
 
 
 def _set_batches(batches: Iterable[pa.RecordBatch], make: Callable) -> Iterator[pa.RecordBatch]:
@@ -97,7 +97,7 @@ def _enter(runs: int, threshold: float):
 
     def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([np.frombuffer(x, np.uint64) for x in batch.column("sketch").to_pylist()]).reshape(-1, COORDINATES) + seeds
+            values = np.array([np.frombuffer(x, np.uint32) for x in batch.column("sketch").to_pylist()], np.uint64).reshape(-1, COORDINATES) + seeds
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             if "node" in batch.schema.names:
                 roots = batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[:, None]
@@ -118,7 +118,7 @@ def candidate_nodes(classes: DataFrame, threshold: float = THRESHOLD, recall: fl
     for level in range(levels):
         entered = materialize(rows.mapInArrow(enter, "node bigint, doc_id bigint"), "nodes")
         counts = materialize(entered.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), "node-counts")
-        found = entered.join(counts, "node")
+        found = entered.hint("merge").join(counts, "node")  # directly above its shuffles, so that hot nodes can be split
         last = level == levels - 1 or counts.filter(F.col("members") > node).isEmpty()
         small = found if last else found.filter(F.col("members") <= node)
         done = small if done is None else done.unionByName(small)
@@ -238,12 +238,12 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.filter("doc_id is not null")
     sketches = materialize(known.mapInArrow(_sketches, "doc_id bigint, same binary, sketch binary"), "sketches")
-    groups = sketches.groupBy("same").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"))
-    groups = materialize(groups, "classes")
-    member = materialize(sketches.select("doc_id", "same").join(groups, "same").groupBy("doc_id").agg(
+    groups = materialize(sketches.groupBy("same").agg(
+        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
+    member = materialize(sketches.select("doc_id", "same").join(groups.drop("sketch"), "same").groupBy("doc_id").agg(
         F.min(F.struct("copy_id", "copies")).alias("c")).select("doc_id", "c.copy_id", "c.copies"), "members")
-    first = sketches.join(groups.select("same", F.col("copy_id").alias("doc_id"), "copies"), ["same", "doc_id"]).dropDuplicates(["doc_id"])
-    classes = materialize(first.select("doc_id", "copies", "sketch"), "class-sketches")
+    classes = groups.select(F.col("copy_id").alias("doc_id"), "sketch")
+    copies = groups.groupBy(F.col("copy_id").alias("node")).agg(F.min_by("copies", "same").alias("copies"))
 
     nodes = candidate_nodes(classes, threshold, recall)
     small = classes.select("doc_id", "sketch").mapInArrow(_low_bytes, "doc_id bigint, small binary")
@@ -252,8 +252,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     parts = materialize(parts, "candidate-parts")
 
     sizes = materialize(parts.groupBy("root").agg(F.count("*").alias("members")), "part-sizes")
-    own = parts.join(sizes, "root").join(classes.select(F.col("doc_id").alias("node"), "copies"), "node").withColumnRenamed("node", "doc_id")
-    texts_of = known.join(parts.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    own = parts.join(sizes, "root").join(copies, "node").withColumnRenamed("node", "doc_id")
+    texts_of = known.join(parts.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     sets = texts_of.select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, shingles binary")
     verified = block_pairs(own.join(sets, "doc_id"), "root", "members", BLOCK).select("root", "lo", "hi", "blk", "doc_id", "copies", "shingles")
     links = materialize(verified.mapInArrow(_links(threshold), "doc_id bigint, links bigint, root bigint"), "links")
@@ -271,5 +271,5 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 def _low_bytes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One byte of each value of a sketch: enough to compare two, with one chance in 256 to be wrong per value."""
     for batch in batches:
-        found = [np.frombuffer(x, np.uint8)[::8].tobytes() for x in batch.column(1).to_pylist()]
+        found = [np.frombuffer(x, np.uint8)[::4].tobytes() for x in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "small"])
