@@ -5,7 +5,9 @@ shingles of five words. Items are partitioned by the power of two of their numbe
 shingles. The MinHash signature of an item is its smallest hashes, so many that an item
 of its partition with `threshold` of its shingles in a document must have one of them
 there: one more than the largest number of shingles it may lack. So the search loses
-nothing, however long the document. Candidates are verified on the words of the shingles.
+nothing, however long the document. The search also takes letters beyond ASCII in lower
+case, which only adds candidates; they are verified on the words of the shingles, in which
+A-Z alone are.
 
 Cases: null texts count as empty. An item of fewer than five words has one shingle of all
 its words. Items without a word match nothing. Rows are told apart by id and text; rows
@@ -19,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.word_arrays import gram_hash, gram_text, lower_words, starts
+from folioflow.llm.word_arrays import ascii_lower_words, gram_hash, gram_text, lower_words, starts
 from folioflow.session import materialize
 
 SHINGLE = 5
@@ -30,12 +32,13 @@ BROADCAST_ROWS = 1_000_000
 
 def item_shingles(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item_id, size (words in a shingle), n_item (distinct shingles of the item), hash, shingle."""
-    words = items.select(F.col(id_col).alias("item_id"), lower_words(F.col(text_col)).alias("words")).filter(F.size("words") > 0)
+    text = F.col(text_col)
+    words = items.select(F.col(id_col).alias("item_id"), ascii_lower_words(text).alias("words"), lower_words(text).alias("folded")).filter(F.size("words") > 0)
     words = words.withColumn("size", F.least(F.size("words"), F.lit(SHINGLE)))
     runs = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size")))).select(
-        "item_id", "size", F.expr("slice(words, at + 1, size)").alias("run"))
+        "item_id", "size", F.expr("slice(words, at + 1, size)").alias("run"), F.expr("slice(folded, at + 1, size)").alias("folded"))
     # The hash has to be that of gram_hash, which takes the words of a run one by one; a run that is shorter has nulls, which it skips.
-    runs = runs.select("item_id", "size", gram_hash(F.col("run"), F.lit(0), SHINGLE).alias("hash"), F.array_join("run", " ").alias("shingle")).distinct()
+    runs = runs.select("item_id", "size", gram_hash(F.col("folded"), F.lit(0), SHINGLE).alias("hash"), F.array_join("run", " ").alias("shingle")).distinct()
     counts = runs.groupBy(F.col("item_id").alias("own_id")).agg(F.count("*").alias("n_item"))
     return runs.join(counts, F.col("item_id").eqNullSafe(F.col("own_id"))).select("item_id", "size", "n_item", "hash", "shingle")
 
@@ -83,7 +86,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     pairs = found.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("item_id").alias("pair_item"))
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))
     rows = _document_words(docs, id_col, text_col).join(pairs, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    words = rows.select("doc_id", "text_hash", lower_words(F.col("text")).alias("words"))
+    words = rows.select("doc_id", "text_hash", ascii_lower_words(F.col("text")).alias("words"))
     held = None
     for size in _sizes(shingles):
         runs = _runs(gram_text, size)

@@ -20,6 +20,12 @@ def lower_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BETWEEN), lambda w: w != "")
 
 
+def ascii_lower_words(text: Column) -> Column:
+    """The same words with only A-Z in lower case. Slower, so for the few texts that have to be compared exactly."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), upper, lower), BETWEEN), lambda w: w != "")
+
+
 def gram_hash(words: Column, at: Column, size: int) -> Column:
     """Hash of the words from `at` (from 0)."""
     return F.xxhash64(*(F.get(words, at + j) for j in range(size)))

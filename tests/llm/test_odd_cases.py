@@ -219,7 +219,7 @@ def test_containment(spark):
     words = item.split(" ")
     short = " ".join(words[:3])
     items = spark.createDataFrame([(1, item, "x"), (2, short, "x"), (3, None, "x"), (4, "", "x"), (5, item, "x"), (6, "...", "x")], "item_id bigint, text string, doc_id string")
-    extra = [(200, fx.prose(21, 5000) + " " + item.upper() + " " + fx.prose(22, 5000), "en", "a"), (201, " ".join(words[:56]), "en", "a"), (202, " ".join(words[10:40]), "en", "a"), (203, f"a, {short}", "en", "a"),
+    extra = [(200, fx.prose(21, 5000) + " " + "".join(c.upper() if c.isascii() else c for c in item) + " " + fx.prose(22, 5000), "en", "a"), (205, item.upper(), "en", "a"), (201, " ".join(words[:56]), "en", "a"), (202, " ".join(words[10:40]), "en", "a"), (203, f"a, {short}", "en", "a"),
              (204, " ".join(words[:30] + ["odd"] + words[30:]), "en", "a"), (204, " ".join(words[:30] + ["odd"] + words[30:]), "en", "a")]
     docs = fx.documents(spark, extra)
     n = {1: 5, 2: 3, 5: 5}
