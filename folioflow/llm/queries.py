@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import chosen_path, containment, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, suffix_tree, warc
+from folioflow.llm import chosen_path, containment, context_tree, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, warc
 from folioflow.session import configure, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,7 +122,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_suffix_tree_scores")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_tree.lm_scores(table(spark, sf_dir, "documents"))
+    return context_tree.lm_scores(table(spark, sf_dir, "documents"))
 
 
 @query("op4_chosen_path_join")
