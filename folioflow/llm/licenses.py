@@ -4,7 +4,8 @@ Every rolling run of three words of a text is hashed and met with the positions
 runs in the templates. A meeting at text position p and template position t votes for the
 diagonal p - t. Votes are counted per diagonal, neighbouring diagonals (words put in or
 left out) are merged to spans, and a span is verified by the part of the template's runs
-that it holds word for word.
+that it holds word for word. Where a template begins again, a new span begins, so copies
+that follow each other closely are verified one by one.
 
 Three short phrases are the base; their places are diagonals on which every run of the
 phrase votes. The method adds the labels of longer notices, also when they are changed a
@@ -86,15 +87,26 @@ def diagonals(runs: DataFrame) -> DataFrame:
         F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("held"))
 
 
+def _verified(diags: DataFrame, *span: str) -> DataFrame:
+    merged = diags.groupBy(*span).agg(
+        F.min("first").alias("first_word"), (F.max("last") + RUN - 1).alias("last_word"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"))
+    return merged.withColumn("covered", F.col("held") / F.col("runs")).filter(
+        (F.col("covered") >= COVERED) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("runs") + RUN + DRIFT)))
+
+
 def license_spans(diags: DataFrame) -> DataFrame:
     """Spans of the templates: doc_id, text_hash, label, base, first_word, last_word (of the span), covered (0 to 1)."""
     key = ["doc_id", "text_hash", "template"]
     order = Window.partitionBy(*key).orderBy("first", "diagonal")
     far = (F.col("first") - F.lag("last").over(order) > DRIFT + RUN) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > DRIFT)
-    merged = diags.filter("not base").withColumn("span", F.sum(F.when(far, 1).otherwise(0)).over(order)).groupBy(*key, "label", "base", "runs", "span").agg(
-        F.min("first").alias("first_word"), (F.max("last") + RUN - 1).alias("last_word"), F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"))
-    near = merged.withColumn("covered", F.col("held") / F.col("runs")).filter(
-        (F.col("covered") >= COVERED) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("runs") + RUN + DRIFT)))
+    again = far | (F.col("first") - F.col("diagonal") <= F.lag(F.col("last") - F.col("diagonal")).over(order))
+    marked = diags.filter("not base").withColumn("span", F.sum(F.when(far, 1).otherwise(0)).over(order)).withColumn("pass", F.sum(F.when(again, 1).otherwise(0)).over(order))
+    passes = _verified(marked, *key, "label", "base", "runs", "span", "pass")
+    # an edited copy with stray runs among its own is held by the whole span only
+    whole = _verified(marked, *key, "label", "base", "runs", "span")
+    found = Window.partitionBy(*key, "span")
+    near = whole.withColumn("pass", F.lit(None).cast("bigint")).unionByName(passes).withColumn("passes", F.count("pass").over(found)).filter("pass is not null or passes = 0")
     exact = diags.filter("base and votes = runs").select(
         *key, "label", "base", F.col("diagonal").alias("first_word"), (F.col("diagonal") + F.col("runs") + RUN - 2).alias("last_word"), F.lit(1.0).alias("covered"))
     return exact.unionByName(near.select(*exact.columns))
