@@ -57,14 +57,18 @@ NOTICES = [
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
 
+# Words that tell a label's notices from those of its siblings: a span has to hold a run with one of them. Fixed.
+TELLING = {"gpl-3": ["3"], "gpl-2": ["2"], "lgpl": ["lesser"], "agpl": ["affero"], "cc-by-nc": ["noncommercial", "nc"], "cc-by-sa": ["sharealike"]}
+
 
 def template_runs(spark: SparkSession) -> DataFrame:
-    """template, label, base, runs (how many), tpos, hash, run (its words)."""
+    """template, label, base, runs (how many), tpos, telling, hash, run (its words)."""
     every = [(text, label, True) for text, label in BASE] + [(text, label, False) for text, label in NOTICES]
-    rows = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(t).alias("text"), F.lit(lab).alias("label"), F.lit(b).alias("base")) for i, (t, lab, b) in enumerate(every)))
+    rows = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(t).alias("text"), F.lit(lab).alias("label"), F.lit(b).alias("base"), F.lit(" ".join(TELLING.get(lab, []))).alias("tell")) for i, (t, lab, b) in enumerate(every)))
     words = spark.range(1).select(F.explode(rows).alias("t")).select("t.*").withColumn("words", lower_words(F.col("text")))
     runs = words.withColumn("runs", F.size("words") - (RUN - 1)).withColumn("tpos", F.explode(starts(F.col("words"), RUN)))
-    return runs.select("template", "label", "base", "runs", "tpos", gram_hash(F.col("words"), F.col("tpos"), RUN).alias("hash"), gram_text(F.col("words"), F.col("tpos"), RUN).alias("run"))
+    telling = (F.col("tell") == "") | F.arrays_overlap(F.split("tell", " "), F.slice("words", F.col("tpos") + 1, RUN))
+    return runs.select("template", "label", "base", "runs", "tpos", telling.alias("telling"), gram_hash(F.col("words"), F.col("tpos"), RUN).alias("hash"), gram_text(F.col("words"), F.col("tpos"), RUN).alias("run"))
 
 
 def voting_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,15 +88,15 @@ def diagonals(runs: DataFrame) -> DataFrame:
     hits = runs.filter(F.size("hits") > 0).select("doc_id", "text_hash", "hits").dropDuplicates(["doc_id", "text_hash"])
     votes = hits.select("doc_id", "text_hash", F.inline("hits")).join(templates, "run").withColumn("diagonal", F.col("pos") - F.col("tpos"))
     return votes.groupBy("doc_id", "text_hash", "template", "label", "base", "runs", "diagonal").agg(
-        F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("held"))
+        F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("held"), F.max("telling").alias("telling"))
 
 
 def _verified(diags: DataFrame, *span: str) -> DataFrame:
     merged = diags.groupBy(*span).agg(
-        F.min("first").alias("first_word"), (F.max("last") + RUN - 1).alias("last_word"),
+        F.min("first").alias("first_word"), (F.max("last") + RUN - 1).alias("last_word"), F.max("telling").alias("telling"),
         F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"))
     return merged.withColumn("covered", F.col("held") / F.col("runs")).filter(
-        (F.col("covered") >= COVERED) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("runs") + RUN + DRIFT)))
+        F.col("telling") & (F.col("covered") >= COVERED) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("runs") + RUN + DRIFT)))
 
 
 def license_spans(diags: DataFrame) -> DataFrame:
@@ -106,7 +110,11 @@ def license_spans(diags: DataFrame) -> DataFrame:
     # an edited copy with stray runs among its own is held by the whole span only
     whole = _verified(marked, *key, "label", "base", "runs", "span")
     found = Window.partitionBy(*key, "span")
-    near = whole.withColumn("pass", F.lit(None).cast("bigint")).unionByName(passes).withColumn("passes", F.count("pass").over(found)).filter("pass is not null or passes = 0")
+    whole = whole.withColumn("pass", F.lit(None).cast("bigint")).unionByName(passes).withColumn("passes", F.count("pass").over(found)).filter("pass is not null or passes = 0")
+    # of templates that meet in a word of the text, the one that is held best
+    best = F.max("covered").over(Window.partitionBy("doc_id", "text_hash", "word"))
+    near = whole.withColumn("word", F.explode(F.sequence("first_word", "last_word"))).withColumn("best", best).groupBy(
+        *key, "label", "base", "first_word", "last_word", "covered").agg(F.max("best").alias("best")).filter("covered = best")
     exact = diags.filter("base and votes = runs").select(
         *key, "label", "base", F.col("diagonal").alias("first_word"), (F.col("diagonal") + F.col("runs") + RUN - 2).alias("last_word"), F.lit(1.0).alias("covered"))
     return exact.unionByName(near.select(*exact.columns))

@@ -1,4 +1,6 @@
-"""Labels of repeated notices."""
+"""Labels of repeated notices, and of notices that have siblings."""
+
+import pytest
 
 from folioflow.llm import licenses
 
@@ -18,3 +20,21 @@ def test_repeated_notices(spark):
                 want.append(label)
     found, scores = labels(spark, texts)
     assert found == want and set(scores) == {1.0}
+
+
+def test_each_notice_has_its_own_label(spark):
+    texts = [t for t, _ in licenses.BASE + licenses.NOTICES]
+    assert labels(spark, texts)[0] == [label for _, label in licenses.BASE + licenses.NOTICES]
+
+
+@pytest.mark.parametrize("text, label", [
+    ("Licensed under the GNU General Public License version 3 and so on", "gpl-3"),
+    ("Licensed under the GNU Lesser General Public License version 3", "lgpl"),
+    ("This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License", "cc-by-nc"),
+    ("This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by"),
+    ("This work is licensed under CC BY", ""),
+    ("Licensed under the GNU General Public License version 2. Licensed under the GNU General Public License version 3", "gpl-2,gpl-3"),
+])
+def test_siblings(spark, text, label):
+    assert labels(spark, [text])[0] == [label]
