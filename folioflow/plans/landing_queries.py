@@ -22,6 +22,10 @@ from folioflow.streaming import alarms
 from folioflow.streaming import landing as stream
 
 BATCH_TIME = datetime(2024, 1, 20, 12, 0, 0, tzinfo=timezone.utc)
+#: Bytes of text in a file that a query writes as a whole, about.
+FILE_BYTES = 16 << 20
+#: Bytes around the text of an element.
+AROUND = 128
 FIELDS = "record_no, element_no, paper_id, source, title, abstract, published_date, n_authors, category"
 
 
@@ -45,6 +49,13 @@ def _landed_json(papers, name):
     return path
 
 
+def _bucketed(rows, key, text):
+    """Adds `bucket`, the file a row goes to, and gives the number of buckets: as many as keep a file near FILE_BYTES."""
+    total = rows.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + AROUND)).first()[0] or 0
+    n = max(1, -(-total // FILE_BYTES))
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(n))), n
+
+
 def _plain(papers, *more):
     """Normalized papers in columns that compare well."""
     return papers.select(
@@ -88,15 +99,16 @@ def s1(spark, sf):
 @query("s1_feed_errors", """SELECT 'good' AS feed, count(*) AS entries, CAST(0 AS BIGINT) AS errors FROM documents
 UNION ALL SELECT 'malformed', 0, 1""")
 def s1_errors(spark, sf):
-    """Two feeds of all documents, one of them with an entry that does not close."""
+    """A feed of all documents in files of bounded size, and the file of document 7 again with an entry that does not close."""
     path = scratch_dir(spark, "feeds")
-    docs = views.table(spark, sf, "documents")
+    docs, n = _bucketed(views.table(spark, sf, "documents").select("doc_id"), F.col("doc_id"), F.lit(""))
     entry = F.concat(F.lit("<entry><id>"), "doc_id", F.lit("</id></entry>"))
     broken = F.when(F.col("doc_id") == 7, F.lit("<entry><id>7</entry>")).otherwise(entry)
-    for name, column in (("good", entry), ("malformed", broken)):
-        lines = docs.select(column.alias("e")).agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), "\n"), F.lit("</feed>")).alias("value"))
-        lines.write.text(f"{path}/feed={name}")
-    files = f"{path}/*/*.txt"
+    malformed = docs.filter(F.col("bucket") == F.pmod(F.xxhash64(F.lit(7).cast("bigint")), F.lit(n)))
+    for name, rows, column in (("good", docs, entry), ("malformed", malformed, broken)):
+        lines = rows.select("bucket", column.alias("e")).groupBy("bucket").agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), "\n"), F.lit("</feed>")).alias("value"))
+        lines.write.partitionBy("bucket").text(f"{path}/feed={name}")
+    files = f"{path}/*/*/*.txt"
     read = feeds.read_feed(spark, files).agg(F.count("id").alias("entries"))
     bad = feeds.feed_errors(spark, files).select(F.regexp_extract("file_path", "feed=([^/]*)/", 1).alias("feed"))
     good = read.select(F.lit("good").alias("feed"), "entries", F.lit(0).cast("long").alias("errors"))
@@ -420,46 +432,49 @@ def w4_results(spark, sf):
   SELECT 'good' AS file, 'ok' AS outcome FROM documents
   UNION ALL SELECT * FROM (VALUES ('cut', 'file error'), ('corrupt', 'file error'))) GROUP BY ALL""")
 def s2_bad_files(spark, sf):
-    """A cut and a corrupt file beside the good one: an error row each, and no record is lost.
+    """A cut and a corrupt file beside the good ones: an error row each, and no record is lost.
 
-    The bad files are the good one's bytes, written anew by Spark as lines.
+    The good files are of bounded size. The bad ones are the first one's bytes, changed.
     """
     docs = views.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), "text")
     path = scratch_dir(spark, "good-files")
-    docs.coalesce(1).write.option("compression", "gzip").json(path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    variants = {
+    rows, _ = _bucketed(docs, F.col("paper_id"), F.col("text"))
+    rows.repartition("bucket").write.partitionBy("bucket").option("compression", "gzip").json(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path)
+    first = files.agg(F.min("path")).first()[0]
+    good, cut, corrupt = (F.struct(F.lit(n).alias("name"), c.alias("body")) for n, c in {
         "good": F.col("content"),
         "cut": F.substring(F.col("content"), F.lit(1), F.octet_length("content") - 10),
         "corrupt": F.concat(F.lit(b"\x1f\x8b"), F.substring(F.col("content"), 11, 100_000)),
-    }
-    named = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.alias("body")) for n, c in variants.items()]))
-    rows = files.select("modificationTime", named.alias("v")).select(
-        F.concat("v.name", F.lit(".gz")).alias("path"), "modificationTime", F.col("v.body").alias("content"))
+    }.items())
+    named = F.explode(F.when(F.col("path") == first, F.array(good, cut, corrupt)).otherwise(F.array(good)))
+    rows = files.select("modificationTime", F.xxhash64("path").alias("file"), named.alias("v")).select(
+        F.concat("v.name", F.lit("."), "file", F.lit(".gz")).alias("path"), "modificationTime", F.col("v.body").alias("content"))
     outcome = F.when(F.col("file_error").isNotNull(), "file error").otherwise(F.coalesce("record_error", F.lit("ok")))
     return landing.decode_files(rows).groupBy(
         F.substring_index("file_path", ".", 1).alias("file"), outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
 
 
-def _one_file(spark, sf, name, record):
-    """All papers of the table as one JSON text in one gzip file."""
+def _whole_files(spark, sf, name, record):
+    """All papers of the table in gzip files of bounded size, each of them one JSON text."""
     path = scratch_dir(spark, name)
-    papers = views.papers(spark, sf).select("source", F.struct("paper_id", "title", "record_no").alias("p"))
-    papers.groupBy().agg(F.to_json(record(F.collect_list("p"))).alias("value")).write.option("compression", "gzip").text(path)
+    papers, _ = _bucketed(views.papers(spark, sf).select("paper_id", "title", "record_no"), F.col("record_no"), F.col("title"))
+    texts = papers.groupBy("bucket").agg(F.to_json(record(F.collect_list(F.struct("paper_id", "title", "record_no")))).alias("value"))
+    texts.write.partitionBy("bucket").option("compression", "gzip").text(path)
     return landing.read_landing(spark, path).select(F.from_json("record", "paper_id string, title string, record_no long").alias("r")).select("r.*")
 
 
-ONE_FILE = with_views("SELECT paper_id, title, record_no FROM papers", PAPERS)
+WHOLE_FILES = with_views("SELECT paper_id, title, record_no FROM papers", PAPERS)
 
 
-@query("s3_array_files", ONE_FILE)
+@query("s3_array_files", WHOLE_FILES)
 def s3_array(spark, sf):
-    return _one_file(spark, sf, "array", lambda papers: papers)
+    return _whole_files(spark, sf, "array", lambda papers: papers)
 
 
-@query("s4_envelope_files", ONE_FILE)
+@query("s4_envelope_files", WHOLE_FILES)
 def s4_envelope(spark, sf):
-    return _one_file(spark, sf, "envelope", lambda papers: F.struct(papers.alias("papers"), F.lit("feed").alias("source")))
+    return _whole_files(spark, sf, "envelope", lambda papers: F.struct(papers.alias("papers"), F.lit("feed").alias("source")))
 
 
 @query("k5_last_write_in_batch", with_views("""
