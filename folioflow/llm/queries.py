@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioflow.llm import chosen_path, containment, context_tree, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, warc
+from folioflow.llm import (
+    chosen_path, containment, context_tree, cuckoo, curve_packing, filter_audit, importance, language, licenses, mixing, secret_scan, suffix_runs, warc,
+)
 from folioflow.session import configure, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +136,72 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_runs")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_runs.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_curve_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = curve_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(words) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS fails FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+cells AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM m LEFT JOIN l ON m.doc_id = l.doc_id GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE a.f NOT IN (b.f, c.f, d.f, e.f) AND b.f NOT IN (c.f, d.f, e.f) AND c.f NOT IN (d.f, e.f) AND d.f <> e.f),
+steps AS (SELECT filter_order, CAST(s AS INTEGER) AS step, CAST(1 << (ascii(substr(filter_order, CAST(s AS BIGINT), 1)) - 65) AS INTEGER) AS bit,
+    CAST(coalesce(list_sum([1 << (ascii(substr(filter_order, i, 1)) - 65) FOR i IN range(1, s)]), 0) AS INTEGER) AS before
+  FROM orders, range(1, 6) r(s)),
+every AS (SELECT *, fails & bit <> 0 AS failing, fails & before <> 0 AS gone FROM cells, steps),
+sums AS (SELECT part, filter_order, step, bit,
+    CAST(coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (failing AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (failing AND gone), 0) AS BIGINT) AS redundant, CAST(coalesce(sum(n) FILTER (fails = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (failing AND NOT gone), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(toxic) FILTER (failing AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM every GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM sums
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+RESAMPLE_SQL = r"""
+WITH crc AS (SELECT list(list_reduce(list_concat([CAST(i AS UBIGINT)], [CAST(k AS UBIGINT) FOR k IN range(8)]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+texts AS (
+  SELECT 'd' AS side, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+numbered AS (SELECT *, row_number() OVER () AS row FROM texts),
+words AS (SELECT side, row, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM numbered),
+counted AS (SELECT side, row, word, count(*) AS n FROM words GROUP BY ALL),
+hashed AS (SELECT word, xor(CAST(4294967295 AS UBIGINT), list_reduce(
+      list_concat([CAST(4294967295 AS UBIGINT)], [CAST(('0x' || substr(x, 2 * i + 1, 2)) AS UBIGINT) FOR i IN range(length(x) // 2)]),
+      lambda c, b: xor(t[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8))) % 10000 AS bucket
+  FROM (SELECT DISTINCT word, hex(encode(word)) AS x FROM counted), crc),
+buckets AS (SELECT bucket, CAST(coalesce(sum(n) FILTER (side = 'd'), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (side = 'b'), 0) AS DOUBLE) AS t
+  FROM counted JOIN hashed USING (word) GROUP BY bucket),
+every AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM buckets),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain FROM buckets, every),
+weights AS (SELECT row, sum(n) AS n_features, sum(n * gain) AS total FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row),
+scores AS (SELECT id AS doc_id, row, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(floor(total / n_features), 0) AS BIGINT) AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS gumbel
+  FROM numbered LEFT JOIN weights USING (row) WHERE side = 'd'),
+able AS (SELECT row, row_number() OVER (ORDER BY weight + gumbel DESC, doc_id NULLS LAST, n_features) AS rank, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + gumbel AS score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scores LEFT JOIN able USING (row)
+"""
+
+
+@query("op13_importance_resample", RESAMPLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
