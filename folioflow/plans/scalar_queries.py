@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.functions import text as X
 from folioflow.functions import timestamps as TS
@@ -11,6 +12,8 @@ from folioflow.operators import embed, lookup, quality, records
 from folioflow.plans import views
 from folioflow.plans.registry import query, with_views
 from folioflow.plans.views import PAPERS, RUN_LOG, SQL_STRIP, SQL_WHITE_SPACE, VECTORS
+from folioflow.session import scratch_dir
+from folioflow.sources.tables import KeyedTable
 
 # -- functions ---------------------------------------------------------------------------
 
@@ -313,12 +316,21 @@ def p12(spark, sf):
 
 # -- lookups -----------------------------------------------------------------------------
 
+def _stored_papers(spark, sf):
+    """All papers in a table of buckets by paper_id; the number of the record keeps copies apart."""
+    rows = views.papers(spark, sf).select("paper_id", "record_no", "source", "title", "trace_id", "batch_timestamp")
+    table = KeyedTable(spark, scratch_dir(spark, "stored-papers"), rows.schema, ["paper_id", "record_no"], bucket_by=("paper_id",))
+    table.upsert(rows)
+    return table
+
+
 @query("s6_key_lookup", with_views("""
 SELECT record_no, paper_id, source FROM papers WHERE paper_id = (SELECT md5(text) FROM documents WHERE doc_id = 42)""", PAPERS))
 def s6(spark, sf):
-    p = views.papers(spark, sf)
-    key = p.where(F.col("record_no") == 42).select("paper_id").first().paper_id
-    return lookup.paper_by_id(p, key).select("record_no", "paper_id", "source")
+    """The key comes from a row of the documents, and the stored table opens the bucket of that key."""
+    papers = _stored_papers(spark, sf)
+    key = views.papers(spark, sf).where(F.col("record_no") == 42).select("paper_id")
+    return papers.get_many(key).select("record_no", "paper_id", "source")
 
 
 @query("s6_vector_key_lookup", with_views(
@@ -332,7 +344,13 @@ def s6_vector(spark, sf):
 SELECT paper_id, source, title, strftime(batch_timestamp, '%Y-%m-%dT%H:%M:%SZ') AS batch_timestamp
 FROM papers WHERE trace_id = 'batch-3' ORDER BY batch_timestamp DESC, paper_id""", PAPERS))
 def s7(spark, sf):
-    return lookup.papers_of_trace(views.papers(spark, sf), "batch-3").select(
+    """By the index of the papers by trace: the bucket of the trace there, then the buckets of the papers it names."""
+    papers = _stored_papers(spark, sf)
+    keys = T.StructType([papers.schema["trace_id"], *(papers.schema[k] for k in papers.keys)])
+    by_trace = KeyedTable(spark, scratch_dir(spark, "papers-by-trace"), keys, keys.names, bucket_by=("trace_id",))
+    by_trace.upsert(papers.read().select(*keys.names))
+    named = by_trace.get(trace_id="batch-3").select(*papers.keys)
+    return lookup.papers_of_trace(papers.get_many(named), "batch-3").select(
         "paper_id", "source", "title", TS.rfc3339(F.col("batch_timestamp")).alias("batch_timestamp"))
 
 

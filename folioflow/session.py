@@ -86,11 +86,50 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder, through the file system that Spark wrote it with."""
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, the one that Spark reads and writes it with."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(conf).delete(target, True)
+    return target.getFileSystem(conf), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, through the file system that Spark wrote it with."""
+    system, target = _place(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _place(spark, path)
+    return system.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    system, target = _place(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    system, target = _place(spark, path)
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not be there yet. It is written beside its place and put there in one step."""
+    system, target = _place(spark, path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    stream = system.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if system.exists(target) or not system.rename(beside, target):
+        system.delete(beside, False)
+        raise FileExistsError(path)
 
 
 @contextmanager

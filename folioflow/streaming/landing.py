@@ -53,6 +53,9 @@ DEAD_LETTER = T.StructType([
 ])
 
 
+TRACE_KEY = T.StructType([T.StructField(n, T.StringType()) for n in ("trace_id", "paper_id")])
+
+
 def _files(spark: SparkSession, path: str, glob: str, max_files: int) -> DataFrame:
     return (
         spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE).option("pathGlobFilter", glob)
@@ -73,17 +76,36 @@ class Store:
 
     spark: SparkSession
     path: str
+    buckets: int | None = None
 
-    def _table(self, name: str, schema: T.StructType, *keys: str, sort_by: tuple[str, ...] = ()) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.path}/{name}", schema, list(keys), sort_by)
+    def _table(self, name: str, schema: T.StructType, *keys: str, **layout) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.path}/{name}", schema, list(keys), buckets=self.buckets, **layout)
 
     @property
     def papers(self) -> KeyedTable:
         return self._table("papers", schemas.PAPER, "paper_id", sort_by=("source", "published_date"))
 
+    @property
+    def papers_by_trace(self) -> KeyedTable:
+        """The index of the papers by trace, in buckets of the trace."""
+        return self._table("papers_by_trace", TRACE_KEY, "trace_id", "paper_id", bucket_by=("trace_id",))
+
+    def papers_of(self, trace_id: str) -> DataFrame:
+        """The papers of a trace, by the index: its bucket there, and in `papers` the buckets of what it names.
+
+        A paper that a later trace has taken over is named by both, and its row says whose it is.
+        """
+        named = self.papers_by_trace.get(trace_id=trace_id).select("paper_id")
+        return self.papers.get_many(named).where(F.col("trace_id") == trace_id)
+
+    def compact(self) -> None:
+        """Fold the puts of all tables; a job of its own, beside no running stream."""
+        for table in (self.papers, self.papers_by_trace, self.vectors, self.batch_results, self.vector_results, self.dead_letters):
+            table.compact()
+
     @property
     def vectors(self) -> KeyedTable:
-        return self._table("vectors", schemas.VECTOR_RECORD, "paper_id", "vector_type", sort_by=("paper_id",))
+        return self._table("vectors", schemas.VECTOR_RECORD, "paper_id", "vector_type", sort_by=("paper_id",), bucket_by=("paper_id",))
 
     @property
     def batch_results(self) -> KeyedTable:
@@ -97,7 +119,7 @@ class Store:
     @property
     def dead_letters(self) -> KeyedTable:
         """The last failure of a paper; it is settled by a later vector (`operators.joins.retry_set`)."""
-        return self._table("dead_letters", DEAD_LETTER, "stage", "trace_id", "paper_id")
+        return self._table("dead_letters", DEAD_LETTER, "stage", "trace_id", "paper_id", bucket_by=("trace_id",))
 
 
 def trace_of_batch(name: str, batch_id: int) -> str:
@@ -106,11 +128,21 @@ def trace_of_batch(name: str, batch_id: int) -> str:
 
 
 def take_in(store: Store, landed: DataFrame, trace_id: str) -> None:
-    """One batch of landed records: stamp, deduplicate within the batch, upsert, write the result."""
+    """One batch of landed records: stamp, deduplicate within the batch, put papers and index, write the result.
+
+    Every put carries the trace's name, so a repeated batch replaces its own rows.
+    """
     now = datetime.now(timezone.utc)
     with staged(landed, "landed") as rows:
-        store.papers.upsert(jobs.clean_batch(rows, trace_id, now))
-        store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(rows), trace_id, now))
+        store.papers.upsert(jobs.clean_batch(rows, trace_id, now), trace_id)
+        store.papers_by_trace.upsert(_papers(store, trace_id).select("trace_id", "paper_id"), trace_id)
+        store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(rows), trace_id, now), trace_id)
+
+
+def _papers(store: Store, trace_id: str) -> DataFrame:
+    """The papers of a trace: the files of its own put while they are there, else by the index."""
+    own = store.papers.read_put(trace_id)
+    return store.papers_of(trace_id) if own is None else own
 
 
 def _vectorize(
@@ -118,13 +150,14 @@ def _vectorize(
     tasks: int | None, attempt: str | None,
 ) -> None:
     started = time.monotonic()
+    attempt = attempt or datetime.now(timezone.utc).isoformat()
+    name = f"{trace_id} {attempt}"
     with staged(jobs.embed_papers(papers, factory, model_version, tasks), "embedded") as embedded:
         run_ms = int((time.monotonic() - started) * 1000)
-        results, letters = jobs.store_embedded(store.vectors, embedded, run_ms)
-        store.dead_letters.upsert(letters)
-        store.vector_results.upsert(results.withColumns({
-            "attempt": F.lit(attempt or datetime.now(timezone.utc).isoformat()), "finished_at": F.current_timestamp(),
-        }))
+        results, letters = jobs.store_embedded(store.vectors, embedded, run_ms, name)
+        store.dead_letters.upsert(letters, name)
+        store.vector_results.upsert(
+            results.withColumns({"attempt": F.lit(attempt), "finished_at": F.current_timestamp()}), name)
 
 
 def vectorize(
@@ -133,11 +166,11 @@ def vectorize(
 ) -> None:
     """The step a finished batch starts: embed all papers of the trace, store the vectors by key.
 
-    A run gives what its papers give now: after a failure, or with another model, it may be
-    run again, and its result is one more attempt.
+    It reads the rows that the batch has put, no other ones. A run gives what its papers
+    give now: after a failure, or with another model, it may be run again, and its result is
+    one more attempt.
     """
-    papers = store.papers.read().where(F.col("trace_id") == trace_id)
-    _vectorize(store, papers, trace_id, factory, model_version, tasks, attempt)
+    _vectorize(store, _papers(store, trace_id), trace_id, factory, model_version, tasks, attempt)
 
 
 def revectorize(
@@ -145,9 +178,10 @@ def revectorize(
     attempt: str | None = None,
 ) -> None:
     """The same for the papers of a trace that have no vector, or have failed since they got one."""
-    papers = store.papers.read().where(F.col("trace_id") == trace_id)
+    papers = store.papers_of(trace_id)
+    vectors = store.vectors.get_many(papers.select("paper_id"))
     todo = joins.retry_set(
-        papers, store.vectors.read(), store.dead_letters.read(), stored_at=F.col("processing_info.created_at"))
+        papers, vectors, store.dead_letters.get(trace_id=trace_id), stored_at=F.col("processing_info.created_at"))
     _vectorize(store, papers.join(todo.select("paper_id"), "paper_id", "left_semi"), trace_id, factory, model_version, tasks, attempt)
 
 

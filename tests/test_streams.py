@@ -6,9 +6,11 @@ import json
 import sys
 
 import pytest
+from plan_metrics import bytes_moved, files_read
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from folioflow import schemas
 from folioflow.operators import joins
 from folioflow.operators.embed import letter_counts
 from folioflow.session import scratch_dir
@@ -141,3 +143,45 @@ def test_many_small_batches(spark, world):
     run(spark, source, store, state, factory=None, max_files=1)
     assert store.papers.read().count() == 4
     assert store.batch_results.read().count() == 3
+
+
+def test_a_batch_costs_what_it_brings(spark, world):
+    """The tenth batch reads and writes no more than the second, and a compaction changes no row."""
+    source, store, _ = world
+    moved = []
+    for i in range(10):
+        folder = source / str(i)
+        folder.mkdir()
+        put(folder, "a.gz", [{"id": f"{i}-{k}", "title": f"title {i} {k}"} for k in range(50)] + [{"id": "same", "title": str(i)}])
+        with bytes_moved(spark) as out:
+            stream.take_in(store, landing.read_landing(spark, str(folder)), f"t{i}")
+            stream.vectorize(store, f"t{i}", letter_counts, "letter-counts", attempt="first")
+        moved.append(out)
+    assert moved[1]["read"] > 0 and moved[1]["written"] > 0
+    assert moved[9]["read"] <= 1.05 * moved[1]["read"] and moved[9]["written"] <= 1.05 * moved[1]["written"]
+
+    def content():
+        tables = (store.papers, store.papers_by_trace, store.vectors, store.vector_results, store.batch_results)
+        return [sorted(map(repr, t.read().collect())) for t in tables]
+
+    before = content()
+    assert [len(rows) for rows in before] == [501, 510, 501, 10, 10]
+    store.compact()
+    assert content() == before
+    assert store.papers_of("t9").count() == 51 and store.papers_of("t3").count() == 50 and store.papers_of("none").count() == 0
+    stream.vectorize(store, "t3", letter_counts, "second", attempt="again")  # by the index: the put is folded
+    assert store.vectors.read().where("embedding_metadata.model_version = 'second'").count() == 50
+
+
+def test_the_index_opens_the_buckets_of_a_trace(spark, world):
+    _, _, _ = world
+    store = stream.Store(spark, scratch_dir(spark, "store"), buckets=32)
+    papers = spark.range(2000).selectExpr("cast(id as string) as id", "concat('t', id div 4) as trace_id", "concat('title ', id) as title")
+    rows = papers.selectExpr("id as paper_id", "trace_id", "title").select(
+        *[F.col(f.name) if f.name in ("paper_id", "trace_id", "title") else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PAPER])
+    store.papers.upsert(rows)
+    store.papers_by_trace.upsert(rows.select("trace_id", "paper_id"))
+    store.compact()
+    found = store.papers_of("t7")
+    assert sorted(r.paper_id for r in found.collect()) == ["28", "29", "30", "31"]
+    assert files_read(found) <= 1 + 4 < 32
