@@ -8,6 +8,7 @@ import json
 import math
 import re
 from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import islice
 from typing import BinaryIO, TextIO
 
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from folioflow.functions.timestamps import day_folder, rfc3339_exact
 from folioflow.schemas import LANDED_RECORD
+from folioflow.sources.stored_files import binary_files, contents, open_stored
 
 # Kinds of failures and the landing filter.
 BAD_JSON = "json_parsing"
@@ -202,12 +204,12 @@ def records_of_text(text: str) -> Iterator[tuple[str | None, str | None, str | N
     return records_of_file(lambda: io.StringIO(text, newline=None))
 
 
-def _opener(path: str, content: bytes) -> Opener:
+def _opener(path: str, stored: Callable[[], BinaryIO]) -> Opener:
     """A reader of the inflated text, made anew for each pass. A file that does not inflate raises here."""
     zipped = path.endswith(GZIP_SUFFIXES)
 
     def binary() -> BinaryIO:
-        return gzip.GzipFile(fileobj=io.BytesIO(content)) if zipped else io.BytesIO(content)
+        return gzip.GzipFile(fileobj=stored()) if zipped else stored()
 
     if zipped:
         body = binary()
@@ -228,8 +230,9 @@ def _batch(schema: T.StructType, constants: list, columns: list) -> pa.RecordBat
 def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, changed, content in zip(*batch.columns):
+            stored = partial(io.BytesIO, content.as_py()) if content.is_valid else partial(open_stored, path.as_py())
             try:
-                found = records_of_file(_opener(path.as_py(), content.as_py()))
+                found = records_of_file(_opener(path.as_py(), stored))
             except Exception as problem:  # one unreadable file must not stop the others
                 found = iter([(None, None, None, f"{type(problem).__name__}: {problem}")])
             numbered = enumerate(found)
@@ -238,7 +241,7 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def decode_files(files: DataFrame) -> DataFrame:
-    """Rows of a binary file scan (batch or stream) to landed records."""
+    """Rows of `stored_files.contents` (batch or stream) to landed records; a file without content is read by its path."""
     return files.select(*_FILE_COLUMNS).mapInArrow(_decode_files, LANDED_RECORD)
 
 
@@ -246,12 +249,10 @@ def read_landing(spark: SparkSession, path: str | list[str], glob: str = LANDING
     """Records of all landing files under `path`.
 
     Every element gives one row; a file that fails gives one row with its error. A task
-    holds the file as it is stored, and of what is in it a line or an element at a time.
+    holds the file as it is stored, or a block of it if it is large, and of what is in it a
+    line or an element at a time.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    )
-    return decode_files(files)
+    return decode_files(contents(binary_files(spark, path, glob)))
 
 
 # Order of arrival: files by time and name, then the place within the file.

@@ -18,6 +18,7 @@ from folioflow.operators.embed import EncoderFactory, letter_counts
 from folioflow.plans import jobs
 from folioflow.session import staged
 from folioflow.sources import landing
+from folioflow.sources.stored_files import contents
 from folioflow.sources.tables import KeyedTable
 
 FILES_PER_BATCH = 1_000
@@ -57,7 +58,7 @@ TRACE_KEY = T.StructType([T.StructField(n, T.StringType()) for n in ("trace_id",
 
 
 def _files(spark: SparkSession, path: str, glob: str, max_files: int) -> DataFrame:
-    return (
+    return contents(
         spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE).option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).load(path)
     )

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators import records
-from folioflow.sources import landing
+from folioflow.sources import feeds, landing
+from folioflow.sources.stored_files import LIMIT_SETTING
 from folioflow.streaming import alarms
 from folioflow.streaming import landing as stream
 
@@ -152,3 +153,58 @@ def test_normalize_blanks_wrong_types(spark):
 def test_wide_characters_survive(spark):
     row, = normalized(spark, json.dumps({"id": "b", "title": "é中\U0001f600\\\"\n"}))
     assert row["title"] == "é中\U0001f600\\\"\n"
+
+
+@pytest.fixture()
+def small_limit(spark):
+    before = spark.conf.get(LIMIT_SETTING)
+    spark.conf.set(LIMIT_SETTING, "1000")
+    yield
+    spark.conf.set(LIMIT_SETTING, before)
+
+
+def large_folder(tmp_path):
+    lines = [json.dumps({"id": f"p{i}", "title": "é" * (i % 50)}) for i in range(2000)]
+    many = "\n".join(lines).encode()
+    write(tmp_path / "small.gz", gzip.compress(A.encode()))
+    write(tmp_path / "lines.gz", gzip.compress(many))
+    write(tmp_path / "an array%20é.gzip", gzip.compress(("[" + ",".join(lines) + "]").encode()))
+    write(tmp_path / "plain.json", many)
+    write(tmp_path / "cut.gz", gzip.compress(many, 0)[:-5000])
+    return tmp_path
+
+
+def test_files_above_the_limit_of_a_value(spark, tmp_path, small_limit):
+    """Read by their path as a stream: the same records, and a broken one is one error row that stops nothing."""
+    rows = landing.read_landing(spark, str(large_folder(tmp_path)), glob="*").select(
+        F.element_at(F.split("file_path", "/"), -1).alias("f"), "record_no", "record_key", "file_error").collect()
+    keys = lambda f: [r.record_key for r in sorted(rows, key=lambda r: r.record_no) if r.f == f]
+    every = [f"p{i}" for i in range(2000)]
+    assert keys("small.gz") == ["a"] and keys("lines.gz") == keys("plain.json") == every
+    assert [k for r in {r.f for r in rows} if r.startswith("an") for k in keys(r)] == every
+    assert [(r.f, r.record_key) for r in rows if r.file_error] == [("cut.gz", None)]
+    assert len(rows) == 1 + 3 * 2000 + 1
+
+
+def test_large_files_in_the_stream(spark, tmp_path, small_limit):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    large_folder(folder)
+    store = stream.Store(spark, str(tmp_path / "store"))
+    stream.process_landing(spark, str(folder), store, str(tmp_path / "state"), factory=None).awaitTermination()
+    assert store.papers.read().count() == 2001
+    result = store.batch_results.read().first()
+    assert (result.status, result.file_errors, result.unique_count) == ("partial_success", 1, 2001)
+    out = str(tmp_path / "out")
+    alarms.run_to_table(stream.landing_stream(spark, str(folder)), out, str(tmp_path / "state2"))
+    assert spark.read.parquet(out).where("record_key is not null").count() == 2001
+
+
+def test_large_feeds(spark, tmp_path, small_limit):
+    entries = "".join(f"<entry><id>{i}</id><title>t</title></entry>" for i in range(200))
+    (tmp_path / "good.xml").write_text(f"<feed>{entries}</feed>")
+    (tmp_path / "bad.xml").write_text(f"<feed>{entries}<entry></feed>")
+    (tmp_path / "short.xml").write_text("<feed><entry><id>short</id></entry></feed>")
+    assert feeds.read_feed(spark, str(tmp_path)).count() == 201
+    row, = feeds.feed_errors(spark, str(tmp_path)).collect()
+    assert row.file_path.endswith("/bad.xml") and row.file_error.startswith("failed to parse XML response: ")
