@@ -7,7 +7,7 @@ are taken from the characters when a shard is built, E from the smallest id of e
 of a text. What is left are counts per part and set of failed filters, at most 32 times
 four rows for each part, from which all orders and steps are summed.
 
-A shard sends each of its words once, so a very frequent word has one row per shard. A
+A shard sends each of its words once, so a very frequent word comes once per shard. A
 group of copies meets only in a partial minimum, and rows find it again by digest and id,
 so no task gets the copies of one text.
 
@@ -26,11 +26,13 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.texts import NOT_SPACE_BYTE, flat, slices
+from folioflow.llm.packs import ranges
+from folioflow.llm.texts import NOT_SPACE_BYTE, flat, mix, powers, slices
 from folioflow.llm.word_strings import word_runs
 from folioflow.session import materialize, staged
 
@@ -47,12 +49,24 @@ _FORBIDDEN = np.zeros(256, bool)
 _FORBIDDEN[list(FORBIDDEN.encode())] = True
 _STARTS = (np.arange(256) & 0xC0) != 0x80  # bytes that begin a code point
 
-SHARD = ("shard bigint, doc_ids array<bigint>, parts array<string>, digests array<binary>, capitals array<boolean>, forbidden array<boolean>, "
-         "indptr array<int>, indices array<int>, counts array<int>, words array<binary>")
+#: Words of all shards in a range of the dictionary, about; one task numbers a range.
+RANGE_WORDS = 1 << 20
+
+SHARD = "shard bigint, n_terms bigint, doc_ids array<bigint>, parts array<string>, digests array<binary>, capitals array<boolean>, forbidden array<boolean>, indptr binary, indices binary, counts binary, terms binary, sizes binary"
 _ARROW = pa.schema([
-    ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
-    ("capitals", pa.list_(pa.bool_())), ("forbidden", pa.list_(pa.bool_())), ("indptr", pa.list_(pa.int32())),
-    ("indices", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.binary()))])
+    ("shard", pa.int64()), ("n_terms", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
+    ("capitals", pa.list_(pa.bool_())), ("forbidden", pa.list_(pa.bool_())), *((n, pa.binary()) for n in ("indptr", "indices", "counts", "terms", "sizes"))])
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """Integers as 32-bit differences, byte planes apart: the high planes are mostly zeros and compress away."""
+    steps = np.diff(values.astype("<i4"), prepend=np.int32(0)).astype("<i4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_ints(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    return np.cumsum(steps, dtype=np.int32).astype(np.int64)
 
 
 def _per_row(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -61,8 +75,16 @@ def _per_row(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
     return upto[at[1:]] - upto[at[:-1]]
 
 
+def _hashes(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each term; it says which range numbers the term, which are then told apart by their bytes."""
+    power, inverse = powers(len(body) + 1)
+    sums = np.zeros(len(body) + 1, np.uint64)
+    np.cumsum((body.astype(np.uint64) + np.uint64(1)) * power[: len(body)], out=sums[1:])
+    return mix((sums[at[1:]] - sums[at[:-1]]) * inverse[at[:-1]])
+
+
 def _build_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each slice of documents as a shard whose words are numbered within it."""
+    """Each slice of documents as a shard whose terms are numbered within it, by their hash."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         whole, bounds = flat(batch.column("text"))
@@ -70,17 +92,21 @@ def _build_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             body, at = whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
             words, row, _ = word_runs(body, at, NOT_SPACE_BYTE)
             encoded = words.dictionary_encode()
-            different = max(1, len(encoded.dictionary))
-            cells, counts = np.unique(row * different + encoded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            order = np.argsort(_hashes(*flat(encoded.dictionary)), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            terms, ends = flat(encoded.dictionary.take(pa.array(order)))
+            different = max(1, len(order))
+            cells, counts = np.unique(row * different + place[encoded.indices.to_numpy(zero_copy_only=False)], return_counts=True)
             capitals = 100 * _per_row(_CAPITAL[body], at) > MOST_CAPITALS * _per_row(_STARTS[body], at)
             digests = [hashlib.sha256(body[a:b]).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            one = [
-                pa.array([number], pa.int64()), batch.column("doc_id")[first:last], batch.column("part")[first:last], pa.array(digests, pa.binary()),
-                pa.array(capitals), pa.array(_per_row(_FORBIDDEN[body], at) > 0), pa.array(np.searchsorted(cells, np.arange(last - first + 1) * different).astype(np.int32)),
-                pa.array((cells % different).astype(np.int32)), pa.array(counts.astype(np.int32)), encoded.dictionary]
+            rows = [batch.column("doc_id")[first:last], batch.column("part")[first:last], pa.array(digests, pa.binary()), pa.array(capitals), pa.array(_per_row(_FORBIDDEN[body], at) > 0)]
+            blobs = [pack_ints(v) for v in (np.searchsorted(cells, np.arange(last - first + 1) * different), cells % different, counts)]
+            columns = [
+                pa.array([number]), pa.array([len(order)]), *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in rows),
+                *(pa.array([v], pa.binary()) for v in (*blobs, terms.tobytes(), pack_ints(np.diff(ends))))]
             number += 1
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in one[1:]]
-            yield pa.RecordBatch.from_arrays([one[0], *(v.cast(t.type) for v, t in zip(lists, list(_ARROW)[1:], strict=True))], schema=_ARROW)
+            yield pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
 def _shards(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
@@ -88,83 +114,65 @@ def _shards(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataF
     return rows.mapInArrow(_build_shards, SHARD)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """term, term_id: every word of the shards once. Ids are unique; term_id modulo the number of buckets says which bucket counted it."""
-    buckets = max(64, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    terms = shards.select(F.explode("words").alias("term")).distinct().withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("term")) - 1
-    return terms.select("term", (place.cast("bigint") * buckets + F.col("bucket")).alias("term_id"))
-
-
-def _encoded(shards: DataFrame) -> DataFrame:
-    """The shards with `columns`, the ids of their entries in the dictionary of all of them, in place of words and local numbers."""
-    own = shards.select("shard", F.posexplode("words").alias("at", "term"))
-    ids = own.join(dictionary(shards), "term").groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("at", "term_id"))).alias("found"))
-    columns = F.transform("indices", lambda i: F.get("found.term_id", i))
-    return shards.drop("words").join(ids, "shard", "left").withColumn("columns", columns).drop("found", "indices")
+def _send(count: int):
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The terms of each shard, one row for each range of hashes."""
+        for batch in batches:
+            for shard, terms, sizes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                body, lengths = np.frombuffer(terms, np.uint8), unpack_ints(sizes)
+                at = np.concatenate([[0], np.cumsum(lengths)])
+                out = [(shard, r, body[at[a] : at[b]].tobytes(), pack_ints(lengths[a:b])) for r, a, b in ranges(_hashes(body, at), count)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["shard", "range", "terms", "sizes"])
 
+    return send
 
-def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
-    """CSR shards of the counts of words, whose columns are the ids of one dictionary of all documents.
 
-    shard, doc_ids (a row each), indptr (where each row begins), columns and counts (of its
-    entries); and of each row the part, the digest of the text and the marks of C and D.
-    """
-    return _encoded(materialize(_shards(docs, id_col, text_col, part_col), "matrix-shards"))
+def _number(count: int):
+    def number(group: pa.Table) -> pa.Table:
+        """Numbers the terms of a range in the order of their bytes; `ids` answers each shard's row."""
+        pieces = []
+        for terms, sizes in zip(group["terms"].to_pylist(), group["sizes"].to_pylist(), strict=True):
+            ends = np.concatenate([[0], np.cumsum(unpack_ints(sizes))]).astype(np.int32)
+            pieces.append(pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(terms)]))
+        encoded = pa.chunked_array(pieces).combine_chunks().dictionary_encode()
+        rank = np.empty(len(encoded.dictionary), np.int64)
+        rank[pc.sort_indices(encoded.dictionary).to_numpy()] = np.arange(len(rank))
+        ids = rank[encoded.indices.to_numpy(zero_copy_only=False)] * count + group["range"][0].as_py()
+        ends = np.cumsum([len(p) for p in pieces])
+        answers = [ids[a:b].astype("<i8").tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return pa.table([group["shard"], group["range"], pa.array(answers, pa.binary())], names=["shard", "range", "ids"])
 
+    return number
 
-ROW = pa.schema([
-    ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
-    ("capitals", pa.list_(pa.bool_())), ("forbidden", pa.list_(pa.bool_())), ("indptr", pa.list_(pa.int32())),
-    ("indices", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.binary()))])
 
+def _encoded(shards: DataFrame) -> DataFrame:
+    """The shards with `ids`, the numbers of their terms in the dictionary of all shards, in the order of the ranges.
 
-def _per_row(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """How many marks each row has."""
-    upto = np.concatenate([[0], np.cumsum(marks)])
-    return upto[at[1:]] - upto[at[:-1]]
+    An id is the rank of the term in its range times the number of ranges, plus the range: no two terms share one.
+    """
+    terms = shards.agg(F.sum("n_terms")).first()[0] or 0
+    count = max(-(-terms // RANGE_WORDS), int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sent = shards.select("shard", "terms", "sizes").mapInArrow(_send(count), "shard bigint, range int, terms binary, sizes binary")
+    answered = sent.groupBy("range").applyInArrow(_number(count), "shard bigint, range int, ids binary")
+    ids = answered.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("range", "ids"))).alias("found"))
+    return shards.drop("terms", "sizes").join(ids.select("shard", F.col("found.ids").alias("ids")), "shard", "left")
 
 
-def _build_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each slice of documents as a shard whose words are numbered within it."""
-    number = TaskContext.get().partitionId() << 32
+def _matrix(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Of each shard its row columns, indptr, the entries' columns by the dictionary, and their counts."""
     for batch in batches:
-        whole, bounds = flat(batch.column("text"))
-        for first, last in slices(bounds, SHARD_BYTES):
-            body, at = whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
-            words, row, _ = word_runs(body, at, NOT_SPACE_BYTE)
-            encoded = words.dictionary_encode()
-            different = max(1, len(encoded.dictionary))
-            cells, counts = np.unique(row * different + encoded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-            capitals = 100 * _per_row(_CAPITAL[body], at) > MOST_CAPITALS * _per_row(_STARTS[body], at)
-            digests = [hashlib.sha256(body[a:b]).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            one = [
-                pa.array([number], pa.int64()), batch.column("doc_id")[first:last], batch.column("part")[first:last], pa.array(digests, pa.binary()),
-                pa.array(capitals), pa.array(_per_row(_FORBIDDEN[body], at) > 0), pa.array(np.searchsorted(cells, np.arange(last - first + 1) * different).astype(np.int32)),
-                pa.array((cells % different).astype(np.int32)), pa.array(counts.astype(np.int32)), encoded.dictionary]
-            number += 1
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in one[1:]]
-            yield pa.RecordBatch.from_arrays([one[0], *(v.cast(t.type) for v, t in zip(lists, list(_ARROW)[1:], strict=True))], schema=_ARROW)
-
-
-def _shards(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_build_shards, SHARD)
-
-
-def dictionary(shards: DataFrame) -> DataFrame:
-    """term, term_id: every word of the shards once. Ids are unique; term_id modulo the number of buckets says which bucket counted it."""
-    buckets = max(64, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    terms = shards.select(F.explode("words").alias("term")).distinct().withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("term")) - 1
-    return terms.select("term", (place.cast("bigint") * buckets + F.col("bucket")).alias("term_id"))
+        for i in range(batch.num_rows):
+            indptr, indices, counts = (unpack_ints(batch.column(n)[i].as_py()) for n in ("indptr", "indices", "counts"))
+            ids = np.frombuffer(b"".join(batch.column("ids")[i].as_py() or []), "<i8")
+            rows = {n: batch.column(n)[i].values for n in ("doc_ids", "parts", "digests", "capitals", "forbidden")}
+            yield {"shard": batch.column("shard")[i].as_py(), "indptr": indptr, "columns": ids[indices], "counts": counts, **rows}
 
 
-def _encoded(shards: DataFrame) -> DataFrame:
-    """The shards with `term_ids`, the ids of their words in the same order, in place of the words."""
-    own = shards.select("shard", F.posexplode("words").alias("at", "term"))
-    ids = own.join(dictionary(shards), "term").groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("at", "term_id"))).alias("found"))
-    return shards.drop("words").join(ids, "shard", "left").withColumn("term_ids", F.coalesce(F.col("found.term_id"), F.array().cast("array<bigint>"))).drop("found")
+def _matrix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for m in _matrix(batches):
+        lists = [m["doc_ids"], *(pa.array(m[n], pa.int64()) for n in ("indptr", "columns", "counts"))]
+        yield pa.RecordBatch.from_arrays([pa.array([m["shard"]]), *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists)], ["shard", "doc_ids", "indptr", "columns", "counts"])
 
 
 def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
@@ -172,23 +180,20 @@ def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     shard, doc_ids (a row each), indptr (where each row begins), columns and counts (of its entries).
     """
-    return _encoded(materialize(_shards(docs, id_col, text_col, part_col), "matrix-shards")).select(
-        "shard", "doc_ids", "indptr", F.transform("indices", lambda i: F.get("term_ids", i)).alias("columns"), "counts")
+    shards = materialize(_shards(docs, id_col, text_col, part_col), "matrix-shards")
+    return _encoded(shards).mapInArrow(_matrix_rows, "shard bigint, doc_ids array<bigint>, indptr array<bigint>, columns array<bigint>, counts array<bigint>")
 
 
 ROW = "doc_id bigint, part string, digest binary, n_words bigint, n_distinct bigint, capitals boolean, forbidden boolean"
 
 
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of each shard: their sums and numbers of entries, and the marks that came along."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            own = {n: batch.column(n)[i].values for n in batch.schema.names if n != "shard"}
-            indptr, counts = (own[n].to_numpy(zero_copy_only=False).astype(np.int64) for n in ("indptr", "counts"))
-            upto = np.concatenate([[0], np.cumsum(counts)])
-            yield pa.RecordBatch.from_arrays(
-                [own["doc_ids"], own["parts"], own["digests"], pa.array(upto[indptr[1:]] - upto[indptr[:-1]], pa.int64()), pa.array(np.diff(indptr), pa.int64()), own["capitals"], own["forbidden"]],
-                ["doc_id", "part", "digest", "n_words", "n_distinct", "capitals", "forbidden"])
+    """The rows of the matrix: their sums and numbers of entries, and the marks that came along."""
+    for m in _matrix(batches):
+        upto = np.concatenate([[0], np.cumsum(m["counts"])])[m["indptr"]]
+        yield pa.RecordBatch.from_arrays(
+            [m["doc_ids"], m["parts"], m["digests"], pa.array(np.diff(upto)), pa.array(np.diff(m["indptr"])), m["capitals"], m["forbidden"]],
+            ["doc_id", "part", "digest", "n_words", "n_distinct", "capitals", "forbidden"])
 
 
 def row_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:

@@ -5,12 +5,11 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import fixtures as fx
+import numpy as np
 import pytest
 
 from folioflow.llm import filter_audit
 
-NAMES = "labels_of doc_id"
-
 
 def fails(docs):
     """part and failed filters of every (doc_id, text, source), by the letter of the definition."""
@@ -83,6 +82,11 @@ def test_empty_tables(spark, labels):
     check(fx.documents(spark), labels.limit(0))
 
 
+def test_packed_integers():
+    for values in ([], [0], [5, 4, 4, 2**31 - 1, 0, 7]):
+        assert filter_audit.unpack_ints(filter_audit.pack_ints(np.array(values, np.int64))).tolist() == values
+
+
 def test_matrix(spark):
     """Rows of the matrix hold the counts of words under the ids of one dictionary."""
     docs = fx.documents(spark)
