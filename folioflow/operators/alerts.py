@@ -91,8 +91,13 @@ def day_totals(totals: DataFrame) -> DataFrame:
 
 def stalled_traces(log: DataFrame, now: str, minutes: int = MAX_OPEN_MINUTES) -> DataFrame:
     """Traces that started more than `minutes` before `now` and have not completed."""
+    return stalled(open_traces(log), now, minutes)
+
+
+def stalled(open_spans: DataFrame, now: str, minutes: int = MAX_OPEN_MINUTES) -> DataFrame:
+    """The same from open traces that are known already (`streaming.open_traces` keeps them)."""
     limit = F.to_timestamp(F.lit(now)) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    return open_traces(log).where(F.col("started_at") < limit).select("trace_id", "started_at")
+    return open_spans.where(F.col("started_at") < limit).select("trace_id", "started_at")
 
 
 def stopped_flows(results: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from folioflow.session import materialize
 
 WRITE_BATCH = 25
 ROWS_PER_BLOCK = 100_000
+BLOCKS_PER_SPAN = 1_000
 
 
 def number_rows(df: DataFrame, group: str, order: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
@@ -17,20 +18,16 @@ def number_rows(df: DataFrame, group: str, order: str, rows_per_block: int = ROW
     A plain window would sort one whole group in one task. Here each group is cut into
     blocks of `order` values; a block has at most `rows_per_block` rows however hot its
     group is. Rows are numbered within the block, and the rows before a block come from
-    running sums over the small table of block counts. Window and join share one exchange.
-    A null group counts as the empty one. The rows are written down first, since they are
-    needed twice: the counts read group and order only.
+    sums over the small table of block counts (`rows_before`). Window and join share one
+    exchange. A null group counts as the empty one. The rows are written down first, since
+    they are needed twice: the counts read group and order only.
     """
     df = materialize(df, "numbered")
     blocked = df.withColumns({
         "_group": F.coalesce(F.col(group).cast("string"), F.lit("")),
         "_block": F.expr(f"`{order}` div {int(rows_per_block)}"),
     })
-    counts = blocked.groupBy("_group", "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_group", "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0).cast("long")).alias("_before")
-    )
+    offsets = rows_before(blocked.groupBy("_group", "_block").agg(F.count(F.lit(1)).alias("_rows")))
     in_block = Window.partitionBy("_group", "_block").orderBy(order)
     return (
         blocked.withColumn("_local", F.row_number().over(in_block))
@@ -40,6 +37,24 @@ def number_rows(df: DataFrame, group: str, order: str, rows_per_block: int = ROW
     )
 
 
+def rows_before(counts: DataFrame, blocks_per_span: int = BLOCKS_PER_SPAN) -> DataFrame:
+    """_group, _block and `_before`, the rows of the blocks before it in its group; from (_group, _block, _rows).
+
+    A prefix sum in two levels: within spans of blocks, spread over tasks, and over the sums
+    of the spans. So the only window over a whole group has one row for each span, that is
+    for BLOCKS_PER_SPAN * ROWS_PER_BLOCK values of the order.
+    """
+    def sums(keys: list[str], order: str, rows: str) -> Column:
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(rows).over(before), F.lit(0).cast("long"))
+
+    spanned = counts.withColumn("_span", F.floor(F.col("_block") / F.lit(blocks_per_span)).cast("long"))
+    spans = spanned.groupBy("_group", "_span").agg(F.sum("_rows").alias("_span_rows"))
+    spans = spans.select("_group", "_span", sums(["_group"], "_span", "_span_rows").alias("_spans_before"))
+    return spanned.withColumn("_in_span", sums(["_group", "_span"], "_block", "_rows")).join(spans, ["_group", "_span"]).select(
+        "_group", "_block", (F.col("_in_span") + F.col("_spans_before")).alias("_before"))
+
+
 def batch_number(row_no: Column, size: int = WRITE_BATCH) -> Column:
     """Zero-based number of the write batch of a row numbered from 1."""
     return F.floor((row_no - 1) / F.lit(size)).cast("long")

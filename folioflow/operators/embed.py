@@ -1,17 +1,21 @@
 """Embedding of texts by a replaceable encoder, and pooling of vectors.
 
 An encoder is given as a factory: `factory() -> encode(texts: list[str]) -> array[n, d]`.
-It is loaded on the executors, once per task. A call has to give one row per text; any
-other result counts as a failed call.
+It is loaded on the executors, once per worker process, which keeps it for later tasks and
+queries with the same factory. A call has to give one row per text; any other result
+counts as a failed call. Texts of one Arrow batch are handed over in the order of their
+length, so that an encoder which pads a call to its longest text pads little.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -25,6 +29,8 @@ from folioflow.functions.vectors import NORM_FLOOR
 from folioflow.operators.quality import response_reason, text_reason
 
 TEXTS_PER_CALL = 256
+#: Encoders that a worker process keeps loaded.
+LOADED = 2
 
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
@@ -34,6 +40,20 @@ MODEL_LOAD_ERROR = ("MODEL_LOAD_ERROR", "Model temporarily unavailable")
 EMBEDDING_ERROR = ("EMBEDDING_ERROR", "Failed to generate embedding")
 RESPONSE_ERROR = "INVALID_RESPONSE"
 
+
+_loaded: dict[str, Callable[[list[str]], np.ndarray]] = {}
+
+
+def _load(key: str, factory: EncoderFactory) -> Callable[[list[str]], np.ndarray]:
+    """The encoder of a factory, from this worker process if it is there. One that fails to load is tried again."""
+    if key not in _loaded:
+        encode = factory()
+        while len(_loaded) >= LOADED:
+            _loaded.pop(next(iter(_loaded)))
+        _loaded[key] = encode
+    return _loaded[key]
+
+
 def letter_counts(letters: str = "abcdefghijklmnopqrstuvwxyz") -> Callable[[list[str]], np.ndarray]:
     """Stand-in encoder for tests: counts of some ASCII letters. It is not a language model."""
     codes = np.frombuffer(letters.encode("ascii"), np.uint8)
@@ -77,8 +97,13 @@ def _encode_rows(
     """One vector per text: the mean over its pieces, weighted by their length. A failed piece fails its text."""
     cut = [_pieces(t, max_bytes, max_chars) for t in texts]
     flat = [piece for pieces in cut for piece in pieces]
-    starts = range(0, len(flat), TEXTS_PER_CALL)
-    found = iter([v for i in starts for v in _encode_chunk(encode, flat[i:i + TEXTS_PER_CALL])])
+    by_length = sorted(range(len(flat)), key=lambda i: len(flat[i]))
+    vectors_of: list[np.ndarray | None] = [None] * len(flat)
+    for i in range(0, len(flat), TEXTS_PER_CALL):
+        call = by_length[i:i + TEXTS_PER_CALL]
+        for place, vector in zip(call, _encode_chunk(encode, [flat[k] for k in call])):
+            vectors_of[place] = vector
+    found = iter(vectors_of)
     rows: list[np.ndarray | None] = []
     for pieces in cut:
         vectors = [next(found) for _ in pieces]
@@ -92,13 +117,14 @@ def _encode_rows(
 
 def _embedder(factory: EncoderFactory, model_version: str, normalize: bool, max_bytes: int, max_chars: int):
     """Iterator Arrow UDF from encoder inputs (null = not usable) to embedding results."""
+    key = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, load_failed = None, False
         for inputs in batches:
             if encode is None and not load_failed:
                 try:
-                    encode = factory()
+                    encode = _load(key, factory)
                 except Exception:
                     load_failed = True
             started = time.perf_counter()

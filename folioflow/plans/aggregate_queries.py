@@ -11,7 +11,11 @@ from folioflow.operators import alerts, batches, dedup, embed, joins, monitor, q
 from folioflow.plans import views
 from folioflow.plans.registry import query, with_views
 from folioflow.plans.views import PAPERS, RUN_LOG, SQL_STRIP, VECTORS
-from folioflow.session import materialize
+from folioflow.plans.scalar_queries import VECTOR_REASON
+from folioflow.session import materialize, scratch_dir
+from folioflow.sources import batch_sink
+from folioflow.sources.tables import KeyedTable
+from folioflow.streaming import open_traces
 
 NOW = "2024-01-20 12:00:00"
 TODAY = "2024-01-20"
@@ -73,30 +77,56 @@ def w2(spark, sf):
     return batches.with_batch_no(first, "source", "record_no").select("record_no", "source", "batch_no")
 
 
-UPSERTED = """upserted AS (SELECT *, strlen(text) > 10000 AS row_failed FROM batched),
-write_batches AS (SELECT source, batch_no, count(*) AS n, bool_or(row_failed) AS failed FROM upserted GROUP BY ALL)"""
 UPSERT_COLUMNS = """CAST(sum(n) AS BIGINT) AS total_items,
   CAST(coalesce(sum(n) FILTER (NOT failed), 0) AS BIGINT) AS success_items,
   CAST(coalesce(sum(n) FILTER (failed), 0) AS BIGINT) AS failed_items, count(*) AS batch_count,
   count(*) FILTER (NOT failed) AS success_batches, count(*) FILTER (failed) AS failed_batches"""
+WRITE_BATCHES = f"""numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY label ORDER BY CAST(paper_id AS BIGINT)) - 1) // 25 AS batch_no FROM vectors),
+write_batches AS (SELECT label, batch_no, count(*) AS n, bool_or(({VECTOR_REASON}) IS NOT NULL) AS failed FROM numbered GROUP BY ALL)"""
 
 
-def _upsert_stats(spark, sf, by=None):
-    p = views.papers(spark, sf).select("record_no", "paper_id", "source", F.octet_length("text").alias("bytes"))
-    numbered = batches.with_batch_no(dedup.deduplicate(p, F.col("record_no")), "source", "record_no")
-    return batches.upsert_stats(numbered, ["source", "batch_no"], F.col("bytes") > 10_000, by)
+def _vectors_to_write(spark, sf):
+    """All vectors, some of which break a rule of the store, in the order of their numbers within a label."""
+    return views.vectors(spark, sf).withColumns({"record_no": F.col("paper_id").cast("long"), "label": F.col("label").cast("string")})
 
 
-@query("a2_upsert_stats", with_views(
-    f"SELECT {UPSERT_COLUMNS} FROM write_batches", PAPERS, FIRST, BATCHED, UPSERTED))
+def _vector_reason():
+    return quality.vector_reason(*(F.col(c) for c in ("paper_id", "vector_type", "embedding", "dimension", "model_version", "trace_id")))
+
+
+@query("a2_upsert_stats", with_views(f"SELECT {UPSERT_COLUMNS} FROM write_batches", VECTORS, WRITE_BATCHES))
 def a2(spark, sf):
-    return _upsert_stats(spark, sf)
+    """A table that refuses batches with a bad record; a record has failed if the table doesn't hold it afterwards."""
+    rows = _vectors_to_write(spark, sf).select(
+        "record_no", "label", "paper_id", "vector_type", "embedding", "dimension", "model_version", "trace_id")
+    table = KeyedTable(spark, scratch_dir(spark, "batch-vectors"), rows.schema, ["paper_id", "vector_type"])
+    outcomes = batch_sink.put_batches(table, rows, _vector_reason(), "label", "record_no")
+    held = table.read().select(*table.keys, F.lit(True).alias("held"))
+    written = outcomes.select(*table.keys, "label", "batch_no").join(held, table.keys, "left")
+    return batches.upsert_stats(written, ["label", "batch_no"], F.col("held").isNull())
+
+
+def strict_client():
+    """A client that stores a batch whole or raises, and leaves rows over when it is first called."""
+    calls = iter(range(1 << 62))
+
+    def put(rows):
+        reasons = [r for r in rows["reason"].to_pylist() if r is not None]
+        if reasons:
+            raise ValueError(reasons[0])
+        return [rows.num_rows - 1] if next(calls) == 0 and rows.num_rows > 1 else None
+
+    return put
 
 
 @query("k4_upsert_with_stats", with_views(
-    f"SELECT source, {UPSERT_COLUMNS} FROM write_batches GROUP BY source", PAPERS, FIRST, BATCHED, UPSERTED))
+    f"SELECT CAST(label AS VARCHAR) AS label, {UPSERT_COLUMNS} FROM write_batches GROUP BY label", VECTORS, WRITE_BATCHES))
 def k4(spark, sf):
-    return _upsert_stats(spark, sf, ["source"])
+    """The same through a client, which gets the records in batches of 25 and refuses those with a bad one."""
+    rows = _vectors_to_write(spark, sf).select("record_no", "label", "paper_id", _vector_reason().alias("reason"))
+    outcomes = batch_sink.send_batches(rows, strict_client, "label", "record_no")
+    return batches.upsert_stats(outcomes, ["label", "batch_no"], F.col("error").isNotNull(), ["label"])
 
 
 # -- status ------------------------------------------------------------------------------
@@ -371,6 +401,20 @@ def a16(spark, sf):
     return with_day(monitor.active_traces(views.run_log(spark, sf)))
 
 
+def _followed(spark, sf):
+    """A finished run of the stream that keeps the traces; later reports read its state and not the log."""
+    checkpoint = scratch_dir(spark, "trace-state")
+    open_traces.follow_traces(views.as_run_log(views.events_stream(spark, sf)), checkpoint).awaitTermination()
+    return open_traces.open_spans(spark, checkpoint)
+
+
+@query("a16_active_traces_state", with_views("""
+SELECT CAST(CAST(started_at AS DATE) AS VARCHAR) AS day, count(*) AS active_traces FROM spans
+WHERE started_at IS NOT NULL AND completed_at IS NULL GROUP BY CAST(started_at AS DATE)""", RUN_LOG, SPANS))
+def a16_state(spark, sf):
+    return with_day(monitor.active_by_day(_followed(spark, sf)))
+
+
 @query("a17_storage_growth", with_views("""
 SELECT CAST(day AS VARCHAR) AS day, bytes, bytes - lag(bytes) OVER (ORDER BY day) AS change,
   round(avg(bytes) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg
@@ -530,6 +574,12 @@ def st6(spark, sf):
         "trace_id", rfc3339(F.col("started_at")).alias("started_at"))
 
 
+@query("st6_stalled_traces_state", with_views(
+    f"SELECT trace_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS started_at FROM ({STALLED})", RUN_LOG, SPANS))
+def st6_state(spark, sf):
+    return alerts.stalled(_followed(spark, sf), NOW).select("trace_id", rfc3339(F.col("started_at")).alias("started_at"))
+
+
 RATES = """SELECT CAST(ts AS DATE) AS day, service, 100.0::DOUBLE * count(*) FILTER (level <> 'ERROR') / count(*) AS rate
 FROM run_log GROUP BY 1, 2"""
 
@@ -627,6 +677,17 @@ def r1(spark, sf):
 @query("r2_log_retention", with_views(
     "SELECT event_id FROM run_log WHERE CAST(ts AS DATE) >= DATE '2024-02-10' - 30", RUN_LOG))
 def r2(spark, sf):
+    """The log as a store of days, after the expired days were deleted from it."""
+    log, path = views.run_log(spark, sf), scratch_dir(spark, "log-store")
+    retention.store_logs(log, path)
+    retention.drop_expired(spark, path, "2024-02-10")
+    return retention.read_logs(spark, path, log.schema).select("event_id")
+
+
+@query("r2_retained_logs", with_views(
+    "SELECT event_id FROM run_log WHERE CAST(ts AS DATE) >= DATE '2024-02-10' - 30", RUN_LOG))
+def r2_view(spark, sf):
+    """The same as a filter, for logs that lie elsewhere."""
     return retention.retained_logs(views.run_log(spark, sf), "2024-02-10").select("event_id")
 
 

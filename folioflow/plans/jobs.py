@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import combine_title_abstract
 from folioflow.operators import embed, quality, records, status
-from folioflow.operators.batches import WRITE_BATCH
+from folioflow.operators.batches import WRITE_BATCH, upsert_stats
 from folioflow.operators.dedup import deduplicate
 from folioflow.operators.lookup import newest
 from folioflow.sources import landing
@@ -70,19 +70,24 @@ def batch_counts(landed: DataFrame) -> DataFrame:
     )
 
 
-def batch_result(counts: DataFrame, trace_id: str, batch_time: datetime) -> DataFrame:
-    """Result row of a landing batch whose papers are stored.
+def batch_result(counts: DataFrame, trace_id: str, batch_time: datetime, outcomes: DataFrame | None = None) -> DataFrame:
+    """Result row of a landing batch from its counts and the outcomes of its write (`sources.batch_sink`).
 
-    The write is all or nothing: it raises, and the batch is run again, or every item and
-    every write batch of it has succeeded.
+    Without outcomes the write is all or nothing: it raises, and the batch is run again, or
+    every item and every write batch of it has succeeded.
     """
+    counts = counts.withColumns({"trace_id": F.lit(trace_id), "timestamp": F.lit(batch_time)})
     none = F.lit(0).cast("long")
-    batches = F.ceil(F.col("unique_count") / F.lit(WRITE_BATCH))
-    return status.batch_status(counts.withColumns({
-        "trace_id": F.lit(trace_id), "timestamp": F.lit(batch_time), "total_items": F.col("unique_count"),
-        "success_items": F.col("unique_count"), "failed_items": none,
-        "batch_count": batches, "success_batches": batches, "failed_batches": none,
-    }))
+    if outcomes is None:
+        batches = F.ceil(F.col("unique_count") / F.lit(WRITE_BATCH))
+        return status.batch_status(counts.withColumns({
+            "total_items": F.col("unique_count"), "success_items": F.col("unique_count"), "failed_items": none,
+            "batch_count": batches, "success_batches": batches, "failed_batches": none,
+        }))
+    written = upsert_stats(outcomes, ["trace_id", "batch_no"], F.col("error").isNotNull(), ["trace_id"])
+    names = [n for n in written.columns if n != "trace_id"]
+    joined = counts.join(written, "trace_id", "left")  # no row where nothing was to be written
+    return status.batch_status(joined.withColumns({n: F.coalesce(n, none) for n in names}))
 
 
 def texts_to_embed(papers: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +18,9 @@ from folioflow.operators.embed import EncoderFactory, letter_counts
 from folioflow.plans import jobs
 from folioflow.session import staged
 from folioflow.sources import landing
+from folioflow.sources.batch_sink import put_batches
 from folioflow.sources.stored_files import contents
-from folioflow.sources.tables import KeyedTable
+from folioflow.sources.tables import KeyedTable, dead_letters
 
 FILES_PER_BATCH = 1_000
 
@@ -73,11 +74,17 @@ def landing_stream(
 
 @dataclass
 class Store:
-    """The tables one landing stream writes."""
+    """The tables one landing stream writes.
+
+    `paper_rule` is a reason column over papers (null = valid). Papers are then written in
+    batches of 25, and one with a bad paper is refused as a whole: its items are failed ones
+    of the batch result and dead letters.
+    """
 
     spark: SparkSession
     path: str
     buckets: int | None = None
+    paper_rule: Column | None = None
 
     def _table(self, name: str, schema: T.StructType, *keys: str, **layout) -> KeyedTable:
         return KeyedTable(self.spark, f"{self.path}/{name}", schema, list(keys), buckets=self.buckets, **layout)
@@ -135,9 +142,16 @@ def take_in(store: Store, landed: DataFrame, trace_id: str) -> None:
     """
     now = datetime.now(timezone.utc)
     with staged(landed, "landed") as rows:
-        store.papers.upsert(jobs.clean_batch(rows, trace_id, now), trace_id)
+        papers, outcomes = jobs.clean_batch(rows, trace_id, now), None
+        if store.paper_rule is None:
+            store.papers.upsert(papers, trace_id)
+        else:
+            numbered = papers.withColumn("write_no", F.monotonically_increasing_id())
+            outcomes = put_batches(store.papers, numbered, store.paper_rule, "trace_id", "write_no", name=trace_id)
+            refused = outcomes.where(F.col("error").isNotNull()).withColumn("reason", F.col("error"))
+            store.dead_letters.upsert(dead_letters(refused, "batch_upsert"), trace_id)
         store.papers_by_trace.upsert(_papers(store, trace_id).select("trace_id", "paper_id"), trace_id)
-        store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(rows), trace_id, now), trace_id)
+        store.batch_results.upsert(jobs.batch_result(jobs.batch_counts(rows), trace_id, now, outcomes), trace_id)
 
 
 def _papers(store: Store, trace_id: str) -> DataFrame:

@@ -170,3 +170,40 @@ def test_vector_reason(spark, change, reason):
     df = spark.createDataFrame([vector_case(**change)], schema)
     got = df.select(quality.vector_reason(*[F.col(c) for c in df.columns])).first()[0]
     assert got == reason
+
+
+def noted(path):
+    """An encoder that notes the process it is loaded in, and the sizes of its calls."""
+    import os
+    import uuid
+
+    name = os.path.join(path, f"load-{os.getpid()}-{uuid.uuid4().hex}")
+    open(name, "w").close()
+    encode = embed.letter_counts()
+
+    def run(texts):
+        with open(os.path.join(path, f"call-{uuid.uuid4().hex}"), "w") as out:
+            out.write(f"{len(texts) * max(map(len, texts))} {sum(map(len, texts))}")
+        return encode(texts)
+
+    return run
+
+
+def test_one_load_per_worker_process(spark, tmp_path):
+    folder = str(tmp_path)
+    texts = spark.range(0, 400, 1, 20).select(F.concat(F.lit("text "), "id").alias("text"))
+    factory = partial(noted, folder)
+    for _ in range(2):
+        assert embed.embed_texts(texts, factory).where("error_code is null").count() == 400
+    loads = [f.name.split("-")[1] for f in tmp_path.iterdir() if f.name.startswith("load-")]
+    assert len(loads) == len(set(loads)) <= 8
+
+
+def test_calls_pad_little_and_keep_the_order(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [(i, "abcdefghij"[i % 10] * (1 + (i * 37) % 500)) for i in range(1024)]
+    texts = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    for r in embed.embed_texts(texts, partial(noted, folder), normalize=False).collect():
+        assert r.embedding[r.id % 10] == len(rows[r.id][1]) == sum(r.embedding)
+    sizes = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir() if f.name.startswith("call-")]
+    assert len(sizes) == 4 and sum(padded for padded, _ in sizes) < 1.35 * sum(own for _, own in sizes)  # in the given order it is twice as much
