@@ -81,7 +81,8 @@ def candidates(docs: DataFrame, signature: DataFrame, id_col: str = "doc_id", te
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs doc_id, item_id with n_item and n_found (shingles) and containment, at least `threshold`."""
-    shingles = materialize(item_shingles(items), "item-shingles")
+    own = items.select(F.struct(F.col("item_id").alias("id"), F.xxhash64("text").alias("text_hash")).alias("item_id"), "text")
+    shingles = materialize(item_shingles(own), "item-shingles")
     found = materialize(candidates(docs, signatures(shingles, threshold), id_col, text_col), "containment-candidates")
     pairs = found.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("item_id").alias("pair_item"))
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))
@@ -96,5 +97,6 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     both = held.join(wanted, [same, F.col("words_in") == F.col("size"), F.col("run") == F.col("shingle")])
     counted = both.groupBy("doc_id", "text_hash", "pair_item", "n_item").agg(F.count("*").alias("n_found"))
     counted = counted.withColumn("containment", F.col("n_found") / F.col("n_item")).filter(F.col("containment") >= threshold)
-    return counted.groupBy("doc_id", F.col("pair_item").alias("item_id")).agg(
-        F.max("n_item").alias("n_item"), F.max("n_found").alias("n_found"), F.max("containment").alias("containment"))
+    best = F.max(F.struct("containment", "n_found", "n_item")).alias("best")
+    return counted.groupBy("doc_id", F.col("pair_item.id").alias("item_id")).agg(best).select(
+        "doc_id", "item_id", "best.n_item", "best.n_found", "best.containment")

@@ -97,7 +97,7 @@ class CuckooIndex:
         return True
 
     def delete(self, digest: bytes, rows: int) -> bool:
-        """True if the digest was live. The last row takes the digest with it; the id that stays is not chosen anew."""
+        """True if the digest was live. The last row takes the digest with it; `delete` below chooses anew which row stays."""
         entry = self._entry(digest)
         if entry is None:
             return False
@@ -180,10 +180,21 @@ def insert(digests: DataFrame, index: DataFrame | None = None, total: int | None
     return _apply(digests.select("doc_id", "digest", "chars").mapInArrow(_count_batches, INDEX), index, total or digests.count())
 
 
-def delete(digests: DataFrame, index: DataFrame) -> DataFrame:
-    """The index without these rows; a digest goes when none of its rows is left."""
+def delete(digests: DataFrame, index: DataFrame, rows: DataFrame) -> DataFrame:
+    """The index without these rows; a digest goes when none of its rows is left.
+
+    `rows` are those that are left in the index (as `text_digests` gives them). Where the row
+    that stayed is among the deleted ones, the row that stays now is chosen from them.
+    """
     counted = digests.select("doc_id", "digest", "chars").mapInArrow(_count_batches, INDEX)
-    return _apply(counted.withColumn("rows", -F.col("rows")), index, digests.count())
+    left = materialize(_apply(counted.withColumn("rows", -F.col("rows")), index, digests.count()), "index-left")
+    gone = digests.select("digest", F.coalesce("doc_id", F.lit(NO_ID)).alias("keep_id")).distinct()
+    lost = left.join(gone, ["digest", "keep_id"], "left_semi").select("digest")
+    again = rows.join(lost, "digest", "left_semi").select("doc_id", "digest", "chars").mapInArrow(_count_batches, INDEX)
+    best = again.groupBy("digest").agg(F.min(F.struct((-F.col("chars")).alias("chars"), "keep_id")).alias("best"))
+    chosen = left.join(best, "digest", "left")
+    return chosen.select("digest", "rows", *(F.coalesce(F.when(F.col("best").isNotNull(), v), F.col(n)).alias(n) for n, v in (
+        ("chars", -F.col("best.chars")), ("keep_id", F.col("best.keep_id")))))
 
 
 def _apply(changes: DataFrame, index: DataFrame | None, total: int) -> DataFrame:

@@ -89,14 +89,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CONTAINMENT_SQL = r"""
 WITH lowered AS (
-  SELECT 'd' AS side, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
-  UNION ALL SELECT 'i', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
-w AS (SELECT side, id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
-g AS (SELECT DISTINCT side, id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))]) AS g FROM w WHERE len(w) > 0),
-n AS (SELECT id, count(*) AS n_item FROM g WHERE side = 'i' GROUP BY id)
-SELECT d.id AS doc_id, i.id AS item_id, n.n_item, count(*) AS n_found, count(*) / n.n_item AS containment
-FROM g d JOIN g i ON d.g = i.g AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id
-GROUP BY d.id, i.id, n.n_item HAVING count(*) / n.n_item >= 0.8
+  SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS own, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL SELECT 'i', item_id, coalesce(text, ''), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT side, id, md5(own) AS own, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+g AS (SELECT DISTINCT side, id, own, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))]) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT id, own, count(*) AS n_item FROM g WHERE side = 'i' GROUP BY id, own),
+held AS (SELECT d.id AS doc_id, i.id AS item_id, n.n_item, count(*) AS n_found, count(*) / n.n_item AS containment
+  FROM g d JOIN g i ON d.g = i.g AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id AND n.own = i.own
+  GROUP BY d.id, d.own, i.id, i.own, n.n_item HAVING count(*) / n.n_item >= 0.8)
+SELECT doc_id, item_id, n_item, n_found, containment FROM held
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY containment DESC, n_found DESC) = 1
 """
 
 

@@ -30,7 +30,7 @@ ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 # Fixed formats of tokens with a checksum: prefix, 30 characters, six characters of CRC-32 in base 62.
 CHECKED = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]+")
 
 KINDS = ["assign", "access", "hex", "checked", "jwt"]
 # Keyword in lower case, and the kind whose pattern starts with it.
@@ -40,6 +40,8 @@ KEYWORDS = {
     "ghp_": "checked", "gho_": "checked", "ghu_": "checked", "ghs_": "checked", "ghr_": "checked", "npm_": "checked",
     "eyj": "jwt",
 }
+# Where a pattern fails, it fails at every later place of such a run: what follows the run decides.
+FAILS_IN = {"jwt": re.compile(r"eyJ[A-Za-z0-9_-]*+")}
 PATTERNS = {"assign": ASSIGN, "access": ACCESS, "checked": CHECKED, "jwt": JWT}
 
 
@@ -84,10 +86,14 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
     spans, free = [], dict.fromkeys(KINDS, 0)
     for last, (kind, length) in automaton.iter(ascii_lower(text)):
         start = last + 1 - length
-        if start >= free[kind] and (m := PATTERNS[kind].match(text, start)):
+        if start < free[kind]:
+            continue
+        if m := PATTERNS[kind].match(text, start):
             free[kind] = m.end()
             if VALID[kind](m):
                 spans.append((start, KINDS.index(kind), m.end()))
+        elif kind in FAILS_IN and (run := FAILS_IN[kind].match(text, start)):
+            free[kind] = run.end()
     spans += [(m.start(), KINDS.index("hex"), m.end()) for m in HEX.finditer(text)]
     return sorted(spans)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -49,6 +50,27 @@ def test_secrets(spark):
     assert "checked:" in found[200]["spans"] and "checked:" not in found[201]["spans"]
 
 
+HEADER = "eyJhbGciOiJIUzI1NiJ9"
+
+
+@pytest.mark.parametrize("text", [
+    f"x {HEADER}.eyJzdWIiOiIxIn0.c2ln y", f"EYJeyJ{HEADER}.eyJx.s", f"{HEADER}.{HEADER}.{HEADER}.{HEADER}", "eyJ.eyJ.x eyJa.eyJb.c", f"{HEADER}.eyJ-_.é {HEADER}.eyJa.b",
+    f"eyJa.b.c{HEADER}.eyJa.b", f"eyJ{HEADER}.eyJa.b", f"{HEADER}..{HEADER}.eyJa._", "token " * 40 + f"token={HEADER}.eyJa.b"])
+def test_web_tokens_equal_the_pattern(text):
+    automaton = secret_scan.keyword_automaton()
+    wanted = [(m.start(), m.end()) for m in secret_scan.JWT.finditer(text) if secret_scan.json_header(m[1])]
+    assert [(s, e) for s, k, e in secret_scan.find_spans(text, automaton) if secret_scan.KINDS[k] == "jwt"] == wanted
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJa.", "token ", "token=", "ghp_", "AKIA", "EYJ", "apikey:'"])
+def test_a_long_text_of_keywords_takes_no_time(unit):
+    text = unit * (1_000_000 // len(unit))
+    automaton = secret_scan.keyword_automaton()
+    started = time.process_time()
+    secret_scan.find_spans(text, automaton)
+    assert time.process_time() - started < 3
+
+
 def test_language(spark):
     rows = {r["doc_id"]: r for r in language.identify(fx.documents(spark)).collect()}
     assert {rows[d]["lang_pred"] for d in (5, 6, 7, 12)} == {"und"} and rows[5]["score"] == 0
@@ -210,8 +232,11 @@ def test_index_takes_batches_and_deletions(spark):
     half = digests.filter("doc_id % 2 = 0"), digests.filter("doc_id is null or doc_id % 2 = 1")
     index = cuckoo.insert(half[1], cuckoo.insert(half[0]))
     assert sorted(map(tuple, index.collect())) == sorted(map(tuple, cuckoo.insert(digests).collect()))
-    left = cuckoo.delete(half[0], index)
-    assert {(r[0], r[1]) for r in left.collect()} == {(r[0], r[1]) for r in cuckoo.insert(half[1]).collect()}
+    for gone, rest in (half, half[::-1]):  # the row that stays of the copies 1, 2 and 4 goes, or some that do not stay
+        left = cuckoo.delete(gone, index, rest)
+        assert sorted(map(tuple, left.collect())) == sorted(map(tuple, cuckoo.insert(rest).collect()))
+    assert cuckoo.delete(digests, index, digests.filter("false")).collect() == []
+    assert sorted(map(tuple, cuckoo.delete(digests.filter("false"), index, digests).collect())) == sorted(map(tuple, index.collect()))
 
 
 def test_containment(spark):
@@ -237,6 +262,18 @@ def test_containment(spark):
     assert containment.contained_items(fx.empty(spark), items).collect() == [] and containment.contained_items(docs, items.filter("false")).collect() == []
 
 
+def test_items_that_share_an_id(spark):
+    """A document that holds one of them whole is found, and the best held one counts."""
+    a, b = fx.prose(30, 40), fx.prose(31, 90)
+    items = spark.createDataFrame([(1, a), (1, b), (1, a), (None, a), (None, b), (2, a + " " + b)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a + " " + b), (4, fx.prose(32, 50)), (5, " ".join(b.split(" ")[:84])), (None, b)], "doc_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["n_item"], r["n_found"], r["containment"]) for r in containment.contained_items(docs, items).collect()}
+    one, two, both, part = (len(fx.shingle_set(t)) for t in (a, b, a + " " + b, " ".join(b.split(" ")[:84])))
+    assert {k: v for k, v in found.items() if k[1] is None} == {(d, None): v for (d, i), v in found.items() if i == 1}
+    assert found[1, 1] == (one, one, 1.0) and found[2, 1] == found[None, 1] == (two, two, 1.0) and found[3, 1] == (two, two, 1.0)
+    assert found[3, 2] == (both, both, 1.0) and found[5, 1] == (two, part, part / two) and not any(d == 4 or (d == 1 and i == 2) for d, i in found)
+
+
 def test_warc_round_trip(spark):
     big = "é\U0001f600\r\n\r\nWARC/1.1\r\n" * 9000
     rows = [(1, "u1", "x" * 100), (2, "u2", "x" * 100), (3, None, None), (4, "u\r\n4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", big), (8, "u8", big), (2, "u2", "x" * 100), (None, "u", "x" * 100), (9, "u9", "line\n"), (10, "u10", "line\r\n\r\n")]
