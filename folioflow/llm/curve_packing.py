@@ -9,8 +9,8 @@ it, so each task knows the position of its first token and cuts at multiples of
 of a sequence. Sequences are full, over the bounds of ranges too; what is left behind the
 last full one is cut at powers of two, which need no padding.
 
-Tokens: a text falls into pieces between white space, whose ids do not depend on their
-neighbours. Different pieces of a slice are encoded once; a worker keeps ids of a bounded
+Tokens: a text falls into pieces, at white space and where the tokenizer begins a new word
+in any case, whose ids do not depend on their neighbours. Different pieces of a slice are encoded once; a worker keeps ids of a bounded
 number of them. Pieces of more than LONG characters are cut where the tokenizer cuts in
 any case. Ids are held in two bytes and written once to the shared folder.
 
@@ -46,19 +46,37 @@ HASH_BITS = 22
 #: Deviations on both sides of the mean that the cells of a dimension cover.
 SPREAD = 3.0
 #: Bytes of text worked on at once; tokens in a range, about.
-SLICE, RANGE_TOKENS = 4 << 20, 4 << 20
-#: Pieces whose ids a worker keeps, and the length up to which they are kept.
-KEPT, KEPT_LENGTH = 400_000, 64
+SLICE, RANGE_TOKENS = 8 << 20, 4 << 20
+#: Pieces of a generation whose ids a worker keeps, their greatest length, and how many are encoded together.
+KEPT, KEPT_LENGTH, TOGETHER = 500_000, 64, 20_000
+SEPARATOR = "½"
+#: How the vocabulary marks the last token of a word, and pieces that are one word: letters up to U+00FF, which no normal form changes but for case.
+WORD_END = "</w>"
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
 LONG = 1 << 16
-#: Between an ASCII letter or digit and an ASCII character of another class, the tokenizer always begins anew.
-_CUT = re.compile(r"(?<=[0-9])(?=[\x21-\x7E])|(?<=[A-Za-z])(?=[\x21-\x40\x5B-\x60\x7B-\x7E])")
+# Where the tokenizer always begins anew, of two ASCII characters: behind a digit, between a
+# letter and anything else, and between a sign and a letter or digit; but an apostrophe
+# and a letter may be one word.
+_DIGIT, _LETTER, _SIGN, _QUOTE = "0-9", "A-Za-z", r"\x21-\x26\x28-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E", "'"
+_CUT = re.compile(f"(?<=[{_DIGIT}])(?=[\x21-\x7E])|(?<=[{_LETTER}])(?=[{_DIGIT}{_SIGN}{_QUOTE}])|(?<=[{_SIGN}])(?=[{_DIGIT}{_LETTER}])|(?<={_QUOTE})(?=[{_DIGIT}])")
+BREAKS = np.zeros((256, 256), bool)
+for _a, _b in itertools.product(range(0x21, 0x7F), repeat=2):
+    BREAKS[_a, _b] = len(_CUT.split(chr(_a) + chr(_b))) == 2
 
 TOKENS = "doc_id bigint, body binary, n_tokens int, " + ", ".join(f"x{i} double" for i in range(DIMENSIONS))
 PIECE = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 class PieceEncoder:
-    """Ids of pieces without white space, as arrays of two bytes an id."""
+    """Ids of pieces without white space, as bytes, two for each id.
+
+    Many pieces are encoded as one text. Pieces of letters alone are one word each to the
+    tokenizer, whose last id and no other ends a word, so their ids are told apart by these.
+    Between other pieces stands SEPARATOR, a number, which the tokenizer takes alone; it has
+    an id that nothing else gives. Pieces that hold it, and all pieces of a tokenizer that
+    has no such ids, are encoded one by one. Ids of up to KEPT pieces are kept from slice to
+    slice; then all of them go.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
@@ -68,39 +86,79 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit into two bytes")
-        self.kept: dict[str, np.ndarray] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _long(self, text: str) -> np.ndarray:
+        self.kept: dict[str, bytes] = {}
+        own, a, mixed = (self._ids([t])[0] for t in (SEPARATOR, "a,", f"a,{SEPARATOR}a,"))
+        self.separator = int(own[0]) if len(own) == 1 and np.array_equal(mixed, [*a, *own, *a]) else None
+        self.ends_word = np.zeros(1 << 16, bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(WORD_END)]] = True
+        self.words_end = all(self.ends_word[ids[-1]] and not self.ends_word[ids[:-1]].any() for ids in self._ids(["a", "\xe4", "qzxjk\xfcvwq"]))
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u2") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, texts: list[str], words: bool) -> list[bytes]:
+        ids = self._ids([("\n" if words else SEPARATOR).join(texts)])[0]
+        if words:
+            ends = 2 * np.flatnonzero(self.ends_word[ids]) + 2
+            starts = np.concatenate([[0], ends[:-1]])
+        else:
+            ends = 2 * np.append(np.flatnonzero(ids == self.separator), len(ids))
+            starts = np.concatenate([[0], ends[:-1] + 2])
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def _long(self, text: str) -> bytes:
         cut, size = [[]], 0
         for part in _CUT.split(text):
             if size + len(part) > LONG and cut[-1]:
                 cut, size = [*cut, []], 0
             cut[-1].append(part)
             size += len(part)
-        return np.concatenate([self._encode(["".join(parts)])[0] for parts in cut])
+        return b"".join(self._ids(["".join(parts)])[0].tobytes() for parts in cut)
 
-    def __call__(self, pieces: list[str]) -> list[np.ndarray]:
+    def __call__(self, pieces: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT:
             self.kept.clear()
-        out = [self.kept.get(p) for p in pieces]
+        out = list(map(self.kept.get, pieces))
         new = [i for i, ids in enumerate(out) if ids is None]
-        short = [i for i in new if len(pieces[i]) <= LONG]
-        for i, ids in zip(short, self._encode([pieces[i] for i in short]), strict=True):
-            out[i] = ids
-            if len(pieces[i]) <= KEPT_LENGTH:
-                self.kept[pieces[i]] = ids
+        letters = map(_LETTERS, [pieces[i] for i in new])
+        words, others = [], []
+        for i, word in zip(new, letters, strict=True):
+            piece = pieces[i]
+            if len(piece) <= KEPT_LENGTH:
+                if word and self.words_end:
+                    words.append(i)
+                elif self.separator is not None and SEPARATOR not in piece:
+                    others.append(i)
+        for kind in (words, others):
+            for k in range(0, len(kind), TOGETHER):
+                some = kind[k : k + TOGETHER]
+                texts = [pieces[i] for i in some]
+                ids = self._joined(texts, kind is words)
+                self.kept.update(zip(texts, ids, strict=True))
+                for i, own in zip(some, ids, strict=True):
+                    out[i] = own
         for i in new:
             if out[i] is None:
-                out[i] = self._long(pieces[i])
+                out[i] = self._long(pieces[i]) if len(pieces[i]) > LONG else self._ids([pieces[i]])[0].tobytes()
         return out
 
 
 _encoders: dict[str, PieceEncoder] = {}
 
 
+def _strings(words: pa.BinaryArray) -> list[str]:
+    """Values without line breaks, decoded together."""
+    if not len(words):
+        return []
+    body, at = flat(words)
+    joined = np.full(len(body) + len(words) - 1, 0x0A, np.uint8)
+    of_word = np.ones(len(joined), bool)
+    of_word[at[1:-1] + np.arange(len(words) - 1)] = False
+    joined[of_word] = body
+    return joined.tobytes().decode("utf-8").split("\n")
+
+
 def _signs(words: pa.Array) -> np.ndarray:
     """The hashed vector of each word: as many signs as there are dimensions."""
     body, at = flat(words)
@@ -116,17 +174,18 @@ def _tokenize(path: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
         if path not in _encoders:
             _encoders[path] = PieceEncoder(path)
         encode = _encoders[path]
+        encode.kept.clear()  # what an earlier task of this worker has left
         for batch in batches:
             whole, bounds = flat(batch.column(1))
             for first, last in slices(bounds, SLICE):
                 n = last - first
-                words, row, per_row = word_runs(whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], NOT_SPACE_BYTE)
+                words, row, per_row = word_runs(whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], NOT_SPACE_BYTE, breaks=BREAKS)
                 encoded = words.dictionary_encode()
                 which = encoded.indices.to_numpy(zero_copy_only=False)
-                ids = encode([w.decode("utf-8", "replace") for w in encoded.dictionary.to_pylist()])
-                own = np.array([len(i) for i in ids], np.int64)
+                ids = encode(_strings(encoded.dictionary))
+                own = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
                 begin = np.cumsum(own) - own
-                flat_ids = np.concatenate([*ids, np.array([END_ID], np.uint16)])
+                flat_ids = np.frombuffer(b"".join([*ids, np.array([END_ID], "<u2").tobytes()]), "<u2")
                 # Each row's pieces in their order, and the end token behind them.
                 end_at = np.cumsum(per_row)
                 from_, size = np.insert(begin[which], end_at, len(flat_ids) - 1), np.insert(own[which], end_at, 1)
@@ -142,6 +201,7 @@ def _tokenize(path: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[first:last], data.cast(pa.binary()), pa.array(np.diff(upto), pa.int32()), *(pa.array(point[:, d]) for d in range(DIMENSIONS))],
                     ["doc_id", "body", "n_tokens", *(f"x{d}" for d in range(DIMENSIONS))])
+        encode.kept.clear()
 
     return tokenize
 
@@ -179,30 +239,39 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _with_place(tokens: DataFrame) -> DataFrame:
-    """Adds `place`: the Hilbert key of the scaled point and HASH_BITS of a hash of the row."""
+def _places(tokens: DataFrame) -> Callable[[list[int] | None], Column]:
+    """The place of a row, and with `bounds` a struct of its range and place.
+
+    The place is the Hilbert key of the scaled point with HASH_BITS of a hash of the row behind it.
+    """
     names = [f"x{d}" for d in range(DIMENSIONS)]
     stats = tokens.agg(*(f(n) for n in names for f in (F.mean, F.stddev_pop))).first()
     middle = np.array([s or 0.0 for s in stats[::2]])
     width = np.array([s or 1.0 for s in stats[1::2]]) * SPREAD * 2
+    behind = F.pmod(F.xxhash64("row"), F.lit(1 << HASH_BITS))
 
-    @F.pandas_udf("bigint")
-    def key(*columns: pd.Series) -> pd.Series:
-        points = (np.column_stack(columns) - middle) / width + 0.5
-        return pd.Series(hilbert_key(np.clip((points * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)))
+    def places(columns: tuple[pd.Series, ...]) -> np.ndarray:
+        points = (np.column_stack(columns[:-1]) - middle) / width + 0.5
+        cells = np.clip((points * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+        return (hilbert_key(cells) << HASH_BITS) + columns[-1].to_numpy()
 
-    behind = F.pmod(F.xxhash64("row"), F.lit(1 << HASH_BITS))
-    return tokens.withColumn("place", F.shiftleft(key(*names), HASH_BITS) + behind)
+    def placed(bounds: list[int] | None = None) -> Column:
+        if bounds is None:
+            @F.pandas_udf("bigint")
+            def place(*columns: pd.Series) -> pd.Series:
+                return pd.Series(places(columns))
 
+            return place(*names, behind)
+        edges = np.array(bounds, np.int64)
 
-def _range_of(bounds: list[int]) -> Callable[[Column], Column]:
-    edges = np.array(bounds, np.int64)
+        @F.pandas_udf("range int, place bigint")
+        def range_and_place(*columns: pd.Series) -> pd.DataFrame:
+            at = places(columns)
+            return pd.DataFrame({"range": np.searchsorted(edges, at, "right").astype(np.int32), "place": at})
 
-    @F.pandas_udf("int")
-    def range_of(place: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, place.to_numpy(), "right").astype(np.int32))
+        return range_and_place(*names, behind)
 
-    return range_of
+    return placed
 
 
 def tail_edges(total: int, sequence: int = SEQUENCE) -> list[int]:
@@ -254,16 +323,17 @@ def _cut(before: dict[int, int], total: int, sequence: int) -> Callable[[Iterabl
 def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text", range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """Pieces of documents in their sequences: doc_id, start, length, ids (four bytes each, little endian), doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    placed = _with_place(materialize(token_table(docs, tokenizer, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "tokens"))
-    total = placed.agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0]
+    tokens = materialize(token_table(docs, tokenizer, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    total = tokens.agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0]
     if not total:
         return spark.createDataFrame([], PIECE)
-    ranges = max(-(-total // range_tokens), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = placed.agg(F.percentile_approx("place", [i / ranges for i in range(1, ranges)] or [0.5], 20 * ranges)).first()[0]
-    dealt = placed.withColumn("range", _range_of(sorted(set(cuts)) if ranges > 1 else [])(F.col("place")))
-    sums = {r.range: r.n for r in dealt.groupBy("range").agg(F.sum(F.col("n_tokens").cast("bigint")).alias("n")).collect()}  # one row per range
+    ranges = max(-(-total // range_tokens), int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    placed = _places(tokens)
+    cuts = tokens.agg(F.percentile_approx(placed(), [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+    dealt = tokens.withColumn("at", placed(sorted(set(cuts))))
+    sums = {r.range: r.n for r in dealt.groupBy("at.range").agg(F.sum(F.col("n_tokens").cast("bigint")).alias("n")).collect()}  # one row per range
     before = dict(zip(sorted(sums), itertools.accumulate((sums[r] for r in sorted(sums)), initial=0), strict=False))
-    rows = dealt.select("range", "doc_id", "body", "n_tokens", "place", "row").repartitionById(ranges, "range").sortWithinPartitions("range", "place", "row")
+    rows = dealt.select("at.range", "doc_id", "body", "n_tokens", "at.place", "row").repartitionById(ranges, "range").sortWithinPartitions("range", "place", "row")
     return rows.select("range", "doc_id", "body", "n_tokens").mapInArrow(_cut(before, total, sequence), PIECE)
 
 

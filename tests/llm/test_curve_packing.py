@@ -7,10 +7,13 @@ import fixtures as fx
 import numpy as np
 import oracle
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from folioflow.llm import curve_packing as cp
+from folioflow.llm import texts as fixed
+from folioflow.llm import word_strings
 from folioflow.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -76,10 +79,40 @@ def test_empty_table(spark):
 def test_long_pieces_are_cut_where_the_tokenizer_cuts(monkeypatch):
     encoder = cp.PieceEncoder(PATH)
     text = "abc12def-#!ghi'sJK9léḿ" * 40
-    plain = encoder([text])[0].tolist()
-    assert plain == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    plain = encoder([text])[0]
+    assert np.frombuffer(plain, "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
     monkeypatch.setattr(cp, "LONG", 50)
-    assert cp.PieceEncoder(PATH)([text])[0].tolist() == plain
+    assert cp.PieceEncoder(PATH)([text])[0] == plain
+
+
+def test_pieces_encoded_together(monkeypatch):
+    """With few pieces kept, and with and without a separator, as one by one."""
+    monkeypatch.setattr(cp, "KEPT", 5)
+    monkeypatch.setattr(cp, "TOGETHER", 4)
+    pieces = ["a,", "½", "x½y", "'s", "ḿ", "12a", "!!", "ǅ", "中文", "a,b", "\x00", "é'", "q" * 100, "ÀÖß", "Straße", "abcdefghijk", "x"]
+    encoder = cp.PieceEncoder(PATH)
+    assert encoder.separator is not None and encoder.words_end
+    wanted = [np.array(e.ids, "<u2").tobytes() for e in encoder.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    for _ in range(3):
+        assert encoder(pieces) == wanted and encoder(pieces[::-1]) == wanted[::-1]
+    encoder.separator, encoder.words_end = None, False
+    encoder.kept.clear()
+    assert encoder(pieces) == wanted
+
+
+def test_pieces_are_cut_where_the_tokenizer_cuts():
+    """Every pair of ASCII characters within a word, with letters, signs and marks around: whole, and cut by the table."""
+    encoder = cp.PieceEncoder(PATH)
+    texts = [f"{x}{chr(a)}{chr(b)}{y}" for a in range(0x21, 0x7F) for b in range(0x21, 0x7F) for x, y in (("", "s"), ("é", "re"), ("'", "\u0301"))]
+    column = pa.array([t.encode() for t in texts])
+    pieces, row, _ = word_strings.word_runs(*fixed.flat(column), fixed.NOT_SPACE_BYTE, breaks=cp.BREAKS)
+    ids = encoder(cp._strings(pieces))
+    joined = [b"" for _ in texts]
+    for r, own in zip(row.tolist(), ids, strict=True):
+        joined[r] += own
+    assert b"".join(pieces.to_pylist()) == "".join(texts).encode() and len(pieces) > len(texts)
+    wanted = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(j, "<u2").tolist() for j in joined] == [e.ids for e in wanted]
 
 
 @pytest.mark.parametrize(("dimensions", "bits"), [(2, 3), (3, 2), (4, 2)])
