@@ -55,10 +55,39 @@ NOTICES = [
     ("this work is licensed under cc by nc", "cc-by-nc"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("licensed under the gnu general public license either version 3 or later", "gpl-3"),
+    ("licensed under the gnu general public license either version 2 or later", "gpl-2"),
+    ("gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "gpl-3"),
+    ("gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "gpl-2"),
+    ("distributed under the boost software license version 1 0", "bsl-1"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", "epl-2"),
 ]
+# Headings of license texts. Fixed.
+HEADINGS = [
+    ("gnu general public license version 3 29 june 2007", "gpl-3"),
+    ("gnu general public license version 2 june 1991", "gpl-2"),
+    ("apache license version 2 0 january 2004", "apache-2"),
+    ("mozilla public license version 2 0", "mpl-2"),
+    ("the mit license mit", "mit"),
+    ("bsd 3 clause license", "bsd"),
+    ("bsd 2 clause license", "bsd"),
+    ("creative commons attribution 4 0 international", "cc-by"),
+    ("creative commons attribution noncommercial 4 0 international", "cc-by-nc"),
+    ("creative commons attribution sharealike 4 0 international", "cc-by-sa"),
+]
+# Identifiers of the lines that begin with `SPDX-License-Identifier:`, as words. Fixed.
+IDENTIFIERS = [
+    ("mit", "mit"), ("apache 2 0", "apache-2"), ("gpl 3 0", "gpl-3"), ("gpl 2 0", "gpl-2"), ("lgpl 3 0", "lgpl"), ("lgpl 2 1", "lgpl"), ("agpl 3 0", "agpl"),
+    ("bsd 3 clause", "bsd"), ("bsd 2 clause", "bsd"), ("mpl 2 0", "mpl-2"), ("isc", "isc"), ("unlicense", "unlicense"), ("cc by 4 0", "cc-by"), ("cc by nc 4 0", "cc-by-nc"),
+    ("cc by sa 4 0", "cc-by-sa"), ("bsl 1 0", "bsl-1"), ("epl 2 0", "epl-2"),
+]
+NOTICES += HEADINGS + [(f"spdx license identifier {words}", label) for words, label in IDENTIFIERS]
 
 # Words that tell a label's notices from those of its siblings: a span has to hold a run with one of them. Fixed.
-TELLING = {"gpl-3": ["3"], "gpl-2": ["2"], "lgpl": ["lesser"], "agpl": ["affero"], "cc-by-nc": ["noncommercial", "nc"], "cc-by-sa": ["sharealike"]}
+TELLING = {
+    "gpl-3": ["3"], "gpl-2": ["2"], "lgpl": ["lesser", "lgpl"], "agpl": ["affero", "agpl"], "cc-by-nc": ["noncommercial", "nc"], "cc-by-sa": ["sharealike", "sa"],
+    "mpl-2": ["mozilla", "mpl"], "bsl-1": ["boost", "bsl"], "epl-2": ["eclipse", "epl"],
+}
 
 
 def template_runs(spark: SparkSession) -> DataFrame:

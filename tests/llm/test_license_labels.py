@@ -34,6 +34,18 @@ def test_each_notice_has_its_own_label(spark):
     ("This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "cc-by-sa"),
     ("This work is licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by"),
     ("This work is licensed under CC BY", ""),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007", "gpl-3"),
+    ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "gpl-2"),
+    ("This file is licensed under the GNU General Public License, either version 3 or later.", "gpl-3"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3"),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "gpl-2"),
+    ("// SPDX-License-Identifier: MIT\nint main", "mit"),
+    ("SPDX-License-Identifier: Apache-2.0\nSPDX-License-Identifier: BSD-3-Clause", "apache-2,bsd"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl"),
+    ("SPDX-License-Identifier: Something-Else-1.0", ""),
+    ("Mozilla Public License Version 2.0", "mpl-2"),
+    ("BSD 3-Clause License\n\nCopyright (c) 2020", "bsd"),
+    ("the general public may read this license at 29 June 2007 in version 3", ""),
     ("Licensed under the GNU General Public License version 2. Licensed under the GNU General Public License version 3", "gpl-2,gpl-3"),
 ])
 def test_siblings(spark, text, label):
