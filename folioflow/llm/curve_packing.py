@@ -3,7 +3,7 @@
 A document is the mean of the hashed vectors of its words, projected to DIMENSIONS random
 signs each. Each dimension is scaled by its mean and deviation over all documents and cut
 to BITS bits; the Hilbert key of the point, with bits of a hash behind it, is the place of
-the document. Documents are dealt to ranges of places with about equal numbers of rows,
+the document. Documents are dealt to ranges of places with about equal numbers of tokens,
 sorted, and laid end to end: the tokens before a range are a sum over the ranges before
 it, so each task knows the position of its first token and cuts at multiples of the length
 of a sequence. Sequences are full, over the bounds of ranges too; what is left behind the
@@ -47,6 +47,7 @@ HASH_BITS = 22
 SPREAD = 3.0
 #: Bytes of text worked on at once; tokens in a range, about.
 SLICE, RANGE_TOKENS = 8 << 20, 4 << 20
+WEIGHED = 1024
 #: Pieces of a generation whose ids a worker keeps, their greatest length, and how many are encoded together.
 KEPT, KEPT_LENGTH, TOGETHER = 500_000, 64, 20_000
 SEPARATOR = "½"
@@ -329,7 +330,9 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, id_col: str
         return spark.createDataFrame([], PIECE)
     ranges = max(-(-total // range_tokens), int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     placed = _places(tokens)
-    cuts = tokens.agg(F.percentile_approx(placed(), [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+    # A place counts once for every WEIGHED tokens, so that ranges are even in tokens and not in documents.
+    weighed = tokens.select(F.explode(F.array_repeat(placed(), F.ceil(F.col("n_tokens") / WEIGHED).cast("int"))).alias("place"))
+    cuts = weighed.agg(F.percentile_approx("place", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
     dealt = tokens.withColumn("at", placed(sorted(set(cuts))))
     sums = {r.range: r.n for r in dealt.groupBy("at.range").agg(F.sum(F.col("n_tokens").cast("bigint")).alias("n")).collect()}  # one row per range
     before = dict(zip(sorted(sums), itertools.accumulate((sums[r] for r in sorted(sums)), initial=0), strict=False))
