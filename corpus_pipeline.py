@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import chosen_path, containment, cuckoo, language, mixing
-from folioflow.session import configure, materialize
+from folioflow.session import configure, remove, scratch_dir, scratch_scope
 
 #: Calibrated probability of the best language below which a document is rejected.
 LEAST_SCORE = 0.4
@@ -65,7 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows, as written. Scratch tables of a stage, and the rows of the one before it, go once it is written."""
+    docs, before = configure(spark).read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -63,22 +63,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIX_SQL = """
 WITH RECURSIVE
 d AS (SELECT doc_id, coalesce(source, '') AS source, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY doc_id) - 1 AS n FROM documents),
-w AS (SELECT source, CAST(floor(1000 * sqrt(count(*))) AS BIGINT) AS weight FROM d GROUP BY source),
-s AS (SELECT source, CAST(greatest(1, weight * 1000 // (SELECT sum(weight) FROM w)) AS BIGINT) AS share FROM w),
-l AS (SELECT list(share ORDER BY source) AS a, list(source ORDER BY source) AS names, CAST(sum(share) AS BIGINT) AS q FROM s),
+g AS (SELECT source, CAST(floor(1000 * sqrt(count(*))) AS HUGEINT) AS weight, (count(*) + 15) // 16 AS blocks FROM d GROUP BY source),
+w AS (SELECT source, greatest(weight, ((SELECT sum(weight) FROM g) + 9999) // 10000) AS weight, blocks FROM g),
+l AS (SELECT list(weight ORDER BY source) AS a, list(source ORDER BY source) AS names, list(blocks ORDER BY source) AS blocks, sum(weight) AS q FROM w),
+p AS (SELECT *, [list_sum(a[1:i]) FOR i IN range(1, len(a) + 1)] AS c, greatest(1000, (q + list_min(a) - 1) // list_min(a)) AS stretch,
+  coalesce(list_reverse_sort([(blocks[i] * q + a[i] - 1) // a[i] FOR i IN range(1, len(a) + 1)])[2], 0) AS slots FROM l),
 sim(t, done, pick) AS (
-  SELECT CAST(-1 AS BIGINT), [CAST(0 AS BIGINT) FOR x IN a], CAST(0 AS BIGINT) FROM l
+  SELECT CAST(-1 AS HUGEINT), [CAST(0 AS HUGEINT) FOR x IN a], CAST(0 AS BIGINT) FROM p
   UNION ALL
-  SELECT t, [done[i] + CASE WHEN i = p THEN 1 ELSE 0 END FOR i IN range(1, len(done) + 1)], p FROM (
+  SELECT t, [done[i] + CASE WHEN i = pick THEN 1 ELSE 0 END FOR i IN range(1, len(done) + 1)], pick FROM (
     SELECT t + 1 AS t, done, list_min([
-      {'deadline': ((done[i] + 1) * q + a[i] - 1) // a[i], 'i': i}
-      FOR i IN range(1, len(a) + 1) IF (done[i] * q) // a[i] <= t + 1]).i AS p
-    FROM sim, l WHERE t + 1 < q)),
-slots AS (SELECT names[pick] AS source, a[pick] AS share, q, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS nth FROM sim, l WHERE t >= 0)
-SELECT d.doc_id, d.source, d.n // 16 AS block, ((d.n // 16) * q) // share AS release,
-  ((d.n // 16 + 1) * q + share - 1) // share AS deadline,
-  ((d.n // 16) // share) * q + slot AS slot, CAST(d.n % 16 AS INTEGER) AS seq
-FROM d JOIN slots ON d.source = slots.source AND (d.n // 16) % share = slots.nth
+      {'early': CASE WHEN done[i] * q // a[i] > t + 1 THEN 1 ELSE 0 END, 'deadline': ((done[i] + 1) * q + a[i] - 1) // a[i], 'i': i}
+      FOR i IN range(1, len(a) + 1)
+      IF done[i] < c[i] * (((t + 1) // stretch + 1) * stretch) // q - CASE WHEN i = 1 THEN 0 ELSE c[i - 1] * (((t + 1) // stretch + 1) * stretch) // q END]).i AS pick
+    FROM sim, p WHERE t + 1 < slots)),
+taken AS (SELECT names[pick] AS source, CAST(t AS BIGINT) AS slot, CAST(done[pick] - 1 AS BIGINT) AS block FROM sim, p WHERE t >= 0),
+b AS (SELECT d.doc_id, d.source, d.n // 16 AS block, CAST(d.n // 16 * q // weight AS BIGINT) AS release,
+  CAST(((d.n // 16 + 1) * q + weight - 1) // weight AS BIGINT) AS deadline, CAST(d.n % 16 AS INTEGER) AS seq
+  FROM d JOIN w ON d.source = w.source, (SELECT sum(weight) AS q FROM w))
+SELECT b.doc_id, b.source, b.block, release, deadline, coalesce(slot, deadline - 1) AS slot, seq
+FROM b LEFT JOIN taken ON b.source = taken.source AND b.block = taken.block
 """
 
 

@@ -116,7 +116,7 @@ def test_runs_reach_the_recall():
 
 def test_mixing_deviation(spark):
     docs = fx.documents(spark, [(1000 + i, "x", "en", "big") for i in range(900)] + [(3000 + i, "x", "en", "mid") for i in range(400)])
-    weights = spark.createDataFrame([("big", 6.0), ("mid", 3.0), ("a", 1.0)], "source string, weight double")
+    weights = spark.createDataFrame([("big", 0.6), ("mid", 0.3), ("a", 0.1)], "source string, weight double")
     rows = mixing.mix(docs.filter("source in ('big', 'mid')"), weights, block_docs=4).collect()
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in rows)
     share = {"big": 2 / 3, "mid": 1 / 3}
@@ -125,9 +125,45 @@ def test_mixing_deviation(spark):
     seen = Counter()
     for slot, source in blocks[:250]:  # until the first source runs out
         seen[source] += 1
-        assert all(abs(seen[s] - (slot + 1) * w) < 1.01 for s, w in share.items())
+        assert all(abs(seen[s] - (slot + 1) * w) < 1 for s, w in share.items())
     whole = mixing.mixed_documents(docs).collect()
     assert len(whole) == docs.count() and [(r["mix_slot"], r["mix_seq"]) for r in whole] == sorted((r["mix_slot"], r["mix_seq"]) for r in whole)
+    unknown = {r["source"] for r in mixing.mix(docs, weights).collect()}
+    assert unknown == {"", "a", "b", "big", "c", "mid"}
+
+
+def earliest_deadline_first(weights, slots):
+    """The source of each slot, one slot after the other, without stretches."""
+    total, done, out = sum(weights), [0] * len(weights), []
+    for t in range(slots):
+        i = min((-(-(done[i] + 1) * total // w), i) for i, w in enumerate(weights) if done[i] * total // w <= t)[1]
+        done[i] += 1
+        out.append(i)
+    return out
+
+
+WEIGHTS = {
+    "20": [223_607, *range(70_711, 70_730)], "3000": [1500] + [1] * 3000, "powers": [10**6 // k for k in range(1, 51)], "one": [7], "two": [1, 10**6],
+    "uneven": [(k * 7919) % 9973 + 500 for k in range(40)],
+}
+
+
+@pytest.mark.parametrize(("name", "slots"), [("20", 100_000), ("3000", 100_000), ("powers", 60_000), ("one", 2500), ("two", 3000), ("uneven", 60_000)])
+def test_no_source_is_a_block_off_its_weight(spark, name, slots):
+    """After every slot, against the weights themselves; blocks of a source come in order and within their windows."""
+    weights = WEIGHTS[name]
+    own = mixing.Targets(tuple(f"s{i:05d}" for i in range(len(weights))), tuple(weights))
+    rows = sorted((r["slot"], int(r["source"][1:]), r["block"], weights[int(r["source"][1:])]) for r in mixing.schedule(spark, own, slots).collect())
+    assert [t for t, *_ in rows] == list(range(slots))
+    done, total = [0] * len(weights), sum(weights)
+    for t, i, block, weight in rows:
+        assert block == done[i]
+        done[i] += 1
+        assert block * total // weight <= t < -(-(block + 1) * total // weight), (t, i, block)
+    late = [i for i, n in enumerate(done) if n * total < slots * weights[i] - total]
+    assert not late
+    first = min(slots, own.stretch) // 2
+    assert [i for _, i, *_ in rows[:first]] == earliest_deadline_first(weights, first)
 
 
 def test_tree_is_a_distribution(spark):

@@ -33,6 +33,16 @@ def test_stages(spark):
     assert set(kept["source_mixing"]) == set(kept["benchmark_decontamination"])
 
 
+def test_run_leaves_its_result_only(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        rows = corpus_pipeline.run(spark, oracle.SF_DIR)
+        assert [p.name.rpartition("-")[0] for p in tmp_path.iterdir()] == ["pipeline-source_mixing"]
+        assert rows.count() > 0 and {"mix_slot", "mix_seq"} <= set(rows.columns)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_odd_documents(spark):
     docs = fx.documents(spark, clash=False)
     for _, stage in corpus_pipeline.STAGES:
