@@ -106,19 +106,20 @@ RUN_LOG = """run_log AS (
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector records in flat columns, with one fault per validation rule."""
-    fault = F.col("vec_id") % 50
+    """Vector records in flat columns: one fault for each validation rule, and rows that break several of them."""
+    number = F.col("vec_id") % 50
+    fault = lambda *numbers: number.isin(*numbers)
     stored = F.col("embedding").cast("array<double>")
     with_nan = F.transform(stored, lambda x, i: F.when(i == 0, F.lit(float("nan"))).otherwise(x))
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("paper_id"),
         F.lit("title_abstract").alias("vector_type"),
-        F.when(fault == 0, F.array().cast("array<double>")).when(fault == 1, with_nan).otherwise(stored).alias(
+        F.when(fault(0, 8), F.array().cast("array<double>")).when(fault(1, 5, 6, 7), with_nan).otherwise(stored).alias(
             "embedding"),
-        F.when(fault == 2, 63).otherwise(64).alias("dimension"),
-        F.when(fault == 3, "").otherwise(F.concat(F.lit("m"), (F.col("label") % 2).cast("string"))).alias(
+        F.when(fault(2, 5), 63).otherwise(64).alias("dimension"),
+        F.when(fault(3, 5, 6, 8), "").otherwise(F.concat(F.lit("m"), (F.col("label") % 2).cast("string"))).alias(
             "model_version"),
-        F.when(fault == 4, "").otherwise(F.concat(F.lit("batch-"), F.col("label").cast("string"))).alias("trace_id"),
+        F.when(fault(4, 5, 6, 7, 8), "").otherwise(F.concat(F.lit("batch-"), F.col("label").cast("string"))).alias("trace_id"),
         F.expr("timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(vec_id as int))").alias(
             "created_at"),
         "label",
@@ -127,12 +128,12 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 VECTORS = """vectors AS (
   SELECT CAST(vec_id AS VARCHAR) AS paper_id, 'title_abstract' AS vector_type,
-         CASE WHEN vec_id % 50 = 0 THEN CAST([] AS DOUBLE[])
-              WHEN vec_id % 50 = 1 THEN list_concat([CAST('nan' AS DOUBLE)], CAST(embedding[2:] AS DOUBLE[]))
+         CASE WHEN vec_id % 50 IN (0, 8) THEN CAST([] AS DOUBLE[])
+              WHEN vec_id % 50 IN (1, 5, 6, 7) THEN list_concat([CAST('nan' AS DOUBLE)], CAST(embedding[2:] AS DOUBLE[]))
               ELSE CAST(embedding AS DOUBLE[]) END AS embedding,
-         CASE WHEN vec_id % 50 = 2 THEN 63 ELSE 64 END AS dimension,
-         CASE WHEN vec_id % 50 = 3 THEN '' ELSE 'm' || CAST(label % 2 AS VARCHAR) END AS model_version,
-         CASE WHEN vec_id % 50 = 4 THEN '' ELSE 'batch-' || CAST(label AS VARCHAR) END AS trace_id,
+         CASE WHEN vec_id % 50 IN (2, 5) THEN 63 ELSE 64 END AS dimension,
+         CASE WHEN vec_id % 50 IN (3, 5, 6, 8) THEN '' ELSE 'm' || CAST(label % 2 AS VARCHAR) END AS model_version,
+         CASE WHEN vec_id % 50 IN (4, 5, 6, 7, 8) THEN '' ELSE 'batch-' || CAST(label AS VARCHAR) END AS trace_id,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(vec_id AS INTEGER)) AS created_at,
          label
   FROM embeddings)"""

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow import session
 from folioflow.functions.timestamps import day_folder, rfc3339_exact
 from folioflow.schemas import LANDED_RECORD
 from folioflow.sources.stored_files import binary_files, contents, open_stored
@@ -27,6 +28,7 @@ BAD_RECORD = "data_conversion"
 NO_VALID_PAPERS = "no valid papers found in data"
 GZIP_SUFFIXES = (".gz", ".gzip")
 LANDING_GLOB = "*.gz"
+DAY_PREFIX = "collect_date="
 
 RECORDS_PER_BATCH = 2_000
 RECORDS_PER_FILE = 100_000
@@ -245,13 +247,25 @@ def decode_files(files: DataFrame) -> DataFrame:
     return files.select(*_FILE_COLUMNS).mapInArrow(_decode_files, LANDED_RECORD)
 
 
-def read_landing(spark: SparkSession, path: str | list[str], glob: str = LANDING_GLOB) -> DataFrame:
-    """Records of all landing files under `path`.
+def day_folders(spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None) -> list[str]:
+    """The folders of `write_landing` for a closed range of collection days, by their names; either side may be open."""
+    days = (n.removeprefix(DAY_PREFIX) for n in session.list_names(spark, path) if n.startswith(DAY_PREFIX))
+    return [f"{path}/{DAY_PREFIX}{d}" for d in sorted(days) if (date_from or "") <= d <= (date_to or "9999")]
+
+
+def read_landing(
+    spark: SparkSession, path: str | list[str], glob: str = LANDING_GLOB, date_from: str | None = None, date_to: str | None = None,
+) -> DataFrame:
+    """Records of all landing files under `path`, or of those of a range of collection days.
 
     Every element gives one row; a file that fails gives one row with its error. A task
     holds the file as it is stored, or a block of it if it is large, and of what is in it a
-    line or an element at a time.
+    line or an element at a time. With a range of days no other folder is listed.
     """
+    if date_from is not None or date_to is not None:
+        path = [f for p in ([path] if isinstance(path, str) else path) for f in day_folders(spark, p, date_from, date_to)]
+        if not path:
+            return spark.createDataFrame([], LANDED_RECORD)
     return decode_files(contents(binary_files(spark, path, glob)))
 
 

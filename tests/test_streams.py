@@ -185,3 +185,23 @@ def test_the_index_opens_the_buckets_of_a_trace(spark, world):
     found = store.papers_of("t7")
     assert sorted(r.paper_id for r in found.collect()) == ["28", "29", "30", "31"]
     assert files_read(found) <= 1 + 4 < 32
+
+
+def test_a_rule_of_the_papers_table(spark, world):
+    """Batches of 25 with a paper that the table refuses are not stored, and the result, the index and the dead letters say so."""
+    source, _, state = world
+    store = stream.Store(spark, scratch_dir(spark, "store"), paper_rule=F.when(F.length("title") > 100, "title is too long"))
+    put(source, "a.gz", [{"id": f"p{i}", "title": "x" * 200 if i == 30 else f"title {i}"} for i in range(60)])
+    run(spark, source, store, state)
+    result = store.batch_results.read().first()
+    stored = store.papers.read().count()
+    assert (result.total_items, result.success_items, result.failed_items) == (60, stored, 60 - stored) and result.failed_items in (10, 25)
+    assert (result.batch_count, result.success_batches, result.failed_batches) == (3, 2, 1)
+    assert (result.status, result.processed_count, result.error_message) == ("partial_success", stored, f"{60 - stored} items failed to upsert")
+    letters = store.dead_letters.read().collect()
+    assert len(letters) == 60 - stored and {(r.stage, r.reason) for r in letters} == {("batch_upsert", "title is too long")}
+    assert store.papers_by_trace.read().count() == stored == store.vectors.read().count()
+    put(source, "b.gz", [{"x": 1}])
+    run(spark, source, store, state)
+    empty = next(r for r in store.batch_results.read().collect() if r.total_items == 0)
+    assert (empty.status, empty.batch_count) == ("failed", 0) and empty.file_errors == 1

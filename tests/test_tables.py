@@ -164,3 +164,16 @@ def test_no_scratch_is_used(spark, tmp_path, monkeypatch):
     for v in (1, 2):
         table.upsert(frame(spark, [("a", "x", v)]))
     assert content(table) == [("a", "x", 2)]
+
+
+def test_scratch_scopes(spark, tmp_path, monkeypatch):
+    """A scope deletes what is named in it and not in a scope within; nothing outside."""
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    out = session.materialize(frame(spark, [("a", "x", 1)]), "outside")
+    with session.scratch_scope(spark):
+        one = session.materialize(frame(spark, [("a", "x", 2)]), "one")
+        with session.scratch_scope(spark):
+            session.materialize(one, "two")
+            scratch_dir(spark, "never-written")
+        assert one.count() == 1 and sorted(n.partition("-")[0] for n in os.listdir(tmp_path)) == ["one", "outside"]
+    assert out.count() == 1 and [n.partition("-")[0] for n in os.listdir(tmp_path)] == ["outside"]
