@@ -10,12 +10,12 @@ import fixtures as fx
 import pytest
 import test_queries as tq
 
-from folioflow.llm import chosen_path, containment, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, suffix_tree, warc
+from folioflow.llm import chosen_path, containment, context_tree, cuckoo, language, licenses, mixing, secret_scan, suffix_runs, suffix_tree, warc
 from folioflow.session import scratch_dir
 
 OPERATORS = {
     "licenses": licenses.license_scan, "secrets": lambda d: secret_scan.secret_digest(secret_scan.secret_spans(d)), "language": language.identify,
-    "jaccard": chosen_path.jaccard_join, "mixing": mixing.mix, "tree": suffix_tree.lm_scores, "repeats": suffix_runs.repeated_passages, "dedup": cuckoo.exact_dedup,
+    "jaccard": chosen_path.jaccard_join, "mixing": mixing.mix, "tree": suffix_tree.lm_scores, "contexts": context_tree.lm_scores, "repeats": suffix_runs.repeated_passages, "dedup": cuckoo.exact_dedup,
 }
 
 
