@@ -344,11 +344,19 @@ def s6_vector(spark, sf):
 SELECT paper_id, source, title, strftime(batch_timestamp, '%Y-%m-%dT%H:%M:%SZ') AS batch_timestamp
 FROM papers WHERE trace_id = 'batch-3' ORDER BY batch_timestamp DESC, paper_id""", PAPERS))
 def s7(spark, sf):
-    """By the index of the papers by trace: the bucket of the trace there, then the buckets of the papers it names."""
     papers = _stored_papers(spark, sf)
+    return trace_lookup(papers, _papers_by_trace(papers))
+
+
+def _papers_by_trace(papers):
     keys = T.StructType([papers.schema["trace_id"], *(papers.schema[k] for k in papers.keys)])
-    by_trace = KeyedTable(spark, scratch_dir(spark, "papers-by-trace"), keys, keys.names, bucket_by=("trace_id",))
+    by_trace = KeyedTable(papers.spark, scratch_dir(papers.spark, "papers-by-trace"), keys, keys.names, bucket_by=("trace_id",))
     by_trace.upsert(papers.read().select(*keys.names))
+    return by_trace
+
+
+def trace_lookup(papers, by_trace):
+    """By the index of the papers by trace: the bucket of the trace there, then the buckets of the papers it names."""
     named = by_trace.get(trace_id="batch-3").select(*papers.keys)
     return lookup.papers_of_trace(papers.get_many(named), "batch-3").select(
         "paper_id", "source", "title", TS.rfc3339(F.col("batch_timestamp")).alias("batch_timestamp"))
