@@ -59,14 +59,16 @@ _ARROW = pa.schema([
 
 
 def pack_ints(values: np.ndarray) -> bytes:
-    """Integers as 32-bit differences, byte planes apart: the high planes are mostly zeros and compress away."""
+    """Integers as 32-bit differences, byte planes apart and compressed: counts and high planes are mostly zeros."""
     steps = np.diff(values.astype("<i4"), prepend=np.int32(0)).astype("<i4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(steps).to_bytes(8, "little") + pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpack_ints(data: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
-    return np.cumsum(steps, dtype=np.int32).astype(np.int64)
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd")
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<i4").ravel()
+    return np.cumsum(steps, dtype=np.int32)
 
 
 def _per_row(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -120,7 +122,7 @@ def _send(count: int):
         for batch in batches:
             for shard, terms, sizes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 body, lengths = np.frombuffer(terms, np.uint8), unpack_ints(sizes)
-                at = np.concatenate([[0], np.cumsum(lengths)])
+                at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
                 out = [(shard, r, body[at[a] : at[b]].tobytes(), pack_ints(lengths[a:b])) for r, a, b in ranges(_hashes(body, at), count)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["shard", "range", "terms", "sizes"])
@@ -133,7 +135,7 @@ def _number(count: int):
         """Numbers the terms of a range in the order of their bytes; `ids` answers each shard's row."""
         pieces = []
         for terms, sizes in zip(group["terms"].to_pylist(), group["sizes"].to_pylist(), strict=True):
-            ends = np.concatenate([[0], np.cumsum(unpack_ints(sizes))]).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(unpack_ints(sizes), dtype=np.int64)]).astype(np.int32)
             pieces.append(pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(terms)]))
         encoded = pa.chunked_array(pieces).combine_chunks().dictionary_encode()
         rank = np.empty(len(encoded.dictionary), np.int64)
@@ -171,7 +173,7 @@ def _matrix(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
 
 def _matrix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for m in _matrix(batches):
-        lists = [m["doc_ids"], *(pa.array(m[n], pa.int64()) for n in ("indptr", "columns", "counts"))]
+        lists = [m["doc_ids"], *(pa.array(m[n].astype(np.int64)) for n in ("indptr", "columns", "counts"))]
         yield pa.RecordBatch.from_arrays([pa.array([m["shard"]]), *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists)], ["shard", "doc_ids", "indptr", "columns", "counts"])
 
 
@@ -190,9 +192,9 @@ ROW = "doc_id bigint, part string, digest binary, n_words bigint, n_distinct big
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of the matrix: their sums and numbers of entries, and the marks that came along."""
     for m in _matrix(batches):
-        upto = np.concatenate([[0], np.cumsum(m["counts"])])[m["indptr"]]
+        upto = np.concatenate([[0], np.cumsum(m["counts"], dtype=np.int64)])[m["indptr"]]
         yield pa.RecordBatch.from_arrays(
-            [m["doc_ids"], m["parts"], m["digests"], pa.array(np.diff(upto)), pa.array(np.diff(m["indptr"])), m["capitals"], m["forbidden"]],
+            [m["doc_ids"], m["parts"], m["digests"], pa.array(np.diff(upto), pa.int64()), pa.array(np.diff(m["indptr"]), pa.int64()), m["capitals"], m["forbidden"]],
             ["doc_id", "part", "digest", "n_words", "n_distinct", "capitals", "forbidden"])
 
 
