@@ -72,18 +72,23 @@ def build_session(app_name: str = "folioflow", master: str | None = None, **conf
     return configure(builder.getOrCreate())
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder that every executor can reach.
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder for scratch tables.
 
-    The cluster names the shared folder in `spark.checkpoint.dir`. Only a local session
-    may do without it; there the driver and the executors share one file system.
+    The cluster names it in `spark.checkpoint.dir`. Only a local session may do without it;
+    there the driver and the executors share one file system.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="folioflow-")
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new, unused folder that every executor can reach."""
+    path = f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
     if _scopes:
         _scopes[-1].append(path)
     return path

@@ -212,10 +212,11 @@ def test_large_feeds(spark, tmp_path, small_limit):
 
 def test_range_of_collection_days(spark, tmp_path):
     papers = spark.range(40).selectExpr("cast(id as string) as id", "'s' as source", "timestamp '2024-01-01 12:00:00' + make_interval(0, 0, 0, cast(id div 10 as int)) as collected_at")
-    landing.write_landing(papers, str(tmp_path))
-    read = lambda **days: sorted(int(r.record_key) for r in landing.read_landing(spark, str(tmp_path), **days).collect())
+    path = tmp_path / "raw-data"
+    landing.write_landing(papers, str(path))
+    read = lambda **days: sorted(int(r.record_key) for r in landing.read_landing(spark, str(path), **days).collect())
     assert read(date_from="2024-01-02", date_to="2024-01-03") == list(range(10, 30))
     assert read(date_to="2024-01-01") == list(range(10)) and read(date_from="2024-01-04") == list(range(30, 40))
     assert read(date_from="2025-01-01") == [] and read() == list(range(40))
-    (tmp_path / "collect_date=2024-01-01" / "collect_source=s" / "bad.gz").write_bytes(b"nothing")
-    assert landing.read_landing(spark, str(tmp_path), date_from="2024-01-02").where("file_error is not null").count() == 0
+    (path / "collect_date=2024-01-01" / "collect_source=s" / "bad.gz").write_bytes(b"nothing")
+    assert landing.read_landing(spark, str(path), date_from="2024-01-02").where("file_error is not null").count() == 0

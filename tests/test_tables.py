@@ -168,12 +168,15 @@ def test_no_scratch_is_used(spark, tmp_path, monkeypatch):
 
 def test_scratch_scopes(spark, tmp_path, monkeypatch):
     """A scope deletes what is named in it and not in a scope within; nothing outside."""
-    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    monkeypatch.setattr(session, "scratch_base", lambda spark: str(tmp_path))
+    names = lambda: sorted(n.partition("-")[0] for n in os.listdir(tmp_path) if n[0] != ".")
     out = session.materialize(frame(spark, [("a", "x", 1)]), "outside")
+    assert names() == ["outside"]
     with session.scratch_scope(spark):
         one = session.materialize(frame(spark, [("a", "x", 2)]), "one")
         with session.scratch_scope(spark):
             session.materialize(one, "two")
-            scratch_dir(spark, "never-written")
-        assert one.count() == 1 and sorted(n.partition("-")[0] for n in os.listdir(tmp_path)) == ["one", "outside"]
-    assert out.count() == 1 and [n.partition("-")[0] for n in os.listdir(tmp_path)] == ["outside"]
+            scratch_dir(spark, "unwritten")
+            assert names() == ["one", "outside", "two"]
+        assert one.count() == 1 and names() == ["one", "outside"]
+    assert out.count() == 1 and names() == ["outside"]
