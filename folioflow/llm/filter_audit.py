@@ -41,7 +41,7 @@ FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 50, 65, 5
 FORBIDDEN = "#$%&*|"
 #: Bytes of text in a shard, about; a longer text is a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 _CAPITAL = np.zeros(256, bool)
 _CAPITAL[0x41:0x5B] = True
