@@ -143,14 +143,17 @@ def vectorization_results(embedded: DataFrame, run_ms: Column | None = None) ->
     ).drop("retrieval_error", "storage_error")
 
 
-def store_embedded(vectors: KeyedTable, embedded: DataFrame, run_ms: int, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+def store_embedded(
+    vectors: KeyedTable, embedded: DataFrame, run_ms: int, name: str | None = None, unique: bool = False,
+) -> tuple[DataFrame, DataFrame]:
     """Store the vectors of embedded papers; returns (results per trace, dead letters).
 
     `embedded` is read for each of them, so it has to be a written table: the encoder must
     not run per branch. Vectors are put by key, so a repeated run gives the same ones.
+    `unique` says that no paper comes twice.
     """
     ready = records.vector_records(embedded.where(F.col("error_code").isNull()))
-    rejected = store_vectors(vectors, ready, quality.record_reason(), name).select(
+    rejected = store_vectors(vectors, ready, quality.record_reason(), name, unique).select(
         F.col("processing_info.trace_id").alias("trace_id"), "paper_id", "reason"
     )
     failed = embedded.where(F.col("error_code").isNotNull() & F.col("paper_reason").isNull()).select(

@@ -103,18 +103,23 @@ class KeyedTable:
         base = self._files([base], base) if layout.base else None
         return base, self._files([f"{root}/{f}" for f in sorted(self._puts(layout).values())], root, (_WRITTEN,))
 
-    def _newest(self, base: DataFrame | None, puts: DataFrame | None) -> DataFrame:
-        """One row per key, with its bucket."""
+    def _alone(self, layout: Layout | None) -> bool:
+        """True if there are no two puts, so that no key comes twice in them."""
+        return layout is None or len(self._puts(layout)) < 2
+
+    def _newest(self, base: DataFrame | None, puts: DataFrame | None, alone: bool) -> DataFrame:
+        """One row per key, with its bucket. Rows of one put alone are not shuffled for that."""
         keys = [_BUCKET, *self.keys]
         if puts is not None:
-            puts = last_per_key(puts, keys, F.col(_WRITTEN)).drop(_WRITTEN)
+            puts = (puts if alone else last_per_key(puts, keys, F.col(_WRITTEN))).drop(_WRITTEN)
         if base is None or puts is None:
             rows = base if puts is None else puts
             return self.spark.createDataFrame([], self.schema).withColumn(_BUCKET, F.lit(0)) if rows is None else rows
-        return base.join(puts.select(*keys), keys, "left_anti").select(*self.schema.fieldNames(), _BUCKET).unionByName(puts)
+        return base.join(puts.select(*keys), keys, "left_anti").select(*puts.columns).unionByName(puts)
 
     def read(self) -> DataFrame:
-        return self._newest(*self._parts(self.layout())).drop(_BUCKET)
+        layout = self.layout()
+        return self._newest(*self._parts(layout), self._alone(layout)).drop(_BUCKET)
 
     def get(self, **key) -> DataFrame:
         """The rows of a literal key, or of the part of it that chooses the bucket: one bucket is opened."""
@@ -125,17 +130,21 @@ class KeyedTable:
         if layout is not None and set(self._chosen_by()) <= set(key):
             own = own & (F.col(_BUCKET) == self._bucket_of(*(F.lit(key[n]).cast(self.schema[n].dataType) for n in self._chosen_by()), buckets=layout.buckets))
         parts = (p if p is None else p.where(own) for p in self._parts(layout))
-        return self._newest(*parts).where(own).drop(_BUCKET)
+        return self._newest(*parts, self._alone(layout)).where(own).drop(_BUCKET)
 
-    def get_many(self, keys: DataFrame) -> DataFrame:
-        """The rows whose key is in `keys` (which has the columns that choose the bucket); only buckets of such keys are opened."""
+    def get_many(self, keys: DataFrame, columns: list[str] | None = None) -> DataFrame:
+        """The rows whose key is in `keys` (which has the columns that choose the bucket); only buckets of such keys are opened.
+
+        With `columns` only the keys and these columns are read and shuffled.
+        """
         layout = self.layout()
         if layout is None:
-            return self.read()
+            return self.read() if columns is None else self.read().select(*dict.fromkeys([*self.keys, *columns]))
         on = [n for n in self.keys if n in keys.columns]
         wanted = keys.select(*on).withColumn(_BUCKET, self._bucket_of(*map(F.col, self._chosen_by()), buckets=layout.buckets))
-        parts = (p if p is None else p.join(wanted, [_BUCKET, *on], "left_semi") for p in self._parts(layout))
-        return self._newest(*parts).drop(_BUCKET)
+        own = self.schema.fieldNames() if columns is None else [*dict.fromkeys([*self.keys, *columns])]
+        parts = (p if p is None else p.select(*own, *(c for c in (_WRITTEN, _BUCKET) if c in p.columns)).join(wanted, [_BUCKET, *on], "left_semi") for p in self._parts(layout))
+        return self._newest(*parts, self._alone(layout)).select(*own)
 
     def read_put(self, name: str) -> DataFrame | None:
         """The rows of one put, as long as no compaction has folded it; of no other file."""
@@ -145,12 +154,18 @@ class KeyedTable:
             return None
         return self._files([f"{self.path}/puts/{folder}"], f"{self.path}/puts", (_WRITTEN,)).drop(_BUCKET, _WRITTEN)
 
-    def upsert(self, rows: DataFrame, name: str | None = None) -> None:
-        """Put `rows`; of several with one key the last wins. A put with the name of an earlier one replaces it."""
+    def upsert(self, rows: DataFrame, name: str | None = None, unique: bool = False) -> None:
+        """Put `rows`; of several with one key the last wins. A put with the name of an earlier one replaces it.
+
+        `unique` says that no key comes twice, as in rows of another table with these keys; then they are not shuffled to find out.
+        """
         layout = self.layout() or self._commit(Layout(1, self.buckets or BUCKETS))
         stamp = f"{time.time_ns():020d}"
-        arrived = rows.select(*self.schema.fieldNames()).withColumn("_arrival", F.monotonically_increasing_id())
-        bucketed = last_per_key(arrived, self.keys, F.col("_arrival")).drop("_arrival").withColumns({
+        bucketed = rows.select(*self.schema.fieldNames())
+        if not unique:
+            arrived = bucketed.withColumn("_arrival", F.monotonically_increasing_id())
+            bucketed = last_per_key(arrived, self.keys, F.col("_arrival")).drop("_arrival")
+        bucketed = bucketed.withColumns({
             _WRITTEN: F.lit(int(stamp)), _BUCKET: self._bucket_of(*map(F.col, self._chosen_by()), buckets=layout.buckets)})
         name = name or uuid.uuid4().hex
         before = self._puts(layout).get(name)
@@ -165,7 +180,7 @@ class KeyedTable:
             return
         puts, target = self._puts(layout), f"base/{layout.version + 1:010d}"
         buckets = buckets or layout.buckets
-        rows = self._newest(*self._parts(layout)).withColumn(_BUCKET, self._bucket_of(*map(F.col, self._chosen_by()), buckets=buckets))
+        rows = self._newest(*self._parts(layout), len(puts) < 2).withColumn(_BUCKET, self._bucket_of(*map(F.col, self._chosen_by()), buckets=buckets))
         writer = (
             rows.hint("rebalance", F.col(_BUCKET)).sortWithinPartitions(_BUCKET, *self.sort_by).write.mode("overwrite").partitionBy(_BUCKET)
             .option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -186,10 +201,10 @@ class KeyedTable:
         self.buckets = None if self.buckets is None else buckets
 
 
-def store_vectors(table: KeyedTable, records: DataFrame, reason: Column, name: str | None = None) -> DataFrame:
+def store_vectors(table: KeyedTable, records: DataFrame, reason: Column, name: str | None = None, unique: bool = False) -> DataFrame:
     """Upsert the valid vector records; returns the rejected ones with their reason."""
     marked = records.withColumn("reason", reason)
-    table.upsert(marked.where(F.col("reason").isNull()).drop("reason"), name)
+    table.upsert(marked.where(F.col("reason").isNull()).drop("reason"), name, unique)
     return marked.where(F.col("reason").isNotNull())
 
 

@@ -98,13 +98,13 @@ class Store:
         """The index of the papers by trace, in buckets of the trace."""
         return self._table("papers_by_trace", TRACE_KEY, "trace_id", "paper_id", bucket_by=("trace_id",))
 
-    def papers_of(self, trace_id: str) -> DataFrame:
+    def papers_of(self, trace_id: str, columns: list[str] | None = None) -> DataFrame:
         """The papers of a trace, by the index: its bucket there, and in `papers` the buckets of what it names.
 
         A paper that a later trace has taken over is named by both, and its row says whose it is.
         """
         named = self.papers_by_trace.get(trace_id=trace_id).select("paper_id")
-        return self.papers.get_many(named).where(F.col("trace_id") == trace_id)
+        return self.papers.get_many(named, columns).where(F.col("trace_id") == trace_id)
 
     def compact(self) -> None:
         """Fold the puts of all tables; a job of its own, beside no running stream."""
@@ -164,12 +164,14 @@ def _vectorize(
     store: Store, papers: DataFrame, trace_id: str, factory: EncoderFactory, model_version: str,
     tasks: int | None, attempt: str | None,
 ) -> None:
+    """`papers` have one row per key, as the papers table has. The text of one that failed is not written down."""
     started = time.monotonic()
     attempt = attempt or datetime.now(timezone.utc).isoformat()
     name = f"{trace_id} {attempt}"
-    with staged(jobs.embed_papers(papers, factory, model_version, tasks), "embedded") as embedded:
+    done = jobs.embed_papers(papers, factory, model_version, tasks).withColumn("text", F.when(F.col("error_code").isNull(), F.col("text")))
+    with staged(done, "embedded") as embedded:
         run_ms = int((time.monotonic() - started) * 1000)
-        results, letters = jobs.store_embedded(store.vectors, embedded, run_ms, name)
+        results, letters = jobs.store_embedded(store.vectors, embedded, run_ms, name, unique=True)
         store.dead_letters.upsert(letters, name)
         store.vector_results.upsert(
             results.withColumns({"attempt": F.lit(attempt), "finished_at": F.current_timestamp()}), name)
@@ -192,12 +194,16 @@ def revectorize(
     store: Store, trace_id: str, factory: EncoderFactory, model_version: str, tasks: int | None = None,
     attempt: str | None = None,
 ) -> None:
-    """The same for the papers of a trace that have no vector, or have failed since they got one."""
-    papers = store.papers_of(trace_id)
-    vectors = store.vectors.get_many(papers.select("paper_id"))
+    """The same for the papers of a trace that have no vector, or have failed since they got one.
+
+    Which ones these are is told from keys and times; whole rows are read of these papers only.
+    """
+    papers = store.papers_of(trace_id, ["trace_id"])
+    vectors = store.vectors.get_many(papers.select("paper_id"), ["processing_info"])
     todo = joins.retry_set(
         papers, vectors, store.dead_letters.get(trace_id=trace_id), stored_at=F.col("processing_info.created_at"))
-    _vectorize(store, papers.join(todo.select("paper_id"), "paper_id", "left_semi"), trace_id, factory, model_version, tasks, attempt)
+    again = store.papers.get_many(todo.select("paper_id")).where(F.col("trace_id") == trace_id)
+    _vectorize(store, again, trace_id, factory, model_version, tasks, attempt)
 
 
 def process_landing(
