@@ -46,7 +46,7 @@ HASH_BITS = 22
 #: Deviations on both sides of the mean that the cells of a dimension cover.
 SPREAD = 3.0
 #: Bytes of text worked on at once; tokens in a range, about.
-SLICE, RANGE_TOKENS = 8 << 20, 4 << 20
+SLICE, RANGE_TOKENS = 2 << 20, 4 << 20
 WEIGHED = 1024
 #: Pieces of a generation whose ids a worker keeps, their greatest length, and how many are encoded together.
 KEPT, KEPT_LENGTH, TOGETHER = 500_000, 64, 20_000

@@ -138,3 +138,30 @@ def test_tail_is_cut_at_powers_of_two(total):
     edges = [*cp.tail_edges(total), total]
     assert edges[0] == total - total % cp.SEQUENCE
     assert all(n & (n - 1) == 0 for n in np.diff(edges))
+
+
+def test_a_worker_holds_little_beside_its_batch():
+    """Working memory of the tokens of one large batch; the ids are stand-ins."""
+    import random
+    import tracemalloc
+
+    class OneId:
+        kept = {}
+
+        def __call__(self, pieces):
+            return [b"\1\0"] * len(pieces)
+
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghij", k=6)) for _ in range(5000)]
+    texts = [" ".join(r.choices(words, k=1500)) for _ in range(800)]  # 8 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    cp._encoders["stand-in"] = OneId()
+    tracemalloc.start()
+    try:
+        tokens = sum(sum(out.column(2).to_pylist()) for out in cp._tokenize("stand-in")(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        del cp._encoders["stand-in"]
+    assert tokens == 800 * 1501
+    assert peak < 64 << 20, peak >> 20
