@@ -15,23 +15,18 @@ def first_per_key(df: DataFrame, keys: str | list[str], order: Column) -> DataFr
     An aggregation, not a window: rows of a hot key are reduced to one per map task before
     the shuffle, so no task ever holds the copies of one key.
     """
-    return _whole_rows(df, keys, F.min_by(F.struct(*df.columns), order))
+    keys = [keys] if isinstance(keys, str) else keys
+    first = F.min_by(F.struct(*df.columns), order).alias("_first")
+    # String and integer keys are taken from the group: Spark then knows that the rows are
+    # dealt by them, and what is grouped by them next needs no shuffle.
+    exact = {k for k in keys if k in df.columns and (df.schema[k].dataType == T.StringType() or isinstance(df.schema[k].dataType, T.IntegralType))}
+    return df.groupBy(*keys).agg(first).select(*(F.col(c) if c in exact else F.col("_first")[c].alias(c) for c in df.columns))
 
 
 def last_per_key(df: DataFrame, keys: str | list[str], order: Column) -> DataFrame:
-    return _whole_rows(df, keys, F.max_by(F.struct(*df.columns), order))
-
-
-def _whole_rows(df: DataFrame, keys: str | list[str], chosen: Column) -> DataFrame:
-    """The `chosen` row of each key.
-
-    Keys that are strings or integers are those of the group, by which Spark knows the rows
-    to be dealt already: what is grouped or joined by them next needs no shuffle.
-    """
     keys = [keys] if isinstance(keys, str) else keys
-    exact = {k for k in keys if k in df.columns and (df.schema[k].dataType == T.StringType() or isinstance(df.schema[k].dataType, T.IntegralType))}
-    grouped = df.groupBy(*keys).agg(chosen.alias("_chosen"))
-    return grouped.select(*(F.col(c) if c in exact else F.col("_chosen")[c].alias(c) for c in df.columns))
+    last = F.max_by(F.struct(*df.columns), order).alias("_last")
+    return df.groupBy(*keys).agg(last).select("_last.*")
 
 
 def deduplicate(papers: DataFrame, order: Column, key: str = "paper_id") -> DataFrame:

@@ -108,10 +108,10 @@ class KeyedTable:
         return layout is None or len(self._puts(layout)) < 2
 
     def _newest(self, base: DataFrame | None, puts: DataFrame | None, alone: bool) -> DataFrame:
-        """One row per key, with its bucket. Rows of one put alone are not shuffled for that."""
+        """One row per key, with its bucket. Rows of one put alone are not shuffled for that; beside a base they are needed twice, and a shuffle is read twice."""
         keys = [_BUCKET, *self.keys]
         if puts is not None:
-            puts = (puts if alone else last_per_key(puts, keys, F.col(_WRITTEN))).drop(_WRITTEN)
+            puts = (puts if alone and base is None else last_per_key(puts, keys, F.col(_WRITTEN))).drop(_WRITTEN)
         if base is None or puts is None:
             rows = base if puts is None else puts
             return self.spark.createDataFrame([], self.schema).withColumn(_BUCKET, F.lit(0)) if rows is None else rows
