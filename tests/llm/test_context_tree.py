@@ -1,6 +1,7 @@
 """The suffix tree whose contexts grow with the texts, against a brute-force one."""
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -89,3 +90,22 @@ def test_the_query_scores_with_this_tree(spark, tmp_path):
     rows = op7(spark, str(tmp_path)).collect()
     bounded = {r["doc_id"]: r["score"] for r in suffix_tree.lm_scores(documents(spark)).collect()}
     assert sum(r["score"] for r in rows if r["doc_id"] in range(20)) > 0.9 * sum(bounded[d] for d in range(20))
+
+
+def test_what_is_stored_at_once(spark, monkeypatch):
+    """Rows, keys and answers of a round together take a few bytes for each byte of text."""
+    r = random.Random(7)
+    words = ["".join(r.choice("abcdefghijklmnopqrst") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(words) for _ in range(400))) for i in range(800)], "doc_id bigint, text string")
+    size, paths, most = sum(len(x["text"]) for x in docs.collect()), [], [0]
+    new, old = context_tree.scratch_dir, context_tree.remove
+
+    def remove(spark, path):
+        most[0] = max(most[0], sum(f.stat().st_size for p in paths for f in pathlib.Path(p).rglob("*.parquet") if f.exists()))
+        old(spark, path)
+
+    monkeypatch.setattr(context_tree, "scratch_dir", lambda spark, name: paths.append(new(spark, name)) or paths[-1])
+    monkeypatch.setattr(context_tree, "remove", remove)
+    assert context_tree.lm_scores(docs).count() == 800
+    assert 0 < most[0] < 8 * size
+    print("stored", most[0] / size)
