@@ -162,8 +162,10 @@ def _send_words(shards: int):
     def send(table: pa.Table) -> pa.Table:
         hashes, begin = _tokens(table)
         learnt = np.repeat(table.column("learn").to_numpy(), np.diff(begin))
-        different, place = np.unique(hashes, return_inverse=True)
-        n = np.bincount(place[learnt], minlength=len(different)).astype(np.uint32)
+        seen, counts = np.unique(hashes[learnt], return_counts=True)
+        different = np.union1d(seen, hashes[~learnt])
+        n = np.zeros(len(different), np.uint32)
+        n[np.searchsorted(different, seen)] = counts
         rows = [(s, different[i:j].tobytes(), n[i:j].tobytes()) for s, i, j in packs.ranges(different, shards)]
         pack = table.column("pack")[0].as_py()
         return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "pack": pa.array([pack] * len(rows), pa.int32()),

@@ -109,3 +109,53 @@ def test_what_is_stored_at_once(spark, monkeypatch):
     assert context_tree.lm_scores(docs).count() == 800
     assert 0 < most[0] < 8 * size
     print("stored", most[0] / size)
+
+
+def test_contexts_of_more_than_a_word_of_symbols(spark):
+    """Contexts of more than 8 symbols, which are hashed and not held whole."""
+    r, rows = random.Random(11), []
+    for i in range(40):  # a run seldom ends after an odd number of symbols, so each symbol more tells something
+        runs = []
+        for _ in range(500):
+            n = 1
+            while n < 16 and r.random() > (0.04, 0.5)[n % 2 == 0]:
+                n += 1
+            runs.append("x" * n)
+        rows.append((i, " ".join(runs)))
+    want, deepest = brute_force(rows)
+    assert deepest > 9
+    found = {x["doc_id"]: x["score"] for x in context_tree.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string"), 400).collect()}
+    assert [found[i] for i, _ in rows] == pytest.approx(want, rel=1e-4)
+
+
+def test_texts_are_written_once(spark, monkeypatch):
+    """A round writes which places are open, not the texts again."""
+    paths, texts, new = [], [], context_tree.scratch_dir
+    old = context_tree.remove
+
+    def remove(spark, path):
+        texts.append([p for p in paths if any(x["symbols"] is not None for x in context_tree._stored(spark, p, context_tree.ROWS_DDL, "slice").select("symbols").collect())] if pathlib.Path(path).exists() else [])
+        old(spark, path)
+
+    monkeypatch.setattr(context_tree, "scratch_dir", lambda spark, name: paths.append(new(spark, name)) or paths[-1])
+    monkeypatch.setattr(context_tree, "remove", remove)
+    monkeypatch.setattr(context_tree, "_stored", stored_if_there(context_tree._stored))
+    assert context_tree.lm_scores(documents(spark)).count() == len(documents(spark).collect())
+    assert len(paths) > 3 and {p for x in texts for p in x} == {paths[0]}
+
+
+def stored_if_there(stored):
+    def read(spark, path, ddl, kind):
+        return stored(spark, path, ddl, kind) if pathlib.Path(path).exists() else spark.createDataFrame([], ddl)
+
+    return read
+
+
+def test_numbers_are_found_in_a_table():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for n in (0, 1, 5, 20_000):
+        numbers = np.unique(np.append(r.integers(0, 1 << 63, n, dtype=np.uint64), np.arange(min(n, 3), dtype=np.uint64)))
+        hit, value = context_tree.Table(numbers, np.arange(len(numbers), dtype=np.int32)).find(asked := np.concatenate([numbers, numbers + np.uint64(1), np.arange(4, dtype=np.uint64)]))
+        assert np.array_equal(hit, np.isin(asked, numbers)) and np.array_equal(numbers[value[hit]], asked[hit])
